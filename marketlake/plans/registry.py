@@ -32,6 +32,8 @@ REPORT_QUERIES: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(REPORT_QUERIES)
+    from marketlake.plans.etl_queries import QUERIES as ETL_QUERIES
+    out.update(ETL_QUERIES)
     return out
 
 
