@@ -41,4 +41,6 @@ def all_oracles() -> dict[str, str]:
     from marketlake.plans import oracle_sql
     out: dict[str, str] = {}
     out.update(oracle_sql.REPORTS)
+    from marketlake.plans import oracle_etl_sql
+    out.update(oracle_etl_sql.QUERIES)
     return out
