@@ -34,6 +34,8 @@ def all_queries() -> dict[str, Query]:
     out.update(REPORT_QUERIES)
     from marketlake.plans.etl_queries import QUERIES as ETL_QUERIES
     out.update(ETL_QUERIES)
+    from marketlake.plans.analyses import QUERIES as ANALYSES
+    out.update(ANALYSES)
     return out
 
 
@@ -43,4 +45,6 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle_sql.REPORTS)
     from marketlake.plans import oracle_etl_sql
     out.update(oracle_etl_sql.QUERIES)
+    from marketlake.plans import oracle_analyses_sql
+    out.update(oracle_analyses_sql.QUERIES)
     return out
