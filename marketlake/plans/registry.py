@@ -47,4 +47,6 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle_etl_sql.QUERIES)
     from marketlake.plans import oracle_analyses_sql
     out.update(oracle_analyses_sql.QUERIES)
+    from marketlake.plans import oracle_warehouse_sql
+    out.update(oracle_warehouse_sql.QUERIES)
     return out
