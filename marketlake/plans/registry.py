@@ -36,6 +36,8 @@ def all_queries() -> dict[str, Query]:
     out.update(ETL_QUERIES)
     from marketlake.plans.analyses import QUERIES as ANALYSES
     out.update(ANALYSES)
+    from marketlake.plans.source_queries import QUERIES as SOURCES
+    out.update(SOURCES)
     return out
 
 
@@ -49,4 +51,6 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle_analyses_sql.QUERIES)
     from marketlake.plans import oracle_warehouse_sql
     out.update(oracle_warehouse_sql.QUERIES)
+    from marketlake.plans import oracle_source_sql
+    out.update(oracle_source_sql.QUERIES)
     return out

@@ -25,7 +25,7 @@ def text_schema(columns: Sequence[str], keep_corrupt: bool = False) -> T.StructT
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
              on_malformed: str = "fail", multiline: bool = False, encoding: str = "UTF-8",
-             path_glob: str | None = None) -> DataFrame:
+             path_glob: str | None = None, header: bool = True) -> DataFrame:
     """Header CSV into string columns plus ``_file``.
 
     ``on_malformed``: ``fail`` (FAILFAST), ``skip`` (DROPMALFORMED) or ``keep``
@@ -34,7 +34,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
     """
     mode = {"fail": "FAILFAST", "skip": "DROPMALFORMED", "keep": "PERMISSIVE"}[on_malformed]
     reader = (spark.read.schema(text_schema(columns, on_malformed == "keep"))
-              .option("header", True).option("mode", mode).option("escape", '"')
+              .option("header", header).option("mode", mode).option("escape", '"')
               .option("multiLine", multiline).option("encoding", encoding)
               .option("enforceSchema", False))
     if on_malformed == "keep":
@@ -47,7 +47,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """UTF-8 CSV with a header row and no index column."""
-    w = df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    w = (df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

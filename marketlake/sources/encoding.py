@@ -25,13 +25,13 @@ _SPARK_CHARSET = {"utf-8": "UTF-8", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8
                   "cp1252": "ISO-8859-1"}
 
 
-def raw_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+def raw_lines(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
     """Every line as undecoded bytes, with its file name.
 
     The text source copies line bytes without decoding them, so the value
     column still holds the file's original bytes.
     """
-    df = spark.read.option("pathGlobFilter", glob).text(path)
+    df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path)
     return df.select(F.col("_metadata.file_name").alias("file"),
                      F.col("value").alias("raw"),
                      F.col("value").cast("binary").alias("bytes"))
