@@ -19,6 +19,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from marketlake.plans.model import stored_fact  # noqa: E402
 from marketlake.plans.registry import all_queries  # noqa: E402
 from marketlake.session import build_session  # noqa: E402
 
@@ -45,9 +46,18 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": "64m"})
     qs = all_queries()
+
+    def build_fact(spark, sf_dir):
+        # the load step the views depend on: lineitem grain collapse -> stored item fact
+        t0 = time.perf_counter()
+        stored_fact(spark, sf_dir, refresh=True)
+        return time.perf_counter() - t0
+
+    build_fact(spark, sf_dir)
     for n in names:  # warm-up: JIT, file listing, parquet footers
         run_once(spark, qs[n], sf_dir)
-    timings = {n: statistics.median(run_once(spark, qs[n], sf_dir) for _ in range(runs)) for n in names}
+    timings = {"model_fact_build": statistics.median(build_fact(spark, sf_dir) for _ in range(runs))}
+    timings.update({n: statistics.median(run_once(spark, qs[n], sf_dir) for _ in range(runs)) for n in names})
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": {k: round(v, 3) for k, v in timings.items()},

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.exact import cents, ratio, round_ratio
+from marketlake.operators.quantiles import exact_quantiles, grouped_quantiles
 from marketlake.operators.segments import (category_name, market_leaders, segment_by_leader,
                                            tier_by_thresholds, top_flags)
 from marketlake.plans.model import StarModel
@@ -158,10 +159,11 @@ def v8_delay_rank(m: StarModel, late_counts: DataFrame | None = None) -> DataFra
 def v9_category_performance(m: StarModel) -> DataFrame:
     items = m.fact_items.filter(F.col("price") > 0).select("product_sk", "price")
     cat = category_name(items, m.dim_products, m.lookup_prod_cat)
-    g = cat.groupBy(F.col("category").alias("product_category")).agg(
-        F.sum("price").alias("_rev"),
-        F.percentile("price", 0.5).alias("median_price"),
-        F.count(F.lit(1)).alias("total_units"))
+    cat = cat.select(F.col("category").alias("product_category"), "price")
+    g = cat.groupBy("product_category").agg(F.sum("price").alias("_rev"), F.count(F.lit(1)).alias("total_units"))
+    # exact median per category from value counts + a spillable running count
+    med = grouped_quantiles(cat, "price", ["product_category"], [0.5], ["median_price"])
+    g = g.join(med, "product_category", "left")
     total = g.agg(F.sum("_rev").alias("_all"))
     j = g.crossJoin(F.broadcast(total))  # one row
     return j.select("product_category", F.col("_rev").cast("double").alias("total_revenue"),
@@ -191,8 +193,8 @@ def v10_top_categories(m: StarModel, top_n: int = 5) -> DataFrame:
 
 
 def v11_price_tiers(m: StarModel, top_n: int = 5, price_q=(0.33, 0.66)) -> DataFrame:
-    thr = m.fact_items.agg(F.percentile("price", list(price_q)).alias("q")).select(
-        F.col("q")[0].alias("price_p33"), F.col("q")[1].alias("price_p66"))
+    # global thresholds over every item: distributed exact quantiles (no single-task merge)
+    thr = exact_quantiles(m.fact_items, "price", list(price_q), names=["price_p33", "price_p66"])
     items = m.fact_items.select("product_sk", "price").crossJoin(F.broadcast(thr))  # one row
     tier = (F.when(F.col("price") <= F.col("price_p33"), PRICE_TIERS[0])
             .when(F.col("price") <= F.col("price_p66"), PRICE_TIERS[1]).otherwise(PRICE_TIERS[2]))
@@ -227,8 +229,10 @@ def v12_state_reliability(m: StarModel) -> DataFrame:
                     "order_sk", "price", rel.alias("reliability"), secs.alias("secs"))
     g = b.groupBy("seller_state", "reliability").agg(
         F.count_distinct("order_sk").alias("deliveries_count"),
-        F.sum("price").alias("_rev"),
-        F.percentile("secs", 0.5).alias("_med"))
+        F.sum("price").alias("_rev"))
+    # one state may hold most deliveries: exact median via value counts, not an in-memory map
+    med = grouped_quantiles(b, "secs", ["seller_state", "reliability"], [0.5], ["_med"])
+    g = g.join(med, ["seller_state", "reliability"], "left")
     w = Window.partitionBy("seller_state")  # states x 3 rows
     twice_median = F.round(F.col("_med") * 2).cast("long")
     return (g.select(

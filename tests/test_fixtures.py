@@ -164,3 +164,17 @@ def test_a11_above_see(spark):
     pts = [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0), (5, 9.0)]
     df = spark.createDataFrame(pts, "x int, y double")
     assert [(r["x"], r["y"]) for r in above_see(df, "y", "x").collect()] == [(5, 9.0)]
+
+
+def test_exact_quantiles_match_builtin(spark):
+    import random
+    from marketlake.operators.quantiles import exact_quantiles
+    rnd = random.Random(7)
+    probs = [0.0, 0.1, 0.33, 0.5, 0.66, 0.9, 1.0]
+    for n, distinct in ((1, 1), (2, 2), (50, 5), (400, 1000)):
+        rows = [(float(rnd.randrange(distinct)) / 4 if rnd.random() > 0.05 else None,) for _ in range(n)]
+        rows[0] = (1.0,)
+        df = spark.createDataFrame(rows, "v double")
+        got = list(exact_quantiles(df, "v", probs, buckets=8).first())
+        want = df.agg(F.percentile("v", probs)).first()[0]
+        assert got == want, (n, got, want)
