@@ -55,16 +55,45 @@ def top_n(df: DataFrame, col: str, n: int, tie: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(col), F.asc_nulls_last(tie)).limit(n)
 
 
-def ols_fit(df: DataFrame, y: str, x: str) -> DataFrame:
-    """A10: least squares ``y ~ x``: slope, intercept, r, r2, n, slope std error."""
-    yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
-    fit = df.agg(
-        F.regr_slope(yy, xx).alias("slope"), F.regr_intercept(yy, xx).alias("intercept"),
-        F.corr(yy, xx).alias("r"), F.regr_r2(yy, xx).alias("r2"), F.regr_count(yy, xx).alias("n"),
-        F.regr_sxx(yy, xx).alias("_sxx"), F.regr_syy(yy, xx).alias("_syy"), F.regr_sxy(yy, xx).alias("_sxy"))
-    rss = F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx")
-    se = F.when(F.col("n") > 2, F.sqrt(F.greatest(rss, F.lit(0.0)) / (F.col("n") - 2) / F.col("_sxx")))
-    return fit.select("slope", "intercept", "r", "r2", "n", se.alias("slope_stderr"))
+def ols_fit(df: DataFrame, y: str, x: str, y_scale: int | None = None, x_scale: int = 1) -> DataFrame:
+    """A10: least squares ``y ~ x``: slope, intercept, r, r2, n, slope std error.
+
+    With ``y_scale`` (e.g. 100 for money) both variables are turned into
+    integers (``round(v * scale)``) and the centred moments are computed
+    exactly in decimal(38,0) (``n*sum(xy) - sum(x)*sum(y)`` etc.): no
+    cancellation, and the few double operations after them give the same
+    bits on any engine. Without it, Spark's ``regr_*`` aggregates are used.
+    """
+    if y_scale is None:
+        yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
+        fit = df.agg(
+            F.regr_slope(yy, xx).alias("slope"), F.regr_intercept(yy, xx).alias("intercept"),
+            F.corr(yy, xx).alias("r"), F.regr_r2(yy, xx).alias("r2"), F.regr_count(yy, xx).alias("n"),
+            F.regr_sxx(yy, xx).alias("_sxx"), F.regr_syy(yy, xx).alias("_syy"), F.regr_sxy(yy, xx).alias("_sxy"))
+        rss = F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx")
+        se = F.when(F.col("n") > 2, F.sqrt(F.greatest(rss, F.lit(0.0)) / (F.col("n") - 2) / F.col("_sxx")))
+        return fit.select("slope", "intercept", "r", "r2", "n", se.alias("slope_stderr"))
+    dec = "decimal(38,0)"
+    both = F.col(y).isNotNull() & F.col(x).isNotNull()
+    yi = F.when(both, F.round(F.col(y).cast("double") * y_scale).cast(dec))
+    xi = F.when(both, F.round(F.col(x).cast("double") * x_scale).cast(dec))
+    m = df.agg(F.count(yi).cast("long").alias("n"), F.sum(xi).alias("sx"), F.sum(yi).alias("sy"),
+               F.sum(xi * xi).alias("sxx"), F.sum(yi * yi).alias("syy"), F.sum(xi * yi).alias("sxy"))
+    n = F.col("n").cast(dec)
+    dxx = (n * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double")  # n^2 * var(x), exact
+    dyy = (n * F.col("syy") - F.col("sy") * F.col("sy")).cast("double")
+    dxy = (n * F.col("sxy") - F.col("sx") * F.col("sy")).cast("double")
+    slope_i = dxy / dxx
+    slope = slope_i / F.lit(float(y_scale)) * F.lit(float(x_scale))
+    intercept = (F.col("sy").cast("double") - slope_i * F.col("sx").cast("double")) / F.col("n").cast("double") \
+        / F.lit(float(y_scale))
+    r = dxy / F.sqrt(dxx * dyy)
+    se = F.sqrt(F.greatest(dyy - slope_i * dxy, F.lit(0.0)) / (F.col("n") - 2).cast("double") / dxx) \
+        / F.lit(float(y_scale)) * F.lit(float(x_scale))
+    ok = (F.col("n") > 1) & (dxx > 0)
+    return m.select(F.when(ok, slope).alias("slope"), F.when(ok, intercept).alias("intercept"),
+                    F.when(ok & (dyy > 0), r).alias("r"), F.when(ok & (dyy > 0), r * r).alias("r2"), "n",
+                    F.when(ok & (F.col("n") > 2), se).alias("slope_stderr"))
 
 
 def above_see(df: DataFrame, y: str, x: str) -> DataFrame:

@@ -71,7 +71,8 @@ def a9_top_categories(spark, sf_dir):
 
 def a10_regression(spark, sf_dir):
     """A10: OLS of category revenue on units."""
-    return stats.ols_fit(R.v9_category_performance(_m(spark, sf_dir)), "total_revenue", "total_units")
+    return stats.ols_fit(R.v9_category_performance(_m(spark, sf_dir)), "total_revenue", "total_units",
+                         y_scale=100)
 
 
 def a11_high_yield(spark, sf_dir):

@@ -53,20 +53,26 @@ SELECT * FROM m WHERE month <> (SELECT MIN(month) FROM m) ORDER BY market_segmen
                                     + " a UNION ALL SELECT * FROM " + _top("median_price", "median_price", 3)
                                     + " b UNION ALL SELECT * FROM " + _top("units", "total_units", 5) + " c"),
     "a10_regression": with_views(["v9"], """
-, f AS (
-    SELECT regr_slope(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS slope,
-           regr_intercept(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS intercept,
-           corr(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS r,
-           regr_r2(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS r2,
-           CAST(regr_count(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS BIGINT) AS n,
-           regr_sxx(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS sxx,
-           regr_syy(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS syy,
-           regr_sxy(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS sxy
-    FROM v9
+, i AS (
+    SELECT CAST(round(total_revenue * 100) AS HUGEINT) AS y, CAST(total_units AS HUGEINT) AS x
+    FROM v9 WHERE total_revenue IS NOT NULL AND total_units IS NOT NULL
+), m AS (
+    SELECT COUNT(y) AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx, SUM(y * y) AS syy, SUM(x * y) AS sxy FROM i
+), d AS (
+    SELECT n, sx, sy,
+           CAST(n * sxx - sx * sx AS DOUBLE) AS dxx, CAST(n * syy - sy * sy AS DOUBLE) AS dyy,
+           CAST(n * sxy - sx * sy AS DOUBLE) AS dxy
+    FROM m
 )
-SELECT slope, intercept, r, r2, n,
-       CASE WHEN n > 2 THEN sqrt(greatest(syy - sxy * sxy / sxx, 0.0) / (n - 2) / sxx) END AS slope_stderr
-FROM f"""),
+SELECT CASE WHEN n > 1 AND dxx > 0 THEN dxy / dxx / 100.0 * 1.0 END AS slope,
+       CASE WHEN n > 1 AND dxx > 0 THEN (CAST(sy AS DOUBLE) - dxy / dxx * CAST(sx AS DOUBLE)) / CAST(n AS DOUBLE) / 100.0 END
+           AS intercept,
+       CASE WHEN n > 1 AND dxx > 0 AND dyy > 0 THEN dxy / sqrt(dxx * dyy) END AS r,
+       CASE WHEN n > 1 AND dxx > 0 AND dyy > 0 THEN (dxy / sqrt(dxx * dyy)) * (dxy / sqrt(dxx * dyy)) END AS r2,
+       CAST(n AS BIGINT) AS n,
+       CASE WHEN n > 2 AND dxx > 0 THEN sqrt(greatest(dyy - dxy / dxx * dxy, 0.0) / CAST(n - 2 AS DOUBLE) / dxx)
+                                        / 100.0 * 1.0 END AS slope_stderr
+FROM d"""),
     "a11_high_yield": with_views(["v9"], """
 , f AS (
     SELECT regr_slope(CAST(total_revenue AS DOUBLE), CAST(total_units AS DOUBLE)) AS b,
