@@ -56,7 +56,12 @@ def v1_seller_quarterly(m: StarModel) -> DataFrame:
     thr = spv.groupBy(F.col("quarterly").alias("_q")).agg(
         F.percentile("order_volume", 0.25).alias("vol_p25"),
         F.percentile("order_volume", 0.75).alias("vol_p75"))
-    j = spv.join(F.broadcast(thr), F.col("quarterly") == F.col("_q"), "left")  # NULL quarter: no match
+    # Null-safe join keeps both branches' plans identical (no inferred IS NOT NULL filter),
+    # so AQE reuses the spv shuffle; a NULL quarter still gets no thresholds (SQL '=' semantics).
+    j = spv.join(F.broadcast(thr), F.col("quarterly").eqNullSafe(F.col("_q")), "left")
+    known = F.col("quarterly").isNotNull()
+    j = j.select("seller_sk", "order_volume", "quarterly",
+                 F.when(known, F.col("vol_p25")).alias("vol_p25"), F.when(known, F.col("vol_p75")).alias("vol_p75"))
     return (j.select(
         F.col("seller_sk").alias("seller_id"), "order_volume", "quarterly",
         "vol_p25", "vol_p75",
@@ -164,11 +169,11 @@ def v9_category_performance(m: StarModel) -> DataFrame:
     # exact median per category from value counts + a spillable running count
     med = grouped_quantiles(cat, "price", ["product_category"], [0.5], ["median_price"])
     g = g.join(med, "product_category", "left")
-    total = g.agg(F.sum("_rev").alias("_all"))
-    j = g.crossJoin(F.broadcast(total))  # one row
-    return j.select("product_category", F.col("_rev").cast("double").alias("total_revenue"),
+    # one row per category: the share-of-total window runs over the aggregated frame
+    total = F.sum("_rev").over(Window.partitionBy())
+    return g.select("product_category", F.col("_rev").cast("double").alias("total_revenue"),
                     "median_price", "total_units",
-                    round_ratio(cents(F.col("_rev")), cents(F.col("_all")), 4).alias("perc_in_revenue"))
+                    round_ratio(cents(F.col("_rev")), cents(total), 4).alias("perc_in_revenue"))
 
 
 def _category_metrics(m: StarModel) -> DataFrame:
