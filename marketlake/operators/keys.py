@@ -27,16 +27,20 @@ def key_bucket(keys: Sequence[str], digits: int = HEX_DIGITS) -> Column:
     return F.substring(F.md5(text), 1, digits)
 
 
-def assign_sk(df: DataFrame, keys: Sequence[str], sk: str, digits: int = HEX_DIGITS) -> DataFrame:
+def assign_sk(df: DataFrame, keys: Sequence[str], sk: str, digits: int = HEX_DIGITS,
+              previous: DataFrame | None = None) -> DataFrame:
     """Fill NULL ``sk`` values (or a missing ``sk`` column) with new keys.
 
     Rows that already have a key keep it; new rows are numbered from
-    ``max(sk) + 1`` in (md5 prefix, natural key) order.
+    ``max(sk) + 1`` in (md5 prefix, natural key) order. When the keyed rows
+    all come from a stored ``previous`` snapshot, its maximum is read from
+    there (a cheap scan) instead of from ``df``.
     """
     if sk not in df.columns:
         df = df.withColumn(sk, F.lit(None).cast("long"))
     cols = df.columns
-    base = df.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("_base"))  # one row
+    src = previous if previous is not None else df
+    base = src.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("_base"))  # one row
     tagged = df.withColumn("_bucket", F.when(F.col(sk).isNull(), key_bucket(keys, digits)))
     counts = tagged.filter(F.col("_bucket").isNotNull()).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # <= 16^digits rows: the offset window and the broadcast are bounded

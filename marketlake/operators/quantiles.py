@@ -73,13 +73,24 @@ def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: Sequenc
     spills, unlike the in-memory value map of ``percentile``, so a group
     holding a third of the rows with millions of distinct values still fits.
     """
-    names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    v = F.col(col).cast("double")
-    vc = (df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull())
+    vc = (df.select(*by, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
           .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    run = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = vc.select(*by, "_v", (F.sum("_c").over(run) - F.col("_c")).alias("_first"),
-                       (F.sum("_c").over(run) - 1).alias("_last"), F.sum("_c").over(Window.partitionBy(*by)).alias("_n"))
+    return quantiles_from_counts(vc, "_v", "_c", by, probs, names)
+
+
+def quantiles_from_counts(vc: DataFrame, value: str, count: str, by: Sequence[str], probs: Sequence[float],
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Grouped PERCENTILE_CONT from a (group..., value, count) frame with non-null values.
+
+    Callers that already hold value counts (e.g. to derive sums and counts
+    from the same single pass) pass them in directly.
+    """
+    names = list(names) if names else [f"q{i}" for i in range(len(probs))]
+    v = F.col(value).cast("double")
+    run = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = vc.select(*by, v.alias("_v"), (F.sum(count).over(run) - F.col(count)).alias("_first"),
+                       (F.sum(count).over(run) - 1).alias("_last"),
+                       F.sum(count).over(Window.partitionBy(*by)).alias("_n"))
     aggs, hits = [], None
     for p, name in zip(probs, names):
         pos = (F.col("_n") - 1) * F.lit(float(p))

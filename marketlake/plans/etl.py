@@ -190,7 +190,7 @@ def load_dimension(table: str, stg: DataFrame, existing: DataFrame | None = None
         snap = scd1_upsert(existing, incoming, keys, {a: "coalesce" for a in attrs},
                            compare or [*attrs, "row_source_file"], touch_first_seen=touch_first)
     if sk:
-        snap = assign_sk(snap, keys, sk)
+        snap = assign_sk(snap, keys, sk, previous=existing)
     return _order(snap, sk, keys, attrs_all)
 
 
@@ -242,7 +242,7 @@ def load_reviews(stg: DataFrame, orders: DataFrame, existing: DataFrame | None =
                           "order_sk"])
     snap = d if existing is None else scd1_upsert(existing, d, ["order_id", "review_id"], REVIEW_POLICY,
                                                   [*REVIEW_POLICY, "row_source_file"])
-    snap = assign_sk(snap, ["order_id", "review_id"], "review_sk")
+    snap = assign_sk(snap, ["order_id", "review_id"], "review_sk", previous=existing)
     return snap.select("review_sk", *[c for c in snap.columns if c != "review_sk"])
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.exact import cents, ratio, round_ratio
-from marketlake.operators.quantiles import exact_quantiles, grouped_quantiles
+from marketlake.operators.quantiles import exact_quantiles, grouped_quantiles, quantiles_from_counts
 from marketlake.operators.segments import (category_name, market_leaders, segment_by_leader,
                                            tier_by_thresholds, top_flags)
 from marketlake.plans.model import StarModel
@@ -164,10 +164,12 @@ def v8_delay_rank(m: StarModel, late_counts: DataFrame | None = None) -> DataFra
 def v9_category_performance(m: StarModel) -> DataFrame:
     items = m.fact_items.filter(F.col("price") > 0).select("product_sk", "price")
     cat = category_name(items, m.dim_products, m.lookup_prod_cat)
-    cat = cat.select(F.col("category").alias("product_category"), "price")
-    g = cat.groupBy("product_category").agg(F.sum("price").alias("_rev"), F.count(F.lit(1)).alias("total_units"))
-    # exact median per category from value counts + a spillable running count
-    med = grouped_quantiles(cat, "price", ["product_category"], [0.5], ["median_price"])
+    # One pass over the fact: value counts per (category, price) carry the revenue,
+    # the units and the exact median (running count over the category's distinct prices).
+    vc = cat.groupBy(F.col("category").alias("product_category"), "price").agg(F.count(F.lit(1)).alias("_c"))
+    g = vc.groupBy("product_category").agg(F.sum(F.col("price") * F.col("_c")).alias("_rev"),
+                                           F.sum("_c").alias("total_units"))
+    med = quantiles_from_counts(vc, "price", "_c", ["product_category"], [0.5], ["median_price"])
     g = g.join(med, "product_category", "left")
     # one row per category: the share-of-total window runs over the aggregated frame
     total = F.sum("_rev").over(Window.partitionBy())
@@ -205,12 +207,15 @@ def v11_price_tiers(m: StarModel, top_n: int = 5, price_q=(0.33, 0.66)) -> DataF
             .when(F.col("price") <= F.col("price_p66"), PRICE_TIERS[1]).otherwise(PRICE_TIERS[2]))
     base = category_name(items, m.dim_products, m.lookup_prod_cat).select(
         "category", "price", tier.alias("price_tier"))
-    ranking = base.groupBy("category").agg(F.sum("price").alias("cat_revenue"))
+    # single pass over the fact: (category, tier) sums; ranking, segments and shares
+    # are derived from this categories x 3 frame
+    ct = base.groupBy("category", "price_tier").agg(F.sum("price").alias("_rev"))
+    ranking = ct.groupBy("category").agg(F.sum("_rev").alias("cat_revenue"))
     flags = top_flags(ranking, "category", "cat_revenue", top_n)
-    seg = base.join(F.broadcast(flags), "category", "left").select(
+    seg = ct.join(F.broadcast(flags), "category", "left").select(
         F.when(F.col("_is_top"), F.col("category")).otherwise(F.lit("other")).alias("market_segment"),
-        "price_tier", "price")
-    g = seg.groupBy("market_segment", "price_tier").agg(F.sum("price").alias("_rev"))
+        "price_tier", "_rev")
+    g = seg.groupBy("market_segment", "price_tier").agg(F.sum("_rev").alias("_rev"))
     # (top_n + 1) x 3 rows: the share windows are bounded
     rev = cents(F.col("_rev"))
     return (g.select("market_segment", "price_tier", F.col("_rev").cast("double").alias("total_revenue"),
