@@ -70,3 +70,14 @@ def top_flags(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
     """
     top = df.orderBy(F.desc_nulls_first(value), F.asc_nulls_last(key)).limit(n)
     return top.select(key, F.lit(True).alias("_is_top"))
+
+
+def top_n_flag(key: str, value: str, n: int) -> Column:
+    """True for rows of the ``n`` best keys by ``value`` DESC (NULLS FIRST), key as tie-break.
+
+    A window over the whole frame: use it only on aggregated frames bounded
+    by the number of keys (categories), never on raw rows. Several rows of
+    one key share its rank, so the frame may hold (key, sub-group) rows.
+    """
+    w = Window.orderBy(F.desc_nulls_first(value), F.asc_nulls_last(key))
+    return F.dense_rank().over(w) <= n

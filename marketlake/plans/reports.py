@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.exact import cents, ratio, round_ratio
 from marketlake.operators.quantiles import exact_quantiles, grouped_quantiles, quantiles_from_counts
 from marketlake.operators.segments import (category_name, market_leaders, segment_by_leader,
-                                           tier_by_thresholds, top_flags)
+                                           tier_by_thresholds, top_n_flag)
 from marketlake.plans.model import StarModel
 
 VOLUME_TIERS = ("1 - low", "2 - mid", "3 - high")
@@ -112,9 +112,10 @@ def v5_segment_delay_risk(m: StarModel, leaders: DataFrame | None = None) -> Dat
                                           F.sum("is_late").alias("late"))
     rates = s.select("market_segment",
                      round_ratio(F.col("late"), F.col("order_volume"), 3, times=100).alias("ldr"))
-    thr = rates.agg(F.percentile("ldr", [0.25, 0.75]).alias("q"))
-    thr = thr.select(F.col("q")[0].alias("q1st"), F.col("q")[1].alias("q3rd"))
-    j = rates.crossJoin(F.broadcast(thr))
+    # one row per segment (leaders + residual): thresholds as a window over those rows
+    q = F.percentile("ldr", [0.25, 0.75]).over(Window.partitionBy())
+    j = rates.select("*", q.alias("q")).select("market_segment", "ldr", F.col("q")[0].alias("q1st"),
+                                               F.col("q")[1].alias("q3rd"))
     return (j.select("market_segment", "ldr", "q1st", "q3rd",
                      tier_by_thresholds(F.col("ldr"), F.col("q1st"), F.col("q3rd"), RISK_TIERS,
                                         low_inclusive=True).alias("delivery_delay_risk"))
@@ -186,14 +187,13 @@ def _category_metrics(m: StarModel) -> DataFrame:
 
 def v10_top_categories(m: StarModel, top_n: int = 5) -> DataFrame:
     cm = _category_metrics(m)
-    flags = top_flags(cm, "category", "cat_revenue", top_n)
-    seg = cm.join(F.broadcast(flags), "category", "left").select(
-        F.when(F.col("_is_top"), F.col("category")).otherwise(F.lit("other")).alias("market_segment"),
-        "cat_revenue", "units_sold")
+    # one row per category from here on: ranking and share windows run on this frame
+    seg = cm.select(
+        F.when(top_n_flag("category", "cat_revenue", top_n), F.col("category"))
+        .otherwise(F.lit("other")).alias("market_segment"), "cat_revenue", "units_sold")
     g = seg.groupBy("market_segment").agg(F.sum("units_sold").alias("total_units"),
                                           F.sum("cat_revenue").alias("_rev"))
-    # at most top_n + 1 rows from here on
-    w = Window.partitionBy()
+    w = Window.partitionBy()  # at most top_n + 1 rows
     return (g.select("market_segment", "total_units", F.col("_rev").cast("double").alias("total_revenue"),
                      ratio(cents(F.col("_rev")), cents(F.sum("_rev").over(w))).alias("perc_in_revenue"))
             .orderBy(F.desc_nulls_first("total_revenue")))
@@ -210,11 +210,10 @@ def v11_price_tiers(m: StarModel, top_n: int = 5, price_q=(0.33, 0.66)) -> DataF
     # single pass over the fact: (category, tier) sums; ranking, segments and shares
     # are derived from this categories x 3 frame
     ct = base.groupBy("category", "price_tier").agg(F.sum("price").alias("_rev"))
-    ranking = ct.groupBy("category").agg(F.sum("_rev").alias("cat_revenue"))
-    flags = top_flags(ranking, "category", "cat_revenue", top_n)
-    seg = ct.join(F.broadcast(flags), "category", "left").select(
-        F.when(F.col("_is_top"), F.col("category")).otherwise(F.lit("other")).alias("market_segment"),
-        "price_tier", "_rev")
+    ct = ct.select("*", F.sum("_rev").over(Window.partitionBy("category")).alias("cat_revenue"))
+    seg = ct.select(
+        F.when(top_n_flag("category", "cat_revenue", top_n), F.col("category"))
+        .otherwise(F.lit("other")).alias("market_segment"), "price_tier", "_rev")
     g = seg.groupBy("market_segment", "price_tier").agg(F.sum("_rev").alias("_rev"))
     # (top_n + 1) x 3 rows: the share windows are bounded
     rev = cents(F.col("_rev"))
