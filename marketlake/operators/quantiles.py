@@ -79,18 +79,26 @@ def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: Sequenc
 
 
 def quantiles_from_counts(vc: DataFrame, value: str, count: str, by: Sequence[str], probs: Sequence[float],
-                          names: Sequence[str] | None = None) -> DataFrame:
-    """Grouped PERCENTILE_CONT from a (group..., value, count) frame with non-null values.
+                          names: Sequence[str] | None = None, carry: dict | None = None) -> DataFrame:
+    """Grouped PERCENTILE_CONT from a (group..., value, count) frame.
 
-    Callers that already hold value counts (e.g. to derive sums and counts
-    from the same single pass) pass them in directly.
+    Rows with a NULL value only contribute to ``carry``. ``carry`` maps an
+    output name to a column of ``vc`` whose per-group SUM is returned as
+    well: totals ride along in the same window pass, so the caller needs no
+    second branch over ``vc`` (Catalyst would prune the two branches
+    differently and compute the frame twice).
     """
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
+    carry = dict(carry or {})
     v = F.col(value).cast("double")
-    run = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = vc.select(*by, v.alias("_v"), (F.sum(count).over(run) - F.col(count)).alias("_first"),
-                       (F.sum(count).over(run) - 1).alias("_last"),
-                       F.sum(count).over(Window.partitionBy(*by)).alias("_n"))
+    group = Window.partitionBy(*by)
+    run = Window.partitionBy(*by).orderBy(F.asc_nulls_last(value)).rowsBetween(Window.unboundedPreceding,
+                                                                                Window.currentRow)
+    c = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(F.lit(0))
+    ranked = vc.select(*by, v.alias("_v"), (F.sum(c).over(run) - c).alias("_first"),
+                       (F.sum(c).over(run) - 1).alias("_last"), F.sum(c).over(group).alias("_n"),
+                       *[F.sum(col).over(group).alias(f"_carry_{k}") for k, col in carry.items()],
+                       F.row_number().over(Window.partitionBy(*by).orderBy(F.asc_nulls_last(value))).alias("_rn"))
     aggs, hits = [], None
     for p, name in zip(probs, names):
         pos = (F.col("_n") - 1) * F.lit(float(p))
@@ -100,10 +108,13 @@ def quantiles_from_counts(vc: DataFrame, value: str, count: str, by: Sequence[st
         hits = (hit_lo | hit_hi) if hits is None else (hits | hit_lo | hit_hi)
         aggs += [F.max(F.when(hit_lo, F.col("_v"))).alias(f"_lo_{name}"),
                  F.max(F.when(hit_hi, F.col("_v"))).alias(f"_hi_{name}"), F.max(pos).alias(f"_pos_{name}")]
-    a = ranked.filter(hits).groupBy(*by).agg(*aggs)
+    hits = F.col("_v").isNotNull() & hits
+    # the first row of every group survives too, so groups without values keep their totals
+    a = ranked.filter(hits | (F.col("_rn") == 1)).groupBy(*by).agg(
+        *aggs, *[F.max(f"_carry_{k}").alias(k) for k in carry])
     res = []
     for name in names:
         lo_v, hi_v, pos = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_pos_{name}")
         lo, hi = F.floor(pos), F.ceil(pos)
         res.append(F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v).alias(name))
-    return a.select(*by, *res)
+    return a.select(*by, *res, *carry)

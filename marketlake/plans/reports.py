@@ -168,10 +168,8 @@ def v9_category_performance(m: StarModel) -> DataFrame:
     # One pass over the fact: value counts per (category, price) carry the revenue,
     # the units and the exact median (running count over the category's distinct prices).
     vc = cat.groupBy(F.col("category").alias("product_category"), "price").agg(F.count(F.lit(1)).alias("_c"))
-    g = vc.groupBy("product_category").agg(F.sum(F.col("price") * F.col("_c")).alias("_rev"),
-                                           F.sum("_c").alias("total_units"))
-    med = quantiles_from_counts(vc, "price", "_c", ["product_category"], [0.5], ["median_price"])
-    g = g.join(med, "product_category", "left")
+    g = quantiles_from_counts(vc, "price", "_c", ["product_category"], [0.5], ["median_price"],
+                              carry={"_rev": F.col("price") * F.col("_c"), "total_units": F.col("_c")})
     # one row per category: the share-of-total window runs over the aggregated frame
     total = F.sum("_rev").over(Window.partitionBy())
     return g.select("product_category", F.col("_rev").cast("double").alias("total_revenue"),
@@ -236,12 +234,14 @@ def v12_state_reliability(m: StarModel) -> DataFrame:
     secs = F.timestamp_diff("SECOND", F.col("order_approved_t"), F.col("order_delivered_customer_t"))
     b = base.select(F.coalesce("seller_state", F.lit("unknown")).alias("seller_state"),
                     "order_sk", "price", rel.alias("reliability"), secs.alias("secs"))
-    g = b.groupBy("seller_state", "reliability").agg(
-        F.count_distinct("order_sk").alias("deliveries_count"),
-        F.sum("price").alias("_rev"))
-    # one state may hold most deliveries: exact median via value counts, not an in-memory map
-    med = grouped_quantiles(b, "secs", ["seller_state", "reliability"], [0.5], ["_med"])
-    g = g.join(med, ["seller_state", "reliability"], "left")
+    # One pass: per (state, reliability, seconds) item counts, revenue and distinct orders.
+    # Seconds are a function of the order, so distinct orders add up across seconds values;
+    # the exact median comes from the item counts (value counts + running count, spillable:
+    # one state may hold most deliveries).
+    vc = b.groupBy("seller_state", "reliability", "secs").agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("price").alias("_rev"), F.count_distinct("order_sk").alias("_o"))
+    g = quantiles_from_counts(vc, "secs", "_c", ["seller_state", "reliability"], [0.5], ["_med"],
+                              carry={"_rev": F.col("_rev"), "deliveries_count": F.col("_o")})
     w = Window.partitionBy("seller_state")  # states x 3 rows
     twice_median = F.round(F.col("_med") * 2).cast("long")
     return (g.select(

@@ -178,3 +178,17 @@ def test_exact_quantiles_match_builtin(spark):
         got = list(exact_quantiles(df, "v", probs, buckets=8).first())
         want = df.agg(F.percentile("v", probs)).first()[0]
         assert got == want, (n, got, want)
+
+
+def test_grouped_quantiles_match_builtin(spark):
+    import random
+    from marketlake.operators.quantiles import grouped_quantiles
+    rnd = random.Random(11)
+    rows = [(rnd.choice("abc") if rnd.random() > 0.1 else None,
+             float(rnd.randrange(50)) if rnd.random() > 0.1 else None) for _ in range(600)]
+    rows += [("only_nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.9]
+    got = {r["g"]: [r[f"q{i}"] for i in range(4)] for r in grouped_quantiles(df, "v", ["g"], probs).collect()}
+    want = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", probs).alias("p")).collect()}
+    assert {k: v for k, v in want.items() if v is not None} == {k: v for k, v in got.items() if v[0] is not None}
