@@ -61,8 +61,25 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None)
     return out.limit(limit) if limit else out
 
 
-def missing_pct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """K4: ``ROUND(100 * share of NULL-or-blank, 3)`` per column, one row.
+def require_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Keep rows whose natural key columns are all present."""
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+    return df.filter(cond)
+
+
+def rejects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """P12 complement: the rows ``require_key`` drops (for inspection)."""
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
+    return df.filter(cond)
+
+
+def missing_pct(df: DataFrame, cols: Sequence[str], long: bool = False) -> DataFrame:
+    """K4: ``ROUND(100 * share of NULL-or-blank, 3)`` per column, one row
+    (``long``: one (column_name, pct_missing) row per column).
 
     The reference divides by zero on an empty table; here the value is NULL.
     """
@@ -71,7 +88,11 @@ def missing_pct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for c in cols:
         missing = F.sum(F.when(F.col(c).isNull() | (F.trim(F.col(c)) == ""), 1).otherwise(0))
         aggs.append(round_ratio(missing * 100, n, 3).alias(f"pct_missing_{c}"))
-    return df.agg(*aggs)
+    wide = df.agg(*aggs)
+    if not long:
+        return wide
+    stack = ", ".join(f"'{c}', `pct_missing_{c}`" for c in cols)
+    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, pct_missing)")
 
 
 def near_duplicates(df: DataFrame, col: str, limit: int | None = 100) -> DataFrame:

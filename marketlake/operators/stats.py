@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -112,6 +112,21 @@ def above_see(df: DataFrame, y: str, x: str) -> DataFrame:
     return out.select(*df.columns, pred.alias("predicted"), F.col("_see").alias("see"))
 
 
+def share_over(df: DataFrame, col: str, by: Sequence[str] = (), percent: bool = True) -> DataFrame:
+    """``col`` as a share of its total (within ``by`` groups), as a double.
+
+    A window over the frame: meant for aggregated frames (segments, tiers).
+    """
+    w = Window.partitionBy(*by)
+    share = F.col(col).cast("double") / F.sum(col).over(w).cast("double")
+    return df.withColumn(f"{col}_pct" if percent else f"{col}_share", share * 100 if percent else share)
+
+
+def after(df: DataFrame, col: str, start: str) -> DataFrame:
+    """Rows whose ``col`` sorts after ``start`` (burn-in cut, string compare)."""
+    return df.filter(F.col(col) > F.lit(start))
+
+
 def grouped_median(df: DataFrame, col: str, by: Sequence[str], scale: int = 100) -> DataFrame:
     """Exact median per group of a value with ``log10(scale)`` decimals.
 

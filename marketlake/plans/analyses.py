@@ -84,10 +84,9 @@ def a11_high_yield(spark, sf_dir):
 
 def a12_shares(spark, sf_dir):
     """Revenue and unit shares (percent) of the top-5 segments and other."""
-    v10 = R.v10_top_categories(_m(spark, sf_dir))
-    units = F.sum("total_units").over(Window.partitionBy())
+    v10 = stats.share_over(R.v10_top_categories(_m(spark, sf_dir)), "total_units")  # top_n + 1 rows
     return v10.select("market_segment", (F.col("perc_in_revenue") * 100).alias("revenue_pct"),
-                      (F.col("total_units").cast("double") / units.cast("double") * 100).alias("units_pct"))
+                      F.col("total_units_pct").alias("units_pct"))
 
 
 def a13_tier_shares(spark, sf_dir):
@@ -135,8 +134,8 @@ def a17_revenue_at_risk(spark, sf_dir):
 def a19_burn_in(spark, sf_dir, after: str = BURN_IN_AFTER):
     """A18 + A19: monthly revenue and T3M per segment after the burn-in month."""
     v13 = R.v13_mom_growth(_m(spark, sf_dir))
-    return v13.filter(F.col("monthly") > after).select("market_segment", "monthly", "this_month_revenue",
-                                                       "t3m_revenue")
+    return stats.after(v13, "monthly", after).select("market_segment", "monthly", "this_month_revenue",
+                                                     "t3m_revenue")
 
 
 def a20_pivot_start_end(spark, sf_dir, start: str = PIVOT_START, end: str = PIVOT_END):

@@ -22,6 +22,7 @@ from marketlake.functions.parse import (blank_to_null, guarded_int, guarded_mone
                                         guarded_ts, is_float_text, norm_key, round_coord, strict_ts)
 from marketlake.operators.dedup import collapse, latest_per_key
 from marketlake.operators.keys import assign_sk, link_geo, resolve_fk
+from marketlake.operators.quality import require_key
 from marketlake.operators.upsert import scd1_upsert
 from marketlake.plans.staging import staging
 from marketlake.sources.catalog import materialize
@@ -54,36 +55,36 @@ def _collapsed_audit():
 # ---------------------------------------------------------------- cleaning
 
 def clean_products(stg: DataFrame) -> DataFrame:
-    return stg.select(
+    return require_key(stg.select(
         blank_to_null("product_id").alias("product_id"),
         blank_to_null("product_category_name").alias("product_category"),
         *[guarded_number(c).alias(n) for c, n in PRODUCT_MEASURES.items()],
-        *_LOAD).filter(F.col("product_id").isNotNull())
+        *_LOAD), ["product_id"])
 
 
 def clean_sellers(stg: DataFrame) -> DataFrame:
-    return stg.select(
+    return require_key(stg.select(
         blank_to_null("seller_id").alias("seller_id"),
         blank_to_null("seller_zip_code_prefix").alias("seller_zip"),
         blank_to_null("seller_city").alias("seller_city"),
         blank_to_null("seller_state").alias("seller_state"),
-        *_LOAD).filter(F.col("seller_id").isNotNull())
+        *_LOAD), ["seller_id"])
 
 
 def clean_orders(stg: DataFrame) -> DataFrame:
-    return stg.select(
+    return require_key(stg.select(
         blank_to_null("order_id").alias("order_id"),
         blank_to_null("customer_id").alias("customer_id"),
         blank_to_null("order_status").alias("order_status"),
         *[strict_ts(c).alias(n) for c, n in ORDER_TIMES.items()],
-        *_LOAD).filter(F.col("order_id").isNotNull())
+        *_LOAD), ["order_id"])
 
 
 def clean_category(stg: DataFrame) -> DataFrame:
-    return stg.select(
+    return require_key(stg.select(
         blank_to_null("product_category_name").alias("prod_cat"),
         blank_to_null("product_category_name_english").alias("prod_cat_eng"),
-        *_LOAD).filter(F.col("prod_cat").isNotNull())
+        *_LOAD), ["prod_cat"])
 
 
 def parse_geo(stg: DataFrame) -> DataFrame:
