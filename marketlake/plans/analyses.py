@@ -144,6 +144,13 @@ def a20_pivot_start_end(spark, sf_dir, start: str = PIVOT_START, end: str = PIVO
     return stats.pivot_start_end(v13, "market_segment", "monthly", "t3m_revenue", start, end)
 
 
+def a21_axis_labels(spark, sf_dir):
+    """The distinct month labels of the late-rate series, in order."""
+    v7 = R.v7_l6m_late_rate(_m(spark, sf_dir))
+    return (v7.select(F.date_format("monthly", "yyyy-MM").alias("month")).distinct()
+            .orderBy(F.asc_nulls_last("month")))
+
+
 QUERIES = {
     "a1_box_stats": a1_box_stats,
     "a2_box_one_quarter": a2_box_one_quarter,
@@ -160,4 +167,5 @@ QUERIES = {
     "a17_revenue_at_risk": a17_revenue_at_risk,
     "a19_burn_in": a19_burn_in,
     "a20_pivot_start_end": a20_pivot_start_end,
+    "a21_axis_labels": a21_axis_labels,
 }

@@ -127,4 +127,6 @@ SELECT market_segment,
        MAX(CASE WHEN monthly = '{PIVOT_END}' THEN t3m_revenue END)
          - MAX(CASE WHEN monthly = '{PIVOT_START}' THEN t3m_revenue END) AS net_change
 FROM v13 WHERE monthly IN ('{PIVOT_START}', '{PIVOT_END}') GROUP BY market_segment"""),
+    "a21_axis_labels": with_views(["v7"], """
+SELECT DISTINCT strftime(monthly, '%Y-%m') AS month FROM v7 ORDER BY month NULLS LAST"""),
 }
