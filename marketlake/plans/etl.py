@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.parse import (blank_to_null, guarded_int, guarded_money, guarded_number,
                                         guarded_ts, is_float_text, norm_key, round_coord, strict_ts)
-from marketlake.operators.dedup import collapse, latest_per_key
+from marketlake.operators.dedup import latest_per_key
 from marketlake.operators.keys import assign_sk, link_geo, resolve_fk
 from marketlake.operators.quality import require_key
 from marketlake.operators.upsert import scd1_upsert

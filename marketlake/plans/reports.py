@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.exact import cents, ratio, round_ratio
-from marketlake.operators.quantiles import exact_quantiles, grouped_quantiles, quantiles_from_counts
+from marketlake.operators.quantiles import exact_quantiles, quantiles_from_counts
 from marketlake.operators.segments import (category_name, market_leaders, segment_by_leader,
                                            tier_by_thresholds, top_n_flag)
 from marketlake.plans.model import StarModel
