@@ -74,8 +74,15 @@ def v2_market_leaders(m: StarModel, n: int = 3) -> DataFrame:
     return market_leaders(m.fact_items, n=n)
 
 
+def _leaders(m: StarModel, leaders: DataFrame | None) -> DataFrame:
+    """Explicit leaders, else the stored leaders view, else computed from the fact."""
+    if leaders is not None:
+        return leaders
+    return m.leaders if m.leaders is not None else v2_market_leaders(m)
+
+
 def v3_segment_median(m: StarModel, leaders: DataFrame | None = None) -> DataFrame:
-    leaders = leaders if leaders is not None else v2_market_leaders(m)
+    leaders = _leaders(m, leaders)
     seg = segment_by_leader(seller_periodic_volume(m), leaders)
     out = seg.groupBy("quarterly", "market_segment").agg(
         F.percentile("order_volume", 0.5).alias("median_segment_volume"))
@@ -104,7 +111,7 @@ def v4_seller_delay_tier(m: StarModel) -> DataFrame:
 
 
 def v5_segment_delay_risk(m: StarModel, leaders: DataFrame | None = None) -> DataFrame:
-    leaders = leaders if leaders is not None else v2_market_leaders(m)
+    leaders = _leaders(m, leaders)
     idl = (_delivered_with_estimate(m).select("order_sk", _is_late_by_day().alias("is_late"))
            .join(m.fact_items.select("order_sk", "seller_sk"), "order_sk", "inner"))
     seg = segment_by_leader(idl, leaders)
@@ -123,7 +130,7 @@ def v5_segment_delay_risk(m: StarModel, leaders: DataFrame | None = None) -> Dat
 
 
 def v6_late_counts(m: StarModel, leaders: DataFrame | None = None) -> DataFrame:
-    leaders = leaders if leaders is not None else v2_market_leaders(m)
+    leaders = _leaders(m, leaders)
     ovs = (segment_by_leader(m.fact_items.select("order_sk", "seller_sk"), leaders)
            .select("order_sk", "market_segment").distinct())
     o = _delivered_with_estimate(m).join(ovs, "order_sk", "inner")
@@ -253,7 +260,7 @@ def v12_state_reliability(m: StarModel) -> DataFrame:
 
 
 def v13_mom_growth(m: StarModel, leaders: DataFrame | None = None) -> DataFrame:
-    leaders = leaders if leaders is not None else v2_market_leaders(m)
+    leaders = _leaders(m, leaders)
     items = m.fact_items.select("order_sk", "seller_sk", "price").join(
         m.dim_orders.select("order_sk", "order_purchase_t"), "order_sk", "left")
     seg = segment_by_leader(items, leaders).select(
