@@ -28,9 +28,17 @@ from pyspark.sql import functions as F
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 4096,
                     names: Sequence[str] | None = None) -> DataFrame:
     """One row with the exact ``PERCENTILE_CONT(p)`` of ``col`` for each p (NULLs ignored)."""
+    vc = df.select(F.col(col).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    return exact_quantiles_from_counts(vc, "_v", "_c", probs, buckets, names)
+
+
+def exact_quantiles_from_counts(counts: DataFrame, value: str, count: str, probs: Sequence[float],
+                                buckets: int = 4096, names: Sequence[str] | None = None) -> DataFrame:
+    """``exact_quantiles`` over a (value, count) frame, e.g. value counts an
+    aggregation already produced; NULL values are ignored, values may repeat."""
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    v = F.col(col).cast("double")
-    vc = df.select(v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    vc = (counts.select(F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
+          .filter(F.col("_v").isNotNull()).groupBy("_v").agg(F.sum("_c").alias("_c")))
     bounds = vc.agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_c").alias("_n"))
     # one row: value range and row count. Equal-width range buckets are monotone
     # in the value (width_bucket: O(1), code-generated); each holds distinct values only.
