@@ -6,10 +6,14 @@ shapes:
 * money is summed as exact decimals and returned as double;
 * count and money ratios are rounded with exact integer arithmetic
   (``functions.exact``) so the last digit never depends on binary floats;
-* per-group thresholds are aggregated first and joined back; global
-  thresholds are one-row aggregates cross-joined by broadcast (1 row);
+* per-quarter thresholds are aggregated and joined back (one row per
+  quarter, broadcast); the global per-seller thresholds of V4 are a
+  one-row aggregate cross-joined by broadcast; thresholds over the few
+  segment rows of V5 and all rankings / shares over categories are
+  windows over those aggregated frames;
 * windows only run over aggregated frames (segments x months,
-  states x tiers, top-5 + other), never over raw rows.
+  states x tiers, categories, top-5 + other), never over raw rows, and
+  each view scans the stored item fact once.
 """
 
 from __future__ import annotations
