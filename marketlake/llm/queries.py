@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import simhash
+from marketlake.llm import decontaminate, langid, mixing, sharding, simhash
 from marketlake.llm.common import table
 
 
@@ -17,9 +17,33 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.train(docs.filter(~F.col("held_out")))
+    found = langid.label(docs.select("doc_id", "held_out", "text"), model, keep=("held_out",))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score", "spans")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"), mixing.word_count())
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
+    "op3_sharding": op3_sharding,
+    "op4_decontamination": op4_decontamination,
+    "op10_mixing": op10_mixing,
 }
 
 #: DuckDB SQL where SQL can express the query.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_mixing": mixing.OP10_SQL}
