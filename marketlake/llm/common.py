@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def extended(batch: pa.RecordBatch, drop: tuple, **new: pa.Array) -> pa.RecordBatch:
+    """``batch`` without some columns and with new ones at the end; the others are passed on as they are."""
+    kept = [n for n in batch.schema.names if n not in drop]
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *new.values()], names=[*kept, *new])
+
+
+def ddl(df: DataFrame, drop: tuple = ()) -> str:
+    """The schema of ``df`` without some columns, for mapInArrow."""
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name not in drop)
+
+
 def id_text(c: Column) -> Column:
     """An id as text; null becomes the empty text."""
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,13 +134,13 @@ def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length:
     return doc[at], at - first[doc[at]], h, n, size, slots
 
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
-        texts = b["t"].fillna("").tolist()
+        texts = [t.as_py() or "" for t in b.column("t")]
         sizes = np.cumsum([len(t) for t in texts])
         cuts = [0, *(np.nonzero(np.diff(sizes // PIECE_CHARS))[0] + 1).tolist(), len(texts)]
         for a, z in zip(cuts, cuts[1:]):
-            yield b["id"].iloc[a:z].reset_index(drop=True), texts[a:z]
+            yield b.column("id").slice(a, z - a), texts[a:z]
 
 
 def item_windows(benchmark: DataFrame, settings: Settings, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -149,11 +149,12 @@ def item_windows(benchmark: DataFrame, settings: Settings, id_col: str = "item_i
         tokens = _Tokens()
         for ids, texts in _texts(batches):
             doc, pos, h, n, _, slots = _windows(texts, tokens, list(range(settings.least_tokens, settings.window + 1)), settings.window)
-            yield pd.DataFrame({"item_id": ids.to_numpy()[doc], "pos": pos, "h": h.view(np.int64), "n": n, "vals": slots(np.arange(len(doc)))})
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(pos), pa.array(h.view(np.int64)), pa.array(n), pa.array(slots(np.arange(len(doc))), pa.list_(pa.int64()))],
+                                             names=["item_id", "pos", "h", "n", "vals"])
 
     rows = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).distinct()
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInPandas(run, f"item_id {kind}, pos int, h long, n int, vals array<long>")
+    found = rows.mapInArrow(run, f"item_id {kind}, pos long, h long, n long, vals array<long>")
     return found.groupBy("item_id", "h").agg(F.min_by(F.struct("pos", "n", "vals"), "pos").alias("w")).select("item_id", "h", "w.*")
 
 
@@ -188,10 +189,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
             doc, pos, h, _, _, slots = _windows(texts, tokens, lengths)
             x = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
             hit = np.nonzero(bitmap[x >> 3] >> (x & 7).astype(np.uint8) & 1)[0]
-            yield pd.DataFrame({"doc_id": ids.to_numpy()[doc[hit]], "h": h[hit].view(np.int64), "at": pos[hit], "got": slots(hit)})
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[hit])), pa.array(h[hit].view(np.int64)), pa.array(pos[hit]), pa.array(slots(hit), pa.list_(pa.int64()))],
+                                             names=["doc_id", "h", "at", "got"])
 
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    windows = rows.mapInPandas(run, "doc_id long, h long, at long, got array<long>")
+    windows = rows.mapInArrow(run, "doc_id long, h long, at long, got array<long>")
     aligned = (windows.join(items, "h").groupBy("doc_id", "item_id", (F.col("at") - F.col("pos")).alias("shift"))
                .agg(F.collect_set("h").alias("hs"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("vals", "got")))).alias("pairs")))
     consistent = aligned.filter("size(pairs) = size(array_distinct(transform(pairs, p -> p.vals)))")

@@ -26,10 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import in_sample
+from marketlake.llm.common import ddl, extended, in_sample
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (1, 2, 3, 4)
@@ -299,22 +300,22 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     them. Null texts, texts without letters, and every text where nothing was
     learned, are ``und`` with score 0 and no spans. Repeated rows stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logp, model.allowed, model.penalty))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _Words(shared.value)
+    spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words(Model(*shared.value))
         for b in batches:
-            texts = b["t"].fillna("").tolist()
+            texts = [t.as_py() or "" for t in b.column("t")]
             sizes = np.cumsum([len(t) for t in texts])
             cuts = [0, *(np.nonzero(np.diff(sizes // PIECE_CHARS))[0] + 1).tolist(), len(texts)]
             for a, z in zip(cuts, cuts[1:]):
                 if len(words) > CACHE_WORDS:
-                    words = _Words(shared.value)
+                    words = _Words(Model(*shared.value))
                 got = _label_piece(texts[a:z], words)
-                yield b.iloc[a:z].drop(columns="t").assign(
-                    lang_pred=[x[0] for x in got], score=[x[1] for x in got],
-                    spans=[[{"start": p, "end": q, "lang": g} for p, q, g in x[2]] for x in got])
+                yield extended(b.slice(a, z - a), ("t",), lang_pred=pa.array([x[0] for x in got], pa.string()), score=pa.array([x[1] for x in got], pa.float64()),
+                               spans=pa.array([[{"start": p, "end": q, "lang": g} for p, q, g in x[2]] for x in got], spans))
 
     rows = docs.select(F.col(id_col).alias("id"), *keep, F.col(text_col).alias("t"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "t")
-    return rows.mapInPandas(run, f"{schema}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
+    return rows.mapInArrow(run, f"{ddl(rows, ('t',))}lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")

@@ -26,12 +26,12 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import discard, stored
+from marketlake.llm.common import discard, extended, stored
 from marketlake.llm.components import components
 
 SEED = 42
@@ -69,13 +69,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null and empty texts have fingerprint 0. Other columns are not read.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b["t"]], np.uint64)
-            yield pd.DataFrame({"id": b["id"], "fp": fps.view(np.int64)})
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column("t")], np.uint64)
+            yield extended(b, ("t",), fp=pa.array(fps.view(np.int64)))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, fp long")
 
 
 def block_count(n: int, max_bits: int) -> int:
