@@ -32,7 +32,7 @@ NUMBER_RE = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:[a-z%°]{0,3})$")
 STRIP = "\"'`´“”„«»‘’()[]{}<>.,;:!?…-–—*#$%&|/\\_=+~^@"
 ENDS = re.compile(r"[.!?…:;]")
 BITMAP_BITS = 22
-CACHE_WORDS, PIECE_CHARS = 400_000, 4_000_000
+CACHE_WORDS, PIECE_CHARS = 200_000, 1_000_000
 
 # Number words and units that stand for a slot.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "

@@ -37,7 +37,7 @@ ORDERS = (1, 2, 3, 4)
 BUCKET_BITS = 16
 MAX_LANGUAGES = 256
 #: Characters handled at a time, and words kept in a worker's score cache.
-PIECE_CHARS, CACHE_WORDS = 4_000_000, 400_000
+PIECE_CHARS, CACHE_WORDS = 1_000_000, 200_000
 STEP = 128
 
 # First code point of each script range (Unicode blocks), in order.
