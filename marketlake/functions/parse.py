@@ -18,7 +18,7 @@ INTEGER = r"^\d+\z"
 TS_PREFIX = r"^\d{4}-\d{2}-\d{2}"                # guarded timestamp prefix
 FLOAT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z"  # coordinates
 
-MEASURE_TYPE = "decimal(20,4)"
+MEASURE_TYPE = "decimal(38,18)"
 MONEY_TYPE = "decimal(10,2)"
 COORD_TYPE = "decimal(38,18)"
 TS_TYPE = "timestamp_ntz"
@@ -36,11 +36,11 @@ def blank_to_null(c: Column | str) -> Column:
 def guarded_number(c: Column | str, pattern: str = NUMERIC, dtype: str = MEASURE_TYPE) -> Column:
     """Cast only text matching ``pattern``; no trim first (``' 12 '`` -> NULL).
 
-    A value that matches but overflows ``dtype`` yields NULL (``try_cast``)
-    where the reference engine would abort the statement.
+    A value that matches but overflows ``dtype`` raises (ANSI cast), as the
+    reference engine aborts the statement: no value is lost silently.
     """
     c = _c(c)
-    return F.when(c.rlike(pattern), c.try_cast(dtype))
+    return F.when(c.rlike(pattern), c.cast(dtype))
 
 
 def guarded_money(c: Column | str) -> Column:
@@ -51,13 +51,13 @@ def guarded_money(c: Column | str) -> Column:
 def guarded_int(c: Column | str, lo: int | None = None, hi: int | None = None) -> Column:
     """``^\\d+$`` to int, optionally also range-checked (score 1..5)."""
     c = _c(c)
-    ok = c.rlike(INTEGER)
-    v = c.try_cast("int")
+    v = c.cast("int")  # raises on overflow; only reached by text that passed the guard
+    inside = F.lit(True)
     if lo is not None:
-        ok = ok & (v >= lo)
+        inside = inside & (v >= lo)
     if hi is not None:
-        ok = ok & (v <= hi)
-    return F.when(ok, v)
+        inside = inside & (v <= hi)
+    return F.when(c.rlike(INTEGER), v if lo is None and hi is None else F.when(inside, v))
 
 
 def strict_ts(c: Column | str) -> Column:

@@ -78,6 +78,8 @@ def link_geo(sellers: DataFrame, geo: DataFrame) -> DataFrame:
     smallest geo_sk per zip is used, which makes the link deterministic.
     """
     per_zip = geo.groupBy(norm_key(F.col("geo_zip")).alias("_zip")).agg(F.min("geo_sk").alias("geo_sk"))
-    base = sellers.drop("geo_sk") if "geo_sk" in sellers.columns else sellers
+    had = F.col("_had") if "geo_sk" in sellers.columns else F.lit(None).cast("long")
+    base = sellers.withColumnRenamed("geo_sk", "_had")
     j = base.join(per_zip, norm_key(F.col("seller_zip")) == F.col("_zip"), "left")
-    return j.select(*base.columns, "geo_sk")
+    # a zip that no longer matches keeps its link, as an update from a join would
+    return j.select(*[c for c in base.columns if c != "_had"], F.coalesce("geo_sk", had).alias("geo_sk"))

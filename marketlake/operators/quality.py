@@ -45,7 +45,7 @@ def format_violations(df: DataFrame, rules: Mapping[str, str], show: Sequence[st
         v = _violates(col, pattern)
         cond = v if cond is None else cond | v
     out = df.filter(cond).select(*(show or df.columns))
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def violation_counts(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -58,7 +58,7 @@ def violation_counts(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
     """K3: natural keys occurring more than once, with their count."""
     out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).filter("duplicate_count > 1")
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def require_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -95,7 +95,7 @@ def missing_pct(df: DataFrame, cols: Sequence[str], long: bool = False) -> DataF
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, pct_missing)")
 
 
-def near_duplicates(df: DataFrame, col: str, limit: int | None = 100) -> DataFrame:
+def near_duplicates(df: DataFrame, col: str, limit: int | None = None) -> DataFrame:
     """K5: values that collapse under ``lower(trim(x))`` with their variants.
 
     Variants are the distinct raw spellings of one normalised value (deduped
@@ -108,7 +108,7 @@ def near_duplicates(df: DataFrame, col: str, limit: int | None = 100) -> DataFra
         F.count_distinct(col).alias("distinct_variants"),
         F.array_join(F.sort_array(F.collect_set(col)), "|").alias("variants"))
     out = g.filter("distinct_variants > 1").orderBy(F.desc("total_rows"), F.asc_nulls_last(f"{col}_norm"))
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def guarded_range(df: DataFrame, cols: Sequence[str], parse) -> DataFrame:
@@ -136,7 +136,7 @@ def unmatched(df: DataFrame, fk: str, show: Sequence[str], order: Sequence[str],
               limit: int | None = None) -> DataFrame:
     """K8: rows whose foreign key did not resolve."""
     out = df.filter(F.col(fk).isNull()).select(*show).orderBy(*[F.asc_nulls_last(c) for c in order])
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def unmatched_values(df: DataFrame, fk: str, col: str) -> DataFrame:

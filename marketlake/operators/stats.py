@@ -19,12 +19,12 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5
     q = df.groupBy(*by).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("_q"), F.count(value).alias("n"))
     q = q.select(*[F.col(b).alias(f"_g{i}") for i, b in enumerate(by)], "n",
                  F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    # one row per group (bounded by the number of groups); NULL groups match too
+    # one row per group, as many as the caller's groups: AQE decides on a broadcast; NULL groups match too
     cond = None
     for i, b in enumerate(by):
         c = F.col(b).eqNullSafe(F.col(f"_g{i}"))
         cond = c if cond is None else cond & c
-    j = df.select(*by, value).join(F.broadcast(q), cond, "inner")
+    j = df.select(*by, value).join(q, cond, "inner")
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
     v = F.col(value)

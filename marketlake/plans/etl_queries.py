@@ -97,7 +97,7 @@ def k4_missing_pct(spark, sf_dir):
 
 
 def k5_city_variants(spark, sf_dir):
-    return Q.near_duplicates(_stg(spark, sf_dir, "sellers"), "seller_city", limit=100)
+    return Q.near_duplicates(_stg(spark, sf_dir, "sellers"), "seller_city")
 
 
 def k6_date_range(spark, sf_dir):
@@ -156,6 +156,10 @@ def l2_collapse_geo(spark, sf_dir):
     return as_output(etl.collapse_geo(_stg(spark, sf_dir, "geolocation")))
 
 
+def p12_payment_rejects(spark, sf_dir):
+    return etl.payment_rejects(_stg(spark, sf_dir, "order_payments")).select("order_id", "payment_sequential", "loaded_file", "staging_id")
+
+
 def l3_review_dedup(spark, sf_dir):
     return etl.dedup_reviews(_stg(spark, sf_dir, "order_reviews"))
 
@@ -168,11 +172,11 @@ def _wh_table(name, runs=2):
 
 
 def l7_surrogate_keys(spark, sf_dir):
-    return etl.warehouse(spark, sf_dir, runs=1).products.select("product_sk", "product_id")
+    return etl.warehouse(spark, sf_dir, runs=2).products.select("product_sk", "product_id")
 
 
 def l8_fact_fk(spark, sf_dir):
-    return etl.warehouse(spark, sf_dir, runs=1).items.select(
+    return etl.warehouse(spark, sf_dir, runs=2).items.select(
         "order_id", "order_item_id", "order_sk", "product_sk", "seller_sk")
 
 
@@ -202,6 +206,7 @@ QUERIES = {
     "l2_collapse_payments": l2_collapse_payments,
     "l2_collapse_geo": l2_collapse_geo,
     "l3_review_dedup": l3_review_dedup,
+    "p12_payment_rejects": p12_payment_rejects,
     **{f"l4_upsert_{t}": _wh_table(t) for t in
        ("products", "sellers", "orders", "category", "geolocation", "items", "payments", "reviews")},
     "l7_surrogate_keys": l7_surrogate_keys,

@@ -222,9 +222,9 @@ _K11 = [("items", "product_id", "products", "product_id", "items.product_id -> p
 
 QUERIES = {
     **{f"l4_upsert_{t}": warehouse_sql(_doubles(t, 2)) for t in ORDER},
-    "l7_surrogate_keys": warehouse_sql("SELECT product_sk, product_id FROM wh_products_1", runs=1),
+    "l7_surrogate_keys": warehouse_sql("SELECT product_sk, product_id FROM wh_products_2"),
     "l8_fact_fk": warehouse_sql(
-        "SELECT order_id, order_item_id, order_sk, product_sk, seller_sk FROM wh_items_1", runs=1),
+        "SELECT order_id, order_item_id, order_sk, product_sk, seller_sk FROM wh_items_2"),
     "l10_geo_link": warehouse_sql("SELECT seller_sk, seller_id, seller_zip, geo_sk FROM wh_sellers_2"),
     "k8_unmatched_sellers": warehouse_sql(
         "SELECT seller_sk, seller_id, seller_zip FROM wh_sellers_2 WHERE geo_sk IS NULL "

@@ -47,11 +47,12 @@ def _delivered_with_estimate(m: StarModel) -> DataFrame:
 
 
 def seller_periodic_volume(m: StarModel) -> DataFrame:
-    """Distinct orders per (seller, purchase quarter)."""
-    base = m.fact_items.select("seller_sk", "order_sk").join(
-        m.dim_orders.select("order_sk", "order_purchase_t"), "order_sk", "left")
+    """Distinct known orders per (seller, purchase quarter); items without an order row count none."""
+    known = m.dim_orders.select(F.col("order_sk").alias("known_order"), "order_purchase_t")
+    items = m.fact_items.select("seller_sk", "order_sk")
+    base = items.join(known, items["order_sk"] == known["known_order"], "left")
     return (base.groupBy("seller_sk", quarter_label(F.col("order_purchase_t")).alias("quarterly"))
-            .agg(F.count_distinct("order_sk").alias("order_volume")))
+            .agg(F.count_distinct("known_order").alias("order_volume")))
 
 
 def v1_seller_quarterly(m: StarModel) -> DataFrame:

@@ -53,11 +53,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be storage every
-    executor sees. Only when it is unset (unit tests, a laptop) a private
-    temporary folder is created and registered.
+    executor sees; without it a cluster job fails. Only a ``local`` master
+    (unit tests, a laptop) gets a private temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -28,21 +28,25 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
              path_glob: str | None = None, header: bool = True) -> DataFrame:
     """Header CSV into string columns plus ``_file``.
 
-    ``on_malformed``: ``fail`` (FAILFAST), ``skip`` (DROPMALFORMED) or ``keep``
+    ``on_malformed``: ``fail`` (FAILFAST), ``skip`` (lines that do not parse
+    against all columns go, whatever columns are asked for later) or ``keep``
     (PERMISSIVE with the raw line in ``_corrupt_record``). ``multiline``
     allows quoted newlines (review comments) at the cost of whole-file splits.
     """
-    mode = {"fail": "FAILFAST", "skip": "DROPMALFORMED", "keep": "PERMISSIVE"}[on_malformed]
-    reader = (spark.read.schema(text_schema(columns, on_malformed == "keep"))
+    mode = {"fail": "FAILFAST", "skip": "PERMISSIVE", "keep": "PERMISSIVE"}[on_malformed]
+    reader = (spark.read.schema(text_schema(columns, on_malformed != "fail"))
               .option("header", header).option("mode", mode).option("escape", '"')
               .option("multiLine", multiline).option("encoding", encoding)
               .option("enforceSchema", False))
-    if on_malformed == "keep":
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    if on_malformed != "fail":
+        # with column pruning a line would only be judged by the columns a query asks for
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
-    return df.withColumn("_file", F.col("_metadata.file_name"))
+    if on_malformed == "skip":
+        df = df.filter(F.col(CORRUPT).isNull()).select(*columns, "_metadata")
+    return df.withColumn("_file", F.col("_metadata.file_name")).drop("_metadata")
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -21,18 +21,22 @@ from marketlake.functions.text import transliterate_col
 # Fixed value: the reference's decoder order.
 ENCODINGS = ("utf-8", "latin1", "iso-8859-1", "cp1252")
 
+# What cp1252 has where Latin-1 has control codes, by the codec; codes it leaves open stay.
+C1 = "".join(map(chr, range(0x80, 0xA0)))
+CP1252 = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c for c in C1)
+
 _SPARK_CHARSET = {"utf-8": "UTF-8", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1",
                   "cp1252": "ISO-8859-1"}
 
 
 def raw_lines(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """Every line as undecoded bytes, with its file name.
+    """Every line as undecoded bytes, with the full path of its file.
 
     The text source copies line bytes without decoding them, so the value
     column still holds the file's original bytes.
     """
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path)
-    return df.select(F.col("_metadata.file_name").alias("file"),
+    return df.select(F.col("_metadata.file_path").alias("file"),
                      F.col("value").alias("raw"),
                      F.col("value").cast("binary").alias("bytes"))
 
@@ -40,10 +44,9 @@ def raw_lines(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bo
 def detect_encoding(lines: DataFrame, candidates: Sequence[str] = ENCODINGS) -> DataFrame:
     """Per file, the first candidate that decodes every line."""
     valid = lines.groupBy("file").agg(F.min(F.is_valid_utf8(F.col("raw"))).alias("_utf8"))
-    first_fallback = next((c for c in candidates if c != "utf-8"), None)
-    enc = F.when(F.col("_utf8") & F.lit("utf-8" in candidates), F.lit("utf-8"))
-    if first_fallback:
-        enc = enc.otherwise(F.lit(first_fallback))
+    enc = F.lit(None).cast("string")
+    for c in reversed(candidates):  # the others decode every byte
+        enc = F.when(F.col("_utf8"), F.lit(c)).otherwise(enc) if c == "utf-8" else F.lit(c)
     return valid.select("file", enc.alias("encoding"))
 
 
@@ -53,7 +56,8 @@ def decode_lines(lines: DataFrame, encodings: DataFrame) -> DataFrame:
     text = F.when(F.col("encoding") == "utf-8", F.decode(F.col("bytes"), "UTF-8"))
     for name, cs in _SPARK_CHARSET.items():
         if name != "utf-8":
-            text = text.when(F.col("encoding") == name, F.decode(F.col("bytes"), cs))
+            decoded = F.decode(F.col("bytes"), cs)
+            text = text.when(F.col("encoding") == name, F.translate(decoded, C1, CP1252) if name == "cp1252" else decoded)
     return j.select("file", "encoding", F.regexp_replace(text, "\r$", "").alias("line"))
 
 
