@@ -39,11 +39,11 @@ class Settings:
     """``sample`` bounds the rows that centres are fitted on and ``max_cells`` the centres; every vector is indexed."""
 
     cosine: float = 0.95
-    probe: float = 4.0
+    probe: float = 3.0
     bound: float = 4.0
     sample: int = 16384
     max_cells: int = 1024
-    block: int = 2048
+    block: int = 8192
     seed: int = 6
 
 
@@ -162,7 +162,7 @@ def _links_of_dimension(distinct: DataFrame, settings: Settings) -> DataFrame:
     picked = distinct.filter(in_sample(F.col("vid"), min(1.0, settings.sample / total))).select("v").limit(2 * settings.sample).toPandas()["v"]
     if not len(picked):
         picked = distinct.select("v").limit(settings.sample).toPandas()["v"]
-    cells = int(min(settings.max_cells, max(1, round(np.sqrt(total) / 2))))
+    cells = int(min(settings.max_cells, max(1, round(np.sqrt(total)))))
     centres = fit_centres(_unit(picked), cells, settings.seed)
     members = stored(distinct.mapInPandas(_route(centres, settings), MEMBER), "members")
     sizes = {r["cell"]: -(-r["count"] // settings.block) for r in members.groupBy("cell").count().collect()}
