@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import ddl, extended, in_sample
+from marketlake.llm.common import ddl, extended, in_sample, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,9 +57,9 @@ def _sample(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[DataFrame,
     flag = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic") > 0).alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in flag.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic"), min(1.0, s.per_class / max(1, sizes.get(True, 0)))).otherwise(min(1.0, s.per_class / max(1, sizes.get(False, 0))))
-    picked = flag.filter(in_sample(F.col("id"), share))
+    picked = stored(flag.filter(in_sample(F.col("id"), share)), "picked")  # about 2 per_class rows: bounded, so broadcast
     texts = docs.filter("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
-    return texts.join(picked, "id").select("t", "toxic"), sizes
+    return stored(texts.join(F.broadcast(picked), "id").select("t", "toxic"), "labelled"), sizes
 
 
 def parts(text: str) -> Counter:
