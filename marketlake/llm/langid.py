@@ -248,13 +248,15 @@ def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
 def _label_piece(texts: list[str], words: _Words) -> list[tuple]:
     """(language, score, spans) per text."""
     m = words.model
+    if not m.languages:
+        return [("und", 0.0, [])] * len(texts)
     found = [WORD.findall(t.lower()) for t in texts]
     counts = np.array([len(f) for f in found])
     ids = [np.fromiter(map(words.__getitem__, f), np.int64, len(f)) for f in found]
     words.score()
     out: list[tuple] = [("und", 0.0, [])] * len(texts)
     at = [i for i in range(len(texts)) if counts[i] and words.letters[ids[i]].any()]
-    if not at or not m.languages:
+    if not at:
         return out
     flat = np.concatenate([ids[i] for i in at])
     s = words.scores[flat].astype(np.float64)
