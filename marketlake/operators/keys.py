@@ -12,7 +12,9 @@ because md5 is) and add the bucket offset.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +57,23 @@ def assign_sk(df: DataFrame, keys: Sequence[str], sk: str, digits: int = HEX_DIG
     return old.select(*cols).unionByName(new.select(*cols))
 
 
+def keyed_incoming(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], sk: str,
+                   store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """L7 ahead of the upsert: ``incoming`` with the stored ``sk`` of its key, or a new one.
+
+    ``store`` writes the deduplicated rows once; the numbering reads what it
+    returns, so cleaning and dedup run once and the upsert's outer join is
+    not part of the numbering.
+    """
+    if existing is None:
+        known = incoming.withColumn(sk, F.lit(None).cast("long"))
+    else:
+        stored_keys = existing.select(*[F.col(k).alias(f"_{k}") for k in keys], sk)
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        known = incoming.join(stored_keys, same, "left").select(*incoming.columns, sk)
+    return assign_sk(store(known), keys, sk, previous=existing)
+
+
 def resolve_fk(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str, str, str]]) -> DataFrame:
     """Natural key -> surrogate key via LEFT JOINs.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.parse import (blank_to_null, guarded_int, guarded_money, guarded_number,
                                         guarded_ts, is_float_text, norm_key, round_coord, strict_ts)
 from marketlake.operators.dedup import latest_per_key
-from marketlake.operators.keys import assign_sk, link_geo, resolve_fk
+from marketlake.operators.keys import keyed_incoming, link_geo, resolve_fk
 from marketlake.operators.quality import require_key
 from marketlake.operators.upsert import scd1_upsert
 from marketlake.plans.staging import staging
@@ -176,6 +176,10 @@ def _order(df: DataFrame, sk, keys, attrs) -> DataFrame:
     return df.select(*head, *keys, *attrs, *rest)
 
 
+def _keyed(incoming: DataFrame, existing: DataFrame | None, keys, sk: str, table: str) -> DataFrame:
+    return keyed_incoming(incoming, existing, keys, sk, lambda df: materialize(df, f"warehouse/{table}-incoming"))
+
+
 def load_dimension(table: str, stg: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     keys, attrs, sk, compare, touch_first = DIM_SPECS[table]
     if table == "geolocation":
@@ -185,13 +189,13 @@ def load_dimension(table: str, stg: DataFrame, existing: DataFrame | None = None
         incoming = _insert_shape(latest_per_key(_CLEAN[table](stg), keys), keys + attrs)
         attrs_all = attrs
     incoming = incoming.select(*keys, *attrs_all, "first_seen_at", "last_seen_at", "row_source_file", "staging_id")
+    if sk:
+        incoming = _keyed(incoming, existing, keys, sk, table)
     if existing is None:
         snap = incoming
     else:
         snap = scd1_upsert(existing, incoming, keys, {a: "coalesce" for a in attrs},
                            compare or [*attrs, "row_source_file"], touch_first_seen=touch_first)
-    if sk:
-        snap = assign_sk(snap, keys, sk, previous=existing)
     return _order(snap, sk, keys, attrs_all)
 
 
@@ -241,9 +245,9 @@ def load_reviews(stg: DataFrame, orders: DataFrame, existing: DataFrame | None =
     d = _insert_shape(d, ["review_id", "order_id", "review_score", "review_comment_title",
                           "review_comment_message", "review_creation_date", "review_answer_timestamp",
                           "order_sk"])
+    d = _keyed(d, existing, ["order_id", "review_id"], "review_sk", "reviews")
     snap = d if existing is None else scd1_upsert(existing, d, ["order_id", "review_id"], REVIEW_POLICY,
                                                   [*REVIEW_POLICY, "row_source_file"])
-    snap = assign_sk(snap, ["order_id", "review_id"], "review_sk", previous=existing)
     return snap.select("review_sk", *[c for c in snap.columns if c != "review_sk"])
 
 

@@ -8,6 +8,9 @@
 import pytest
 
 import __spark_entry__ as E
+from marketlake.plans.etl import load_dimension
+from marketlake.plans.staging import staging
+from marketlake.sources.catalog import materialize
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -47,6 +50,13 @@ def _bounded(node) -> bool:
     return False
 
 
+def test_upsert_joins_once_and_reads_the_increment_once(spark):
+    """New keys are numbered ahead of the one outer join; staged rows are cleaned once, when the increment is stored."""
+    stored = materialize(load_dimension("orders", staging(spark, SF_SMALL, "orders", loads=(1,))), "plan-test")
+    plan = _initial_plan(load_dimension("orders", staging(spark, SF_SMALL, "orders", loads=(2,)), stored)).toString()
+    assert plan.count("FullOuter") == 1 and "o_orderkey" not in plan
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_shape(spark, name):
     plan = _initial_plan(E.queries()[name](spark, SF_SMALL))
