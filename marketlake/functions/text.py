@@ -20,6 +20,8 @@ EXPANSIONS = {
     "ß": "ss", "ẞ": "SS", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe",
     "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ł": "L", "ł": "l",
     "Þ": "TH", "þ": "th", "Ð": "D", "ð": "d", "ı": "i", "Ħ": "H", "ħ": "h",
+    "º": "o", "ª": "a", "–": "-", "—": "--", "‘": "'", "’": "'", "“": '"', "”": '"', "…": "...", "€": "EUR",
+    "¡": "!", "¿": "?", "«": "<<", "»": ">>", "¹": "1", "²": "2", "³": "3", "\u00a0": " ",
 }
 
 # Latin-1 Supplement, Latin Extended-A/B and Latin Extended Additional.
@@ -41,13 +43,17 @@ def _one_to_one() -> tuple[str, str]:
 
 
 TRANSLATE_FROM, TRANSLATE_TO = _one_to_one()
+# Combining Diacritical Marks: no counterpart in the target, so ``translate`` deletes them.
+COMBINING = "".join(map(chr, range(0x0300, 0x0370)))
 
 
 def transliterate_col(c: Column) -> Column:
     """P1 for one column; NULL stays NULL."""
-    out = F.translate(c, TRANSLATE_FROM, TRANSLATE_TO)
+    single = {ch: rep for ch, rep in EXPANSIONS.items() if len(rep) == 1}
+    out = F.translate(c, "".join(single) + TRANSLATE_FROM + COMBINING, "".join(single.values()) + TRANSLATE_TO)
     for ch, rep in EXPANSIONS.items():
-        out = F.replace(out, F.lit(ch), F.lit(rep))
+        if len(rep) > 1:
+            out = F.replace(out, F.lit(ch), F.lit(rep))
     return out
 
 

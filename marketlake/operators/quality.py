@@ -55,6 +55,12 @@ def violation_counts(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(rules)}, {stack}) AS (column_name, violations)")
 
 
+def violation_rows(df: DataFrame, rules: Mapping[str, str], id_col: str = "staging_id") -> DataFrame:
+    """K2 rows: (row id, column) of every value that fails its pattern, in one pass."""
+    failed = F.array_compact(F.array(*[F.when(_violates(c, p), F.lit(c)) for c, p in rules.items()]))
+    return df.select(id_col, F.explode(failed).alias("column_name"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
     """K3: natural keys occurring more than once, with their count."""
     out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).filter("duplicate_count > 1")

@@ -9,6 +9,8 @@ value on any engine).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,18 +75,57 @@ REVIEW_RULES = {"review_id": Q.ID_PATTERN, "order_id": Q.ID_PATTERN, "review_sco
                 "review_creation_date": Q.DATETIME_PATTERN, "review_answer_timestamp": Q.DATETIME_PATTERN}
 
 
+SELLER_RULES = {"seller_zip_code_prefix": Q.ZIP_PATTERN}
+ORDER_RULES = {"order_id": Q.ID_PATTERN, "customer_id": Q.ID_PATTERN,
+               **{c: Q.DATETIME_PATTERN for c in etl.ORDER_TIMES}}
+GEO_RULES = {"geolocation_zip_code_prefix": Q.ZIP_PATTERN, "geolocation_lat": Q.FLOAT_PATTERN,
+             "geolocation_lng": Q.FLOAT_PATTERN}
+RULES = {"products": PRODUCT_RULES, "sellers": SELLER_RULES, "orders": ORDER_RULES, "geolocation": GEO_RULES,
+         "order_items": ITEM_RULES, "order_payments": PAYMENT_RULES, "order_reviews": REVIEW_RULES}
+STAGING_KEYS = {"products": ["product_id"], "sellers": ["seller_id"], "orders": ["order_id"],
+                "order_items": ["order_id", "order_item_id"], "order_payments": ["order_id", "payment_sequential"],
+                "order_reviews": ["review_id", "order_id"]}
+PROFILED = {
+    "products": ["product_id", "product_category_name", *etl.PRODUCT_MEASURES],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "orders": ["order_id", "customer_id", "order_status", *etl.ORDER_TIMES],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
+                    "geolocation_state"],
+    "order_items": list(ITEM_RULES), "order_payments": list(PAYMENT_RULES), "order_reviews": list(REVIEW_RULES)}
+
+
+def _per_table(tables, check):
+    """``check(name)`` of every table, unioned, with the table's name in front."""
+    return reduce(DataFrame.unionByName, [check(t).select(F.lit(t).alias("table_name"), "*") for t in tables])
+
+
+def k2_violation_rows(spark, sf_dir):
+    return _per_table(RULES, lambda t: Q.violation_rows(_stg(spark, sf_dir, t), RULES[t]))
+
+
+def k3_duplicate_keys_all(spark, sf_dir):
+    def check(t):
+        keys = STAGING_KEYS[t]
+        text = F.concat_ws("|", *[F.coalesce(F.col(k), F.lit("NULL")) for k in keys])
+        return Q.duplicate_keys(_stg(spark, sf_dir, t), keys).select(text.alias("key"), "duplicate_count")
+    return _per_table(STAGING_KEYS, check)
+
+
+def k4_missing_by_column(spark, sf_dir):
+    return _per_table(PROFILED, lambda t: Q.missing_pct(_stg(spark, sf_dir, t), PROFILED[t], long=True))
+
+
+def k6_shipping_range(spark, sf_dir):
+    return Q.guarded_range(_stg(spark, sf_dir, "order_items"), ["shipping_limit_date"], guarded_ts)
+
+
 def k2_format_violations(spark, sf_dir):
     return Q.format_violations(_stg(spark, sf_dir, "products"), PRODUCT_RULES,
                                show=["product_id", *etl.PRODUCT_MEASURES, "staging_id"])
 
 
 def k2_violation_counts(spark, sf_dir):
-    out = None
-    for t, rules in (("order_items", ITEM_RULES), ("order_payments", PAYMENT_RULES),
-                     ("order_reviews", REVIEW_RULES)):
-        c = Q.violation_counts(_stg(spark, sf_dir, t), rules).select(F.lit(t).alias("table_name"), "*")
-        out = c if out is None else out.unionByName(c)
-    return out
+    return _per_table(RULES, lambda t: Q.violation_counts(_stg(spark, sf_dir, t), RULES[t]))
 
 
 def k3_duplicate_keys(spark, sf_dir):
@@ -138,6 +179,30 @@ def k11_orphans(spark, sf_dir):
     return out
 
 
+#: Natural and surrogate keys of the warehouse tables, and the links between them.
+WAREHOUSE_KEYS = [
+    ("products", ["product_id"]), ("products", ["product_sk"]), ("sellers", ["seller_id"]), ("sellers", ["seller_sk"]),
+    ("orders", ["order_id"]), ("orders", ["order_sk"]), ("category", ["prod_cat"]),
+    ("geolocation", ["geo_zip", "geo_lat_round", "geo_lng_round"]), ("geolocation", ["geo_sk"]),
+    ("items", ["order_id", "order_item_id"]), ("payments", ["order_id", "payment_sequential"]),
+    ("reviews", ["order_id", "review_id"]), ("reviews", ["review_sk"])]
+WAREHOUSE_LINKS = [
+    ("items", "order_sk", "orders"), ("items", "product_sk", "products"), ("items", "seller_sk", "sellers"),
+    ("payments", "order_sk", "orders"), ("reviews", "order_sk", "orders"), ("sellers", "geo_sk", "geolocation")]
+
+
+def k10_warehouse_keys(spark, sf_dir):
+    wh = etl.warehouse(spark, sf_dir, runs=2)
+    return reduce(DataFrame.unionByName, [
+        Q.key_violations(getattr(wh, t), keys, f"{t}({', '.join(keys)})") for t, keys in WAREHOUSE_KEYS])
+
+
+def k11_link_orphans(spark, sf_dir):
+    wh = etl.warehouse(spark, sf_dir, runs=2)
+    return reduce(DataFrame.unionByName, [
+        Q.orphans(getattr(wh, c), sk, getattr(wh, p), sk, f"{c}.{sk} -> {p}") for c, sk, p in WAREHOUSE_LINKS])
+
+
 # ---------------------------------------------------------------- L
 
 def l1_latest(spark, sf_dir):
@@ -201,6 +266,12 @@ QUERIES = {
     "k9_unmatched_zips": k9_unmatched_zips,
     "k10_key_checks": k10_key_checks,
     "k11_orphans": k11_orphans,
+    "k2_violation_rows": k2_violation_rows,
+    "k3_duplicate_keys_all": k3_duplicate_keys_all,
+    "k4_missing_by_column": k4_missing_by_column,
+    "k6_shipping_range": k6_shipping_range,
+    "k10_warehouse_keys": k10_warehouse_keys,
+    "k11_link_orphans": k11_link_orphans,
     "l1_latest": l1_latest,
     "l2_collapse_items": l2_collapse_items,
     "l2_collapse_payments": l2_collapse_payments,

@@ -8,9 +8,8 @@ key with one CASE per column, following the column policies of
 
 from __future__ import annotations
 
-from marketlake.plans import etl
-from marketlake.plans.oracle_etl_sql import (CLEAN_ORDERS, CLEAN_PRODUCTS, FLOAT, INTEGER, MONEY,
-                                             REVIEW_DEDUP_KEY, blank, gts, guarded, staging_ctes)
+from marketlake.plans.oracle_etl_sql import (CLEAN_ORDERS, CLEAN_PRODUCTS, FLOAT, INTEGER, MEASURES, MONEY, ORDER_TIMES,
+                                             REVIEW_DEDUP_KEY, _k10, blank, gts, guarded, staging_ctes)
 from marketlake.plans.oracle_sql import MODEL
 
 AUDIT = ["first_seen_at", "last_seen_at", "row_source_file", "staging_id"]
@@ -29,7 +28,7 @@ def _incoming(table: str, n: int) -> str:
     if table == "products":
         src = CLEAN_PRODUCTS.replace("stg_products", f"stg_products_{n}").replace(
             " AS DOUBLE)", " AS DECIMAL(20,4))")
-        return _latest(src, ["product_id"], ["product_id", "product_category", *etl.PRODUCT_MEASURES.values()])
+        return _latest(src, ["product_id"], ["product_id", "product_category", *MEASURES.values()])
     if table == "sellers":
         src = (f"SELECT {blank('seller_id')} AS seller_id, {blank('seller_zip_code_prefix')} AS seller_zip, "
                f"{blank('seller_city')} AS seller_city, {blank('seller_state')} AS seller_state, "
@@ -37,7 +36,7 @@ def _incoming(table: str, n: int) -> str:
         return _latest(src, ["seller_id"], ["seller_id", "seller_zip", "seller_city", "seller_state"])
     if table == "orders":
         src = CLEAN_ORDERS.replace("stg_orders", f"stg_orders_{n}")
-        return _latest(src, ["order_id"], ["order_id", "customer_id", "order_status", *etl.ORDER_TIMES.values()])
+        return _latest(src, ["order_id"], ["order_id", "customer_id", "order_status", *ORDER_TIMES.values()])
     if table == "category":
         src = (f"SELECT {blank('product_category_name')} AS prod_cat, "
                f"{blank('product_category_name_english')} AS prod_cat_eng, loaded_at, loaded_file, staging_id "
@@ -139,9 +138,9 @@ def _with_sk(src: str, sk: str, keys: list[str]) -> str:
 
 
 _DIM_COLS = {
-    "products": ["product_id", "product_category", *etl.PRODUCT_MEASURES.values(), *AUDIT],
+    "products": ["product_id", "product_category", *MEASURES.values(), *AUDIT],
     "sellers": ["seller_id", "seller_zip", "seller_city", "seller_state", *AUDIT],
-    "orders": ["order_id", "customer_id", "order_status", *etl.ORDER_TIMES.values(), *AUDIT],
+    "orders": ["order_id", "customer_id", "order_status", *ORDER_TIMES.values(), *AUDIT],
     "category": ["prod_cat", "prod_cat_eng", *AUDIT],
     "geolocation": ["geo_zip", "geo_lat", "geo_lng", "geo_lat_round", "geo_lng_round", "geo_city", "geo_state",
                     *AUDIT],
@@ -154,17 +153,32 @@ _FACT_COLS = {
     "reviews": ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
                 "review_creation_date", "review_answer_timestamp", "order_sk", *AUDIT],
 }
+# What the load rules say, written out here so that a changed rule in the loads shows up as a difference.
+_FILL = "coalesce"
 _FACT_SPEC = {
-    "items": (["order_id", "order_item_id"], etl.ITEM_POLICY, None),
-    "payments": (["order_id", "payment_sequential"], etl.PAYMENT_POLICY, None),
-    "reviews": (["order_id", "review_id"], etl.REVIEW_POLICY, "review_sk"),
+    "items": (["order_id", "order_item_id"],
+              {"product_id": "overwrite", "seller_id": "overwrite", "order_sk": _FILL, "product_sk": _FILL, "seller_sk": _FILL,
+               "shipping_limit_date": _FILL, "price": _FILL, "freight_value": _FILL}, None),
+    "payments": (["order_id", "payment_sequential"],
+                 {"payment_type": "overwrite", "payment_installments": _FILL, "payment_value": _FILL, "order_sk": _FILL}, None),
+    "reviews": (["order_id", "review_id"],
+                {"review_score": _FILL, "review_comment_title": _FILL, "review_comment_message": _FILL,
+                 "review_creation_date": _FILL, "review_answer_timestamp": _FILL, "order_sk": _FILL}, "review_sk"),
+}
+# keys, columns filled from the incoming row, surrogate key, compared columns where not all, first_seen_at may move back
+_DIM_SPEC = {
+    "products": (["product_id"], ["product_category", *MEASURES.values()], "product_sk", None, True),
+    "sellers": (["seller_id"], ["seller_zip", "seller_city", "seller_state"], "seller_sk", None, True),
+    "orders": (["order_id"], ["customer_id", "order_status", *ORDER_TIMES.values()], "order_sk", None, True),
+    "category": (["prod_cat"], ["prod_cat_eng"], None, None, False),
+    "geolocation": (["geo_zip", "geo_lat_round", "geo_lng_round"], ["geo_city", "geo_state"], "geo_sk", ["row_source_file"], True),
 }
 
 
 def _table_cte(table: str, n: int) -> str:
     inc = _incoming(table, n)
     if table in _DIM_COLS:
-        keys, attrs, sk, compare, touch = etl.DIM_SPECS[table]
+        keys, attrs, sk, compare, touch = _DIM_SPEC[table]
         cols = _DIM_COLS[table]
         extra = [sk] if sk else []
         if n == 1:
@@ -175,8 +189,9 @@ def _table_cte(table: str, n: int) -> str:
         if sk:
             body = _with_sk(body, sk, keys)
         if table == "sellers":
-            body = (f"SELECT d.* EXCLUDE (geo_sk), z.geo_sk FROM "
-                    f"(SELECT *, NULL::BIGINT AS geo_sk FROM ({body}) b) d LEFT JOIN "
+            # a link found once stays when the zip matches nothing any more
+            had = f"(SELECT geo_sk FROM wh_sellers_{n - 1} p WHERE p.seller_id = d.seller_id)" if n > 1 else "NULL::BIGINT"
+            body = (f"SELECT d.*, COALESCE(z.geo_sk, {had}) AS geo_sk FROM ({body}) d LEFT JOIN "
                     f"(SELECT lower(trim(geo_zip)) AS zip, MIN(geo_sk) AS geo_sk FROM wh_geolocation_{n} GROUP BY 1) z "
                     f"ON lower(trim(d.seller_zip)) = z.zip")
         return f"wh_{table}_{n} AS ({body})"
@@ -205,7 +220,7 @@ def warehouse_sql(body: str, runs: int = 2) -> str:
 
 
 def _doubles(table: str, n: int) -> str:
-    dec = {"products": list(etl.PRODUCT_MEASURES.values()),
+    dec = {"products": list(MEASURES.values()),
            "geolocation": ["geo_lat", "geo_lng", "geo_lat_round", "geo_lng_round"],
            "items": ["price", "freight_value"], "payments": ["payment_value"]}.get(table, [])
     if not dec:
@@ -220,7 +235,19 @@ _K11 = [("items", "product_id", "products", "product_id", "items.product_id -> p
         ("payments", "order_id", "orders", "order_id", "payments.order_id -> orders"),
         ("reviews", "order_id", "orders", "order_id", "reviews.order_id -> orders")]
 
+_KEYS = {"products": ["product_id", "product_sk"], "sellers": ["seller_id", "seller_sk"], "orders": ["order_id", "order_sk"],
+         "category": ["prod_cat"], "geolocation": ["geo_zip, geo_lat_round, geo_lng_round", "geo_sk"],
+         "items": ["order_id, order_item_id"], "payments": ["order_id, payment_sequential"],
+         "reviews": ["order_id, review_id", "review_sk"]}
+_LINKS = [("items", "order_sk", "orders"), ("items", "product_sk", "products"), ("items", "seller_sk", "sellers"),
+          ("payments", "order_sk", "orders"), ("reviews", "order_sk", "orders"), ("sellers", "geo_sk", "geolocation")]
+
 QUERIES = {
+    "k10_warehouse_keys": warehouse_sql(" UNION ALL ".join(
+        _k10(f"{t}({k})", k.split(", "), f"wh_{t}_2") for t, keys in _KEYS.items() for k in keys)),
+    "k11_link_orphans": warehouse_sql(" UNION ALL ".join(
+        f"SELECT '{c}.{sk} -> {p}' AS relation, COUNT(*) AS orphan_rows FROM wh_{c}_2 "
+        f"WHERE {sk} NOT IN (SELECT {sk} FROM wh_{p}_2)" for c, sk, p in _LINKS)),
     **{f"l4_upsert_{t}": warehouse_sql(_doubles(t, 2)) for t in ORDER},
     "l7_surrogate_keys": warehouse_sql("SELECT product_sk, product_id FROM wh_products_2"),
     "l8_fact_fk": warehouse_sql(

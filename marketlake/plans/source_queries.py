@@ -10,10 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.plans import reports
+from marketlake.plans.etl import PRODUCT_MEASURES, clean_products
+from marketlake.plans.model import build_model
 from marketlake.plans.staging import staging
 from marketlake.session import scratch_path
 from marketlake.sources import encoding as ENC
+from marketlake.sources.catalog import preview, register_view
 from marketlake.sources.csv import read_csv, write_csv
+from marketlake.sources.staging import backfill_lineage
 from marketlake.sources.tables import load
 
 PRODUCT_TEXT = ["product_id", "product_category_name", "product_name_length", "product_description_length",
@@ -75,7 +80,29 @@ def s6_s7_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging(spark, sf_dir, "products")
 
 
+def s7_lineage_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows staged without a file name get one; the others keep theirs."""
+    stg = staging(spark, sf_dir, "products")
+    unnamed = stg.withColumn("loaded_file", F.when(F.col("loaded_file") != "products_1.csv", F.col("loaded_file")))
+    return backfill_lineage(unnamed, "products_backfill.csv").select("staging_id", "product_id", "loaded_file")
+
+
+def s9_s10_view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S10: a report registered as a view, then scanned by name."""
+    register_view(reports.v8_delay_rank(build_model(spark, sf_dir)), "rpt_delay_rank")
+    return spark.table("rpt_delay_rank")
+
+
+def s12_rounded_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rounding cast of the preview, over every row."""
+    measures = tuple(PRODUCT_MEASURES.values())
+    return preview(clean_products(staging(spark, sf_dir, "products")), None, measures).select("product_id", *measures, "staging_id")
+
+
 QUERIES = {
+    "s7_lineage_backfill": s7_lineage_backfill,
+    "s9_s10_view_scan": s9_s10_view_scan,
+    "s12_rounded_products": s12_rounded_products,
     "s1_s4_csv_roundtrip": s1_s4_csv_roundtrip,
     "s2_encoding_fallback": s2_encoding_fallback,
     "s3_folder_convert": s3_folder_convert,

@@ -40,9 +40,9 @@ def list_views(spark: SparkSession, prefix: str = "") -> DataFrame:
     return views.filter(F.col("view_name").startswith(prefix)).orderBy("view_name")
 
 
-def preview(df: DataFrame, n: int = 10, round_to_int: tuple[str, ...] = ()) -> DataFrame:
-    """``SELECT ... LIMIT n``; numeric columns in ``round_to_int`` are
+def preview(df: DataFrame, n: int | None = 10, round_to_int: tuple[str, ...] = ()) -> DataFrame:
+    """``SELECT ... LIMIT n`` (None: every row); numeric columns in ``round_to_int`` are
     rounded before the int cast (the reference rounds, a plain cast truncates)."""
     out = df.select(*[F.round(F.col(c)).cast("int").alias(c) if c in round_to_int else F.col(c)
                       for c in df.columns])
-    return out.limit(n)
+    return out if n is None else out.limit(n)

@@ -67,6 +67,17 @@ def test_p1_transliterate(spark):
     assert values(transliterate(df), "x") == ["Sao Paulo", None, "Strasse AEro"]
 
 
+def test_p1_punctuation_ordinals_and_combining_marks(spark):
+    df = transliterate(col(spark, ["1º – “São” e\u0301 5€…", "ª’«»\u00a0x", None]))
+    assert values(df, "x") == ['1o - "Sao" e 5EUR...', "a'<<>> x", None]
+
+
+def test_k2_violation_rows(spark):
+    df = spark.createDataFrame([("1", "x", "7"), ("2", "4", None), ("3", "y", "z")], "staging_id string, a string, b string")
+    got = Q.violation_rows(df, {"a": Q.NUMBER_PATTERN, "b": Q.NUMBER_PATTERN}).collect()
+    assert sorted(map(tuple, got)) == [("1", "a"), ("3", "a"), ("3", "b")]
+
+
 def test_k4_missing_pct(spark):
     df = col(spark, ["a", " ", None])
     assert values(Q.missing_pct(df, ["x"]), "pct_missing_x") == [66.667]
