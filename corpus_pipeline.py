@@ -10,18 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import decontaminate, langid, mixing, sharding, simhash
-from marketlake.llm.common import stored, table
+from marketlake.llm.common import free_name, stored, table
 
 #: Below this share of letters in its main language a text counts as no language.
 MIN_LANGUAGE_SCORE = 0.4
+#: What the sharding stage adds to a document.
+PLACE = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a main language; drops texts without letters and hopeless mixtures."""
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
-    row = docs.select("*", F.struct(*docs.columns).alias("whole_row"))
-    found = langid.label(row, model, keep=("whole_row",))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("whole_row.*")
+    whole = free_name(docs, "whole_row")
+    row = docs.select("*", F.struct(*docs.columns).alias(whole))
+    found = langid.label(row, model, keep=(whole,))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(f"{whole}.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +43,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and slot."""
-    row = docs.select("*", F.struct(*docs.columns).alias("whole_row"))
-    return sharding.shard(row, keep=("whole_row",)).select("whole_row.*", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    """The documents with their shard and slot; columns of the input that bear the names of ``PLACE`` give way to them."""
+    whole = free_name(docs, "whole_row")
+    own = [F.col(c) for c in docs.columns if c.lower() not in PLACE]
+    row = docs.select("*", F.struct(*own).alias(whole))
+    return sharding.shard(row, keep=(whole,)).select(f"{whole}.*", *PLACE)
 
 
 STAGES = [("language ID", language), ("SimHash near-dedup", near_dedup), ("benchmark decontamination", decontamination),

@@ -63,6 +63,14 @@ def ddl(df: DataFrame, drop: tuple = ()) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name not in drop)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column that a resolver could take for it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_text(c: Column) -> Column:
     """An id as text; null becomes the empty text."""
     return F.coalesce(c.cast("string"), F.lit(""))

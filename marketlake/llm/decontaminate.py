@@ -211,4 +211,4 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that no item contaminates. Rows without an id cannot be named by a match and stay."""
     bad = stored(matches(docs, benchmark, settings, id_col, text_col).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad.withColumnRenamed("doc_id", "contaminated_id"), F.col(id_col).cast("long") == F.col("contaminated_id"), "left_anti")
+    return docs.join(bad, docs[id_col].cast("long") == bad["doc_id"], "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from marketlake.llm.common import id_text, stored
+from marketlake.llm.common import free_name, id_text, stored
 
 #: Ranges per source: three hexadecimal digits of the key.
 BUCKETS = 4096
@@ -89,10 +89,10 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
 
 def mixed_rows(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", **settings) -> DataFrame:
     """The mix itself: the columns of ``docs``, each row as often as the mix takes it."""
-    cols = docs.columns
-    row = docs.select("*", F.struct(*cols).alias("mix_row"))
-    taken = mix(row, size, id_col, source_col, keep=("mix_row",), **settings)
-    return taken.filter("copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("mix_row.*")
+    whole = free_name(docs, "mix_row")
+    row = docs.select("*", F.struct(*docs.columns).alias(whole))
+    taken = mix(row, size, id_col, source_col, keep=(whole,), **settings)
+    return taken.filter("copies > 0").select(whole, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(f"{whole}.*")
 
 
 OP10_SQL = """

@@ -156,14 +156,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
     heads = found.filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("id", "grp").agg(F.count(F.lit(1)).alias("n"))
     heads = stored(heads, "heads")
-    own = F.col(id_col).cast("long")
-    once = heads.filter(F.col("id").isNotNull() & (F.col("n") == 1)).select(F.col("id").alias("dedup_id"))
-    kept = docs.join(once, own == F.col("dedup_id"), "left_semi")
+    own = docs[id_col].cast("long")
+    once = heads.filter(F.col("id").isNotNull() & (F.col("n") == 1)).select("id")
+    kept = docs.join(once, own == once["id"], "left_semi")
     odd = heads.filter(F.col("id").isNull() | (F.col("n") > 1))
     if odd.isEmpty():
         return kept
     # rows without an id, or whose id comes again: fingerprint them beside their columns and keep one per group
-    again = docs.join(odd.select(F.col("id").alias("dedup_id")).distinct(), own.eqNullSafe(F.col("dedup_id")), "left_semi")
+    odd_ids = odd.select("id").distinct()
+    again = docs.join(odd_ids, own.eqNullSafe(odd_ids["id"]), "left_semi")
     cols = docs.columns
     packed = again.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), F.struct(*cols).alias("row"))
     packed = packed.withColumn("row_key", F.xxhash64("row"))

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -20,6 +21,24 @@ def test_query_matches_sql(spark, name):
     assert sorted(map(tuple, got.select(*cols).collect()), key=repr) == sorted(want.fetchall(), key=repr)
 
 
+CLASHING = ["id", "t", "size", "shard", "fp", "key", "dedup_id", "contaminated_id", "mix_row", "whole_row", "Law", "copies"]
+
+
+@pytest.mark.parametrize("rows", [0, 40])
+def test_pipeline_takes_odd_rows_and_clashing_names(spark, tmp_path, rows):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").limit(rows)
+    odd = docs.limit(1).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS text").crossJoin(docs.limit(1).drop("doc_id", "text"))
+    docs = docs.unionByName(odd).unionByName(docs.limit(3))
+    docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    place = set(corpus_pipeline.PLACE)
+    assert out.columns == [c for c in docs.columns + CLASHING if c.lower() not in place] + list(corpus_pipeline.PLACE)
+    got = out.collect()
+    assert len(got) > 0 if rows else got == []
+    assert all(r["key"] == CLASHING.index("key") and r["fp"] == CLASHING.index("fp") for r in got)
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     bench = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
