@@ -1,128 +1,113 @@
-"""Exact global quantiles (PERCENTILE_CONT) without a single-task merge.
+"""Exact quantiles (PERCENTILE_CONT), global or per group, without a task that sees a whole group.
 
 Spark's ``percentile`` is exact, but its final step merges the value->count
-maps of all partitions in one task, so memory grows with the number of
-distinct values of the whole table. For a global quantile over a fact table
-(every item price) this is the one place a single task sees everything.
-
-Here the work stays distributed and every intermediate is bounded:
-
-1. ``groupBy(value).count()``: distinct values with multiplicities (a value
-   held by a third of the rows is one row after map-side combine);
-2. the value range (one row) splits the distinct values into equal-width
-   range buckets (``width_bucket``), each sorted by its own task;
-3. per-bucket row counts -> offsets (a window over ``buckets`` rows);
-4. a cumulative count inside each bucket (one task per bucket) locates the
-   values at positions ``floor(p*(n-1))`` and ``ceil(p*(n-1))``;
+maps of a group in one task, so memory grows with the group's distinct
+values. Here no task holds more than one range of (group, value):
+
+1. value counts per (group, value): a value held by a third of the rows is
+   one row after the map-side combine;
+2. the counts are dealt out by ranges of (group, value) and stored with the
+   number of their range (``ranged``). Ranges follow the distribution, so
+   neither an outlier nor a group with most values makes a range heavy;
+3. counts per (group, range) give each range's offset within its group: a
+   window over at most one row per range;
+4. only the ranges that hold a wanted position are read again; a running
+   count inside each finds the values at ``floor(p*(n-1))`` and
+   ``ceil(p*(n-1))``;
 5. linear interpolation between them, as PERCENTILE_CONT does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.sources.catalog import materialize
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 4096,
-                    names: Sequence[str] | None = None) -> DataFrame:
-    """One row with the exact ``PERCENTILE_CONT(p)`` of ``col`` for each p (NULLs ignored)."""
-    vc = df.select(F.col(col).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    return exact_quantiles_from_counts(vc, "_v", "_c", probs, buckets, names)
 
+def ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
+    """``counts`` stored in ranges of (group, value), numbered by ``_range``.
+
+    Stored (below the shared folder, when called) because the later steps read
+    it twice and must see the same ranges, also after a lost executor.
+    """
+    n = ranges or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(counts.repartitionByRange(n, *by, value).withColumn("_range", F.spark_partition_id()), "value_counts")
+
+
+def _join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Null-safe equi-join on ``cols``, which the result has once."""
+    named = right.withColumnsRenamed({c: f"_same_{c}" for c in cols})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in cols])
+    return left.join(named, same, how).drop(*[f"_same_{c}" for c in cols])
+
+
+def quantiles_from_ranged(t: DataFrame, value: str, count: str, by: Sequence[str], probs: Sequence[float],
+                          names: Sequence[str] | None = None, carry: dict | None = None) -> DataFrame:
+    """Grouped PERCENTILE_CONT from a frame made by ``ranged`` with the same ``by`` and ``value``.
 
-def exact_quantiles_from_counts(counts: DataFrame, value: str, count: str, probs: Sequence[float],
-                                buckets: int = 4096, names: Sequence[str] | None = None) -> DataFrame:
-    """``exact_quantiles`` over a (value, count) frame, e.g. value counts an
-    aggregation already produced; NULL values are ignored, values may repeat."""
+    Rows with a NULL value only contribute to ``carry``; values may repeat.
+    ``carry`` maps an output name to a column of ``t`` whose per-group SUM is
+    returned as well.
+    """
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    vc = (counts.select(F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
-          .filter(F.col("_v").isNotNull()).groupBy("_v").agg(F.sum("_c").alias("_c")))
-    bounds = vc.agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_c").alias("_n"))
-    # one row: value range and row count. Equal-width range buckets are monotone
-    # in the value (width_bucket: O(1), code-generated); each holds distinct values only.
-    bucket = F.when(F.col("_max") > F.col("_min"),
-                    F.width_bucket("_v", "_min", "_max", F.lit(buckets))).otherwise(F.lit(0))
-    t = vc.crossJoin(F.broadcast(bounds)).select("_v", "_c", "_n", bucket.alias("_bucket"))
-    per_bucket = t.groupBy("_bucket").agg(F.sum("_c").alias("_bc"))
-    offsets = per_bucket.select("_bucket", (F.sum("_bc").over(Window.orderBy("_bucket")) - F.col("_bc"))
-                                .alias("_off"))  # <= buckets + 2 rows
-    w = Window.partitionBy("_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (t.join(F.broadcast(offsets), "_bucket")
-              .select("_v", "_n", (F.col("_off") + F.sum("_c").over(w) - F.col("_c")).alias("_first"),
-                      (F.col("_off") + F.sum("_c").over(w) - 1).alias("_last")))
-    lo_hi, hits = [], None
-    for p, name in zip(probs, names):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        hit_lo = (F.col("_first") <= lo) & (lo <= F.col("_last"))
-        hit_hi = (F.col("_first") <= hi) & (hi <= F.col("_last"))
-        hits = (hit_lo | hit_hi) if hits is None else (hits | hit_lo | hit_hi)
-        lo_hi += [F.max(F.when(hit_lo, F.col("_v"))).alias(f"_lo_{name}"),
-                  F.max(F.when(hit_hi, F.col("_v"))).alias(f"_hi_{name}"),
-                  F.max(pos).alias(f"_pos_{name}")]
-    # at most two rows per probability survive the filter
-    a = ranked.filter(hits).agg(*lo_hi)
+    carry = dict(carry or {})
+    c = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(F.lit(0))
+    per = t.groupBy(*by, "_range").agg(F.sum(c).alias("_rc"), *[F.sum(col).alias(k) for k, col in carry.items()])
+    totals = per.groupBy(*by).agg(F.sum("_rc").alias("_n"), *[F.sum(k).alias(k) for k in carry])
+
+    group = Window.partitionBy(*by)
+    offsets = per.select(*by, "_range", "_rc", (F.sum("_rc").over(group.orderBy("_range")) - F.col("_rc")).alias("_off"),
+                         F.sum("_rc").over(group).alias("_n"))
+    ends = [end for p in probs for end in (F.floor((F.col("_n") - 1) * F.lit(float(p))), F.ceil((F.col("_n") - 1) * F.lit(float(p))))]
+
+    def among(first: Column, last: Column) -> Column:
+        return reduce(lambda a, b: a | b, [e.between(first, last) for e in ends])
+
+    wanted = offsets.filter(among(F.col("_off"), F.col("_off") + F.col("_rc") - 1))
+    held = t.filter(F.col(value).isNotNull()).select(*by, "_range", F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
+    inside = _join(held, wanted.drop("_rc"), [*by, "_range"], "inner")
+    run = F.sum("_c").over(Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = inside.select(*by, "_v", "_n", (F.col("_off") + run - F.col("_c")).alias("_first"), (F.col("_off") + run - 1).alias("_last"))
+    # at most two rows per probability and group survive the filter
+    found = ranked.filter(among(F.col("_first"), F.col("_last"))).groupBy(*by).agg(
+        *[F.max(F.when(e.between(F.col("_first"), F.col("_last")), F.col("_v"))).alias(f"_end{i}") for i, e in enumerate(ends)])
+
     res = []
-    for name in names:
-        lo_v, hi_v, pos = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_pos_{name}")
-        lo, hi = F.floor(pos), F.ceil(pos)
+    for i, (p, name) in enumerate(zip(probs, names)):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi, lo_v, hi_v = F.floor(pos), F.ceil(pos), F.col(f"_end{2 * i}"), F.col(f"_end{2 * i + 1}")
         res.append(F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v).alias(name))
-    return a.select(*res)
+    # groups without values keep their totals
+    return _join(totals, found, by, "left").select(*by, *res, *carry)
+
+
+def quantiles_from_counts(counts: DataFrame, value: str, count: str, by: Sequence[str], probs: Sequence[float],
+                          names: Sequence[str] | None = None, carry: dict | None = None) -> DataFrame:
+    """Grouped PERCENTILE_CONT from a (group..., value, count) frame; see ``quantiles_from_ranged``."""
+    return quantiles_from_ranged(ranged(counts, by, value), value, count, by, probs, names, carry)
 
 
 def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: Sequence[float],
                       names: Sequence[str] | None = None) -> DataFrame:
-    """Exact ``PERCENTILE_CONT(p)`` of ``col`` per group, one row per group.
-
-    Built from value counts per (group, value) (map-side combined) and a
-    running count over each group's distinct values. The window sorts and
-    spills, unlike the in-memory value map of ``percentile``, so a group
-    holding a third of the rows with millions of distinct values still fits.
-    """
+    """Exact ``PERCENTILE_CONT(p)`` of ``col`` per group, one row per group that has values."""
     vc = (df.select(*by, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
           .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
     return quantiles_from_counts(vc, "_v", "_c", by, probs, names)
 
 
-def quantiles_from_counts(vc: DataFrame, value: str, count: str, by: Sequence[str], probs: Sequence[float],
-                          names: Sequence[str] | None = None, carry: dict | None = None) -> DataFrame:
-    """Grouped PERCENTILE_CONT from a (group..., value, count) frame.
-
-    Rows with a NULL value only contribute to ``carry``. ``carry`` maps an
-    output name to a column of ``vc`` whose per-group SUM is returned as
-    well: totals ride along in the same window pass, so the caller needs no
-    second branch over ``vc`` (Catalyst would prune the two branches
-    differently and compute the frame twice).
-    """
+def total_quantiles(t: DataFrame, value: str, count: str, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+    """One row with the ``PERCENTILE_CONT(p)`` over all of a frame made by ``ranged`` without groups."""
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    carry = dict(carry or {})
-    v = F.col(value).cast("double")
-    group = Window.partitionBy(*by)
-    run = Window.partitionBy(*by).orderBy(F.asc_nulls_last(value)).rowsBetween(Window.unboundedPreceding,
-                                                                                Window.currentRow)
-    c = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(F.lit(0))
-    ranked = vc.select(*by, v.alias("_v"), (F.sum(c).over(run) - c).alias("_first"),
-                       (F.sum(c).over(run) - 1).alias("_last"), F.sum(c).over(group).alias("_n"),
-                       *[F.sum(col).over(group).alias(f"_carry_{k}") for k, col in carry.items()],
-                       F.row_number().over(Window.partitionBy(*by).orderBy(F.asc_nulls_last(value))).alias("_rn"))
-    aggs, hits = [], None
-    for p, name in zip(probs, names):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        hit_lo = (F.col("_first") <= lo) & (lo <= F.col("_last"))
-        hit_hi = (F.col("_first") <= hi) & (hi <= F.col("_last"))
-        hits = (hit_lo | hit_hi) if hits is None else (hits | hit_lo | hit_hi)
-        aggs += [F.max(F.when(hit_lo, F.col("_v"))).alias(f"_lo_{name}"),
-                 F.max(F.when(hit_hi, F.col("_v"))).alias(f"_hi_{name}"), F.max(pos).alias(f"_pos_{name}")]
-    hits = F.col("_v").isNotNull() & hits
-    # the first row of every group survives too, so groups without values keep their totals
-    a = ranked.filter(hits | (F.col("_rn") == 1)).groupBy(*by).agg(
-        *aggs, *[F.max(f"_carry_{k}").alias(k) for k in carry])
-    res = []
-    for name in names:
-        lo_v, hi_v, pos = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_pos_{name}")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        res.append(F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v).alias(name))
-    return a.select(*by, *res, *carry)
+    g = quantiles_from_ranged(t.withColumn("_all", F.lit(0)), value, count, ["_all"], probs, names)
+    return g.agg(*[F.max(n).alias(n) for n in names])
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], ranges: int | None = None,
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """One row with the exact ``PERCENTILE_CONT(p)`` of ``col`` for each p (NULLs ignored, all NULL without values)."""
+    vc = df.select(F.col(col).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    return total_quantiles(ranged(vc, [], "_v", ranges), "_v", "_c", probs, names)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.exact import cents, ratio, round_ratio
-from marketlake.operators.quantiles import exact_quantiles, quantiles_from_counts
+from marketlake.operators.quantiles import quantiles_from_counts, ranged, total_quantiles
 from marketlake.operators.segments import (category_name, market_leaders, segment_by_leader,
                                            tier_by_thresholds, top_n_flag)
 from marketlake.plans.model import StarModel
@@ -210,16 +210,17 @@ def v10_top_categories(m: StarModel, top_n: int = 5) -> DataFrame:
 
 
 def v11_price_tiers(m: StarModel, top_n: int = 5, price_q=(0.33, 0.66)) -> DataFrame:
-    # global thresholds over every item: distributed exact quantiles (no single-task merge)
-    thr = exact_quantiles(m.fact_items, "price", list(price_q), names=["price_p33", "price_p66"])
-    items = m.fact_items.select("product_sk", "price").crossJoin(F.broadcast(thr))  # one row
+    # one scan of the fact: stored value counts per (category, price) give the global
+    # thresholds, the tiers and the revenue
+    cat = category_name(m.fact_items.select("product_sk", "price"), m.dim_products, m.lookup_prod_cat)
+    vc = cat.groupBy("category", "price").agg(F.count(F.lit(1)).alias("_c"), F.sum("price").alias("_rev"))
+    vc = ranged(vc, [], "price")
+    thr = total_quantiles(vc, "price", "_c", list(price_q), ["price_p33", "price_p66"])
     tier = (F.when(F.col("price") <= F.col("price_p33"), PRICE_TIERS[0])
             .when(F.col("price") <= F.col("price_p66"), PRICE_TIERS[1]).otherwise(PRICE_TIERS[2]))
-    base = category_name(items, m.dim_products, m.lookup_prod_cat).select(
-        "category", "price", tier.alias("price_tier"))
-    # single pass over the fact: (category, tier) sums; ranking, segments and shares
-    # are derived from this categories x 3 frame
-    ct = base.groupBy("category", "price_tier").agg(F.sum("price").alias("_rev"))
+    # ranking, segments and shares are derived from this categories x 3 frame
+    ct = (vc.crossJoin(F.broadcast(thr)).select("category", tier.alias("price_tier"), "_rev")  # one row
+          .groupBy("category", "price_tier").agg(F.sum("_rev").alias("_rev")))
     ct = ct.select("*", F.sum("_rev").over(Window.partitionBy("category")).alias("cat_revenue"))
     seg = ct.select(
         F.when(top_n_flag("category", "cat_revenue", top_n), F.col("category"))
@@ -248,8 +249,7 @@ def v12_state_reliability(m: StarModel) -> DataFrame:
                     "order_sk", "price", rel.alias("reliability"), secs.alias("secs"))
     # One pass: per (state, reliability, seconds) item counts, revenue and distinct orders.
     # Seconds are a function of the order, so distinct orders add up across seconds values;
-    # the exact median comes from the item counts (value counts + running count, spillable:
-    # one state may hold most deliveries).
+    # the exact median comes from the item counts (in ranges: one state may hold most deliveries).
     vc = b.groupBy("seller_state", "reliability", "secs").agg(
         F.count(F.lit(1)).alias("_c"), F.sum("price").alias("_rev"), F.count_distinct("order_sk").alias("_o"))
     g = quantiles_from_counts(vc, "secs", "_c", ["seller_state", "reliability"], [0.5], ["_med"],

@@ -186,11 +186,20 @@ def test_exact_quantiles_match_builtin(spark):
         rows = [(float(rnd.randrange(distinct)) / 4 if rnd.random() > 0.05 else None,) for _ in range(n)]
         rows[0] = (1.0,)
         df = spark.createDataFrame(rows, "v double")
-        got = list(exact_quantiles(df, "v", probs, buckets=8).first())
+        got = list(exact_quantiles(df, "v", probs, ranges=8).first())
         want = df.agg(F.percentile("v", probs)).first()[0]
         assert got == want, (n, got, want)
 
 
+def test_quantile_ranges_stay_even_with_an_outlier_and_a_large_group(spark):
+    from marketlake.operators.quantiles import grouped_quantiles, ranged
+    df = spark.range(20_000).selectExpr("IF(id % 50 = 0, 'b', 'a') AS g", "id / 7.0D AS v").union(spark.sql("SELECT 'a', 1e12D"))
+    sizes = [r["count"] for r in ranged(df, ["g"], "v", 16).groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 20_001 / 16
+    got = {r["g"]: r["q0"] for r in grouped_quantiles(df, "v", ["g"], [0.5]).collect()}
+    assert got == {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("p")).collect()}
+
+
 def test_grouped_quantiles_match_builtin(spark):
     import random
     from marketlake.operators.quantiles import grouped_quantiles
