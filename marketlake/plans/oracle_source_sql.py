@@ -6,7 +6,7 @@ reference's pandas path and Spark's reader), hence the NULLIFs.
 
 from __future__ import annotations
 
-from marketlake.plans.oracle_etl_sql import CLEAN_PRODUCTS, MEASURES, with_staging
+from marketlake.plans.oracle_etl_sql import CLEAN_PRODUCTS, MEASURES, _translit, with_staging
 from marketlake.plans.oracle_sql import REPORTS
 from marketlake.plans.source_queries import MALFORMED_MOD, ORDER_TEXT, PRODUCT_TEXT
 
@@ -16,6 +16,8 @@ def _nullif(cols):
 
 
 QUERIES = {
+    "s2_encoding_fallback": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text FROM documents",
+    "s3_folder_convert": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, {_translit('lang')} AS lang, {_translit('text')} AS text FROM documents",
     "s1_s4_csv_roundtrip": with_staging(f"SELECT {_nullif(PRODUCT_TEXT)} FROM stg_products"),
     "s5_malformed_skip": with_staging(
         f"SELECT {_nullif(ORDER_TEXT)} FROM stg_orders "

@@ -48,31 +48,32 @@ def s5_malformed_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ORDER_TEXT, on_malformed="skip", header=False).drop("_file")
 
 
+DOC_TEXT = ["doc_id", "lang", "text"]
+
+
 def _mixed_encoding_folder(spark: SparkSession, sf_dir: str) -> str:
     """Documents as CSV: German ones in Latin-1, the others in UTF-8."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = load(spark, sf_dir, "documents").select(*DOC_TEXT)
     root = scratch_path(spark, "encodings")
-    for name, cond, enc in (("latin", F.col("lang") == "de", "ISO-8859-1"),
-                            ("utf8", F.col("lang") != "de", "UTF-8")):
+    german = F.coalesce(F.col("lang") == "de", F.lit(False))
+    for name, cond, enc in (("latin", german, "ISO-8859-1"), ("utf8", ~german, "UTF-8")):
         (docs.filter(cond).write.mode("overwrite").option("header", True).option("encoding", enc)
-         .option("escape", '"').csv(f"{root}/{name}"))
+         .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{root}/{name}"))
     return root
 
 
 def s2_encoding_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-file encoding chosen by the fallback order."""
-    root = _mixed_encoding_folder(spark, sf_dir)
-    lines = ENC.raw_lines(spark, root, recursive=True)
-    return ENC.detect_encoding(lines)
+    """The records of every file, decoded by the first encoding that fits the file."""
+    encodings = ENC.file_encodings(spark, _mixed_encoding_folder(spark, sf_dir), recursive=True)
+    return ENC.decoded_records(spark, encodings, DOC_TEXT).select(*DOC_TEXT)
 
 
 def s3_folder_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 + S4: decode and transliterate every file of a folder, write ``*_conv`` output, report per file."""
-    root = _mixed_encoding_folder(spark, sf_dir)
-    lines = ENC.raw_lines(spark, root, recursive=True)
+    """S3 + S4: every file of a folder decoded, transliterated and written as CSV; the records written."""
     out = scratch_path(spark, "converted")
-    ENC.convert_lines(lines).select("file", "line").write.mode("overwrite").partitionBy("file").text(out)
-    return ENC.convert_status(lines)
+    ENC.convert_folder(spark, _mixed_encoding_folder(spark, sf_dir), out, DOC_TEXT, recursive=True)
+    return ENC.read_converted(spark, out, DOC_TEXT).select(*DOC_TEXT)
 
 
 def s6_s7_staging(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,8 @@ def text_schema(columns: Sequence[str], keep_corrupt: bool = False) -> T.StructT
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
              on_malformed: str = "fail", multiline: bool = False, encoding: str = "UTF-8",
-             path_glob: str | None = None, header: bool = True) -> DataFrame:
-    """Header CSV into string columns plus ``_file``.
+             path_glob: str | None = None, header: bool = True, whole_path: bool = False) -> DataFrame:
+    """Header CSV into string columns plus ``_file`` (its name, or its whole path).
 
     ``on_malformed``: ``fail`` (FAILFAST), ``skip`` (lines that do not parse
     against all columns go, whatever columns are asked for later) or ``keep``
@@ -46,7 +46,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     if on_malformed == "skip":
         df = df.filter(F.col(CORRUPT).isNull()).select(*columns, "_metadata")
-    return df.withColumn("_file", F.col("_metadata.file_name")).drop("_metadata")
+    return df.withColumn("_file", F.col("_metadata.file_path" if whole_path else "_metadata.file_name")).drop("_metadata")
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

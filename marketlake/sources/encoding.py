@@ -1,22 +1,27 @@
 """Encoding detection and repair (S2) and folder conversion (S3), as Spark jobs.
 
 The reference tries decoders in order on each whole file and keeps the
-first that succeeds. Here the raw bytes of every line are read once
-(``wholetext=False`` keeps files splittable), validity is aggregated per
-file (``min(is_valid_utf8)`` grouped by file name: a distributed aggregate,
-no file is pulled to the driver), and lines of non-UTF-8 files are decoded
-with the fallback charset. Latin-1 maps every byte, so later fallbacks are
+first that succeeds. Here validity is aggregated per file over its lines
+(``min(is_valid_utf8)`` grouped by full path: no file is pulled to the
+driver); then the files of each encoding are read by the CSV reader with that
+charset, so quoted newlines and quotes stay inside their field. Only the list
+of files, with an encoding each, passes through the driver, which lists them
+for the scan anyway. Latin-1 maps every byte, so later fallbacks are
 unreachable; the list stays a parameter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketlake.functions.text import transliterate_col
+from marketlake.functions.text import transliterate
+from marketlake.sources.csv import read_csv, write_csv
 
 # Fixed value: the reference's decoder order.
 ENCODINGS = ("utf-8", "latin1", "iso-8859-1", "cp1252")
@@ -25,8 +30,7 @@ ENCODINGS = ("utf-8", "latin1", "iso-8859-1", "cp1252")
 C1 = "".join(map(chr, range(0x80, 0xA0)))
 CP1252 = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c for c in C1)
 
-_SPARK_CHARSET = {"utf-8": "UTF-8", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1",
-                  "cp1252": "ISO-8859-1"}
+_CHARSET = {"utf-8": "UTF-8", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1", "cp1252": "ISO-8859-1"}
 
 
 def raw_lines(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
@@ -37,8 +41,7 @@ def raw_lines(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bo
     """
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path)
     return df.select(F.col("_metadata.file_path").alias("file"),
-                     F.col("value").alias("raw"),
-                     F.col("value").cast("binary").alias("bytes"))
+                     F.col("value").alias("raw"))
 
 
 def detect_encoding(lines: DataFrame, candidates: Sequence[str] = ENCODINGS) -> DataFrame:
@@ -50,31 +53,54 @@ def detect_encoding(lines: DataFrame, candidates: Sequence[str] = ENCODINGS) ->
     return valid.select("file", enc.alias("encoding"))
 
 
-def decode_lines(lines: DataFrame, encodings: DataFrame) -> DataFrame:
-    """Decode each line with its file's detected encoding."""
-    j = lines.join(encodings, "file", "left")  # one row per file: small
-    text = F.when(F.col("encoding") == "utf-8", F.decode(F.col("bytes"), "UTF-8"))
-    for name, cs in _SPARK_CHARSET.items():
-        if name != "utf-8":
-            decoded = F.decode(F.col("bytes"), cs)
-            text = text.when(F.col("encoding") == name, F.translate(decoded, C1, CP1252) if name == "cp1252" else decoded)
-    return j.select("file", "encoding", F.regexp_replace(text, "\r$", "").alias("line"))
-
-
-def convert_lines(lines: DataFrame, suffix: str = "_conv") -> DataFrame:
-    """S3 body: decode + transliterate each line, skipping already converted files."""
-    lines = lines.filter(~F.col("file").contains(suffix))
-    decoded = decode_lines(lines, detect_encoding(lines))
-    return decoded.select("file", "encoding", transliterate_col(F.col("line")).alias("line"))
-
-
-def convert_status(lines: DataFrame, suffix: str = "_conv") -> DataFrame:
-    """S3 report: one row per input file with encoding, status and line count."""
-    lines = lines.filter(~F.col("file").contains(suffix))
-    enc = detect_encoding(lines)
-    counts = lines.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
-    out_name = F.concat(F.regexp_replace(F.col("file"), r"\.csv$", ""), F.lit(suffix + ".csv"))
-    return (counts.join(enc, "file").select(
-        "file", out_name.alias("output"), "encoding",
-        F.when(F.col("encoding").isNotNull(), F.lit("converted")).otherwise(F.lit("failed")).alias("status"),
-        "rows"))
+def file_encodings(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = False,
+                   candidates: Sequence[str] = ENCODINGS, suffix: str = "_conv") -> DataFrame:
+    """(file, encoding) for every file of a folder that is not itself a conversion; NULL where no candidate decodes it."""
+    lines = raw_lines(spark, path, glob, recursive)
+    return detect_encoding(lines.filter(~F.element_at(F.split("file", "/"), -1).contains(suffix)), candidates)
+
+
+def decoded_records(spark: SparkSession, encodings: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The CSV records of the files in their encodings, plus ``_file`` (full path) and ``encoding``.
+
+    A file is read by one task, as quoted newlines leave no safe place to split.
+    """
+    files: dict[str, list[str]] = {}
+    for file, encoding in encodings.filter("encoding IS NOT NULL").collect():
+        files.setdefault(encoding, []).append(unquote(file))
+    parts = []
+    for encoding, paths in sorted(files.items()):
+        df = read_csv(spark, paths, columns, multiline=True, encoding=_CHARSET[encoding], whole_path=True)
+        if encoding == "cp1252":
+            df = df.select(*[F.translate(c, C1, CP1252).alias(c) for c in columns], "_file")
+        parts.append(df.withColumn("encoding", F.lit(encoding)))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_file", "encoding")]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_converted(spark: SparkSession, out: str, columns: Sequence[str]) -> DataFrame:
+    """The records ``convert_folder`` wrote, plus ``_file``."""
+    return read_csv(spark, out, columns, multiline=True, path_glob="*.csv", whole_path=True)
+
+
+def convert_folder(spark: SparkSession, path: str, out: str, columns: Sequence[str], glob: str = "*.csv", recursive: bool = False,
+                   candidates: Sequence[str] = ENCODINGS, suffix: str = "_conv") -> DataFrame:
+    """S3: decode, transliterate and write every CSV file of a folder; one report row per file.
+
+    A file becomes the folder ``out/converted=<path below the input folder, without .csv><suffix>``
+    with UTF-8 CSV files. The report has file, encoding, status (``converted``
+    or ``failed``, where no candidate fits), rows, and the folder written
+    (NULL for a file without records).
+    """
+    found = file_encodings(spark, path, glob, recursive, candidates, suffix)
+    records = decoded_records(spark, found, columns)
+    root = quote(path.split(":")[-1].strip("/")) + "/"
+    stem = F.regexp_replace(F.substring_index(F.col("_file"), root, -1), r"\.csv$", "")
+    named = transliterate(records, list(columns)).withColumn("converted", F.concat(stem, F.lit(suffix)))
+    write_csv(named.select(*columns, "converted"), out, ("converted",))
+    counts = named.groupBy(F.col("_file").alias("file"), "converted").agg(F.count(F.lit(1)).alias("rows"))
+    folder = F.replace(F.replace("converted", F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))  # as partition folders are named
+    return found.join(counts, "file", "left").select(
+        "file", "encoding", F.when(F.col("encoding").isNotNull(), "converted").otherwise("failed").alias("status"),
+        F.coalesce("rows", F.lit(0)).alias("rows"), F.concat(F.lit(f"{out}/converted="), folder).alias("output"))

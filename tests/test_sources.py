@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from marketlake.session import scratch_path
+from marketlake.sources import encoding as ENC
 from marketlake.sources.catalog import list_views, preview, register_view, save_snapshot
 from marketlake.sources.csv import CORRUPT, read_csv
 from marketlake.sources.staging import backfill_lineage, stage
@@ -50,3 +51,30 @@ def test_stage_and_backfill(spark):
     again = stage(rows, "t", F.col("_key"), 1, "2024-01-01 00:00:00").collect()
     assert {r["staging_id"] for r in out} == {r["staging_id"] for r in again}  # deterministic
     assert backfill_lineage(rows, "x.csv").filter(F.col("loaded_file").isNull()).count() == 0
+
+
+def test_folder_conversion_keys_files_by_path_and_respects_the_order(spark):
+    root = scratch_path(spark, "mixed")
+    for folder, enc in (("a b", "utf-8"), ("c", "latin1"), ("d", "cp1252")):
+        os.makedirs(f"{root}/{folder}")
+        with open(f"{root}/{folder}/orders.csv", "w", encoding=enc) as f:
+            f.write('k,t\n1,"caf\u00e9, ""x""\nS\u00e3o"\n' + ("2,\u201cq\u201d \u20ac\n" if enc == "cp1252" else ""))
+    with open(f"{root}/c/old_conv.csv", "w") as f:
+        f.write("k,t\n9,z\n")
+
+    def texts(candidates):
+        found = ENC.file_encodings(spark, root, recursive=True, candidates=candidates)
+        return {(r["_file"].split("/")[-2], r["k"]): r["t"] for r in ENC.decoded_records(spark, found, ["k", "t"]).collect()}
+    got = texts(("utf-8", "cp1252"))
+    assert {k: v for k, v in got.items() if k[1] == "1"} == {(d, "1"): 'caf\u00e9, "x"\nS\u00e3o' for d in ("a%20b", "c", "d")}
+    assert got[("d", "2")] == "\u201cq\u201d \u20ac" and len(got) == 4
+    assert texts(("latin1", "utf-8"))[("a%20b", "1")].startswith("caf\u00c3\u00a9")
+    out = scratch_path(spark, "conv")
+    report = {r["file"].split("/")[-2]: r for r in ENC.convert_folder(spark, root, out, ["k", "t"], recursive=True, candidates=("utf-8", "cp1252")).collect()}
+    assert {d: (r["encoding"], r["status"], r["rows"]) for d, r in report.items()} == {
+        "a%20b": ("utf-8", "converted", 1), "c": ("cp1252", "converted", 1), "d": ("cp1252", "converted", 2)}
+    for r in report.values():
+        rows = ENC.read_converted(spark, r["output"], ["k", "t"]).collect()
+        assert len(rows) == r["rows"] and {x["t"] for x in rows if x["k"] == "1"} == {'cafe, "x"\nSao'}
+    only = {r["status"] for r in ENC.convert_folder(spark, root, scratch_path(spark, "conv"), ["k", "t"], recursive=True, candidates=("utf-8",)).collect()}
+    assert only == {"converted", "failed"}
