@@ -28,7 +28,7 @@ HEADLINE = [
     "v5_segment_delay_risk", "v6_late_counts", "v7_l6m_late_rate", "v8_delay_rank",
     "v9_category_performance", "v10_top_categories", "v11_price_tiers", "v12_state_reliability",
     "v13_mom_growth", "l1_latest", "l2_collapse_items", "l3_review_dedup", "k4_missing_pct",
-    "a1_box_stats", "a14_a15_state_median",
+    "a1_box_stats", "a14_a15_state_median", "l4_upsert_items", "l4_upsert_orders", "k11_orphans",
 ]
 
 

@@ -26,13 +26,14 @@ def round_ratio(num: Column, den: Column, digits: int, times: int = 1) -> Column
     """HALF_UP ``round(num / den, digits) * times`` as a double.
 
     ``num`` and ``den`` must be integer valued (counts, or money in cents)
-    and non-negative. NULL when ``den`` is zero or NULL (the reference's
-    ``NULLIF(den, 0)`` guard).
+    and ``den`` non-negative; halves of a negative ``num`` go away from zero.
+    NULL when ``den`` is zero or NULL (the reference's ``NULLIF(den, 0)`` guard).
     """
     scale = 10 ** digits
     num = num.cast(_INT)
     den = den.cast(_INT)
-    q = floor_div(num * F.lit(2 * scale) + den, den * F.lit(2))
+    q = floor_div(F.abs(num) * F.lit(2 * scale) + den, den * F.lit(2))
+    q = F.when(num < 0, -q).otherwise(q)
     divisor = scale / times
     return F.when(den > 0, q.cast("double") / F.lit(float(divisor)))
 

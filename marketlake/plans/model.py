@@ -148,11 +148,18 @@ def geo_lookup(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """What names the stored model: the session, the folder, and the lineitem files as they are now (a listing, no read)."""
+    files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    now = files.agg(F.count(F.lit(1)), F.max("modificationTime"), F.sum("length")).first()
+    return spark.sparkContext.applicationId, os.path.abspath(sf_dir), *now
 
 
 def stored_fact(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
-    """The item fact as a stored table (written once per session and data folder).
+    """The item fact as a stored table (written once per session and state of the data folder).
 
     The reference's views read a loaded ``fact_order_items`` table; here the
     grain collapse of lineitem (one full shuffle of the largest table) is
@@ -160,7 +167,17 @@ def stored_fact(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Data
     and every view scans the stored result. Lineage stops at the stored
     files, so a lost executor re-reads them instead of redoing the collapse.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    return spark.read.parquet(_stored_model(spark, sf_dir, refresh))
+
+
+def stored_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaders view stored with the item fact."""
+    return spark.read.parquet(_stored_model(spark, sf_dir) + "-leaders")
+
+
+def _stored_model(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
+    """The folder of the stored item fact, written if the data is new."""
+    key = _state(spark, sf_dir)
     if refresh or key not in _STORED:
         path = scratch_path(spark, "model/fact_order_items")
         items_fact(load(spark, sf_dir, "lineitem")).write.mode("overwrite").parquet(path)
@@ -168,12 +185,7 @@ def stored_fact(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Data
         fact = spark.read.parquet(path)
         market_leaders(fact).write.mode("overwrite").parquet(path + "-leaders")
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
-
-
-def stored_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored_fact(spark, sf_dir)
-    return spark.read.parquet(_STORED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))] + "-leaders")
+    return _STORED[key]
 
 
 def build_model(spark: SparkSession, sf_dir: str, stored: bool = True) -> StarModel:

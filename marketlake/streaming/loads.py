@@ -12,8 +12,8 @@ from marketlake.sources.csv import text_schema
 from marketlake.sources.staging import staging_id
 
 
-def _latest_version(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    """The newest complete snapshot version below ``table_dir`` (``v000001`` ...), if any.
+def _latest_version(spark: SparkSession, table_dir: str, below: str) -> DataFrame | None:
+    """The newest complete snapshot version of ``table_dir`` (``v000001`` ...) before ``below``, if any.
 
     Listed through the Hadoop FileSystem of the path, so it works on any
     shared storage the cluster uses, not only a local disk.
@@ -24,7 +24,7 @@ def _latest_version(spark: SparkSession, table_dir: str) -> DataFrame | None:
     if not fs.exists(path):
         return None
     versions = sorted(st.getPath().getName() for st in fs.listStatus(path)
-                      if st.isDirectory() and st.getPath().getName().startswith("v")
+                      if st.isDirectory() and st.getPath().getName().startswith("v") and st.getPath().getName() < below
                       and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))
     return spark.read.parquet(f"{table_dir.rstrip('/')}/{versions[-1]}") if versions else None
 
@@ -38,7 +38,8 @@ def start_dimension_load(spark: SparkSession, table: str, landing_dir: str, colu
     ``load_dimension`` cleans, dedups, upserts and assigns keys against the
     latest stored version, and the result is written as the next version.
     The stream checkpoint makes file consumption exactly-once; a batch that
-    is retried after a failure rewrites the same version folder.
+    is retried after a failure starts from the version before its own and
+    rewrites its own folder.
     """
     stream = (spark.readStream.schema(text_schema(columns)).option("header", True)
               .option("escape", '"').csv(landing_dir)
@@ -48,9 +49,10 @@ def start_dimension_load(spark: SparkSession, table: str, landing_dir: str, colu
         staged = batch.select(
             *columns, staging_id(table, F.concat_ws("|", F.col("loaded_file"), F.col(key)), batch_id)
             .alias("staging_id"), "loaded_file", F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"))
-        existing = _latest_version(spark, table_dir)
+        own = f"v{batch_id + 1:06d}"
+        existing = _latest_version(spark, table_dir, own)
         snap = load_dimension(table, staged, existing)
-        snap.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/v{batch_id + 1:06d}")
+        snap.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{own}")
 
     writer = stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

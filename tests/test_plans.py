@@ -57,6 +57,14 @@ def test_upsert_joins_once_and_reads_the_increment_once(spark):
     assert plan.count("FullOuter") == 1 and "o_orderkey" not in plan
 
 
+@pytest.mark.parametrize("name, scans", [("v9_category_performance", 0), ("v11_price_tiers", 0), ("v12_state_reliability", 0), ("a13_tier_shares", 1)])
+def test_fact_is_scanned_once(spark, name, scans):
+    """The value counts of these reports are stored in the report's one pass over the fact; V10's part of A13 is a pass of its own."""
+    plan = _initial_plan(E.queries()[name](spark, SF_SMALL))
+    reads = [n.toString() for n in _walk(plan) if n.nodeName().startswith("Scan parquet")]
+    assert sum("fact_order_items" in r for r in reads) == scans and any("value_counts" in r for r in reads)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_shape(spark, name):
     plan = _initial_plan(E.queries()[name](spark, SF_SMALL))

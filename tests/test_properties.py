@@ -28,7 +28,7 @@ def test_latest_per_key_equals_row_number(spark):
 def test_round_ratio_equals_decimal_half_up(spark):
     rnd = random.Random(5)
     pairs = [(rnd.randrange(0, 10 ** rnd.randrange(1, 12)), rnd.randrange(1, 10 ** rnd.randrange(1, 9)))
-             for _ in range(400)] + [(1, 8), (5, 2000), (1, 2002), (0, 7)]
+             for _ in range(400)] + [(1, 8), (5, 2000), (1, 2002), (0, 7), (-1, 8), (-5, 2000), (-7, 3), (-1, 9999)]
     df = spark.createDataFrame(pairs, "n long, d long")
     for digits, times in ((3, 1), (3, 100), (4, 1), (2, 1)):
         got = [r[0] for r in df.select(round_ratio(F.col("n"), F.col("d"), digits, times)).collect()]
