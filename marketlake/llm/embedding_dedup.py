@@ -2,11 +2,13 @@
 
 Distinct vectors are normalised and routed to cells around centres fitted on a
 bounded sample. Each vector is *home* in the cell of its nearest centre and a
-*guest* in every cell whose border lies within ``margin``: two vectors at
-distance r differ by about r / sqrt(dim) across any border that does not
-depend on them, and the margin allows ``probe`` times that. Every vector is
-compared, in its home cell, with all members of that cell, so its links are
-counted once and no pair has to be de-duplicated.
+*guest* in every cell whose border lies within r / 2, where r is the largest
+distance of a link: the distances of two linked vectors from the border
+between their cells sum to r at most, so one of them is a guest of the other's
+cell, whatever the vectors' distribution. Every vector is compared, in its home
+cell, with all members of that cell. A link to a guest counts for the vector at
+home, and for the guest too unless the two meet again in the guest's own cell;
+so both ends count it once and no pair has to be de-duplicated.
 
 Members carry a code: the signs of their rotated residual from the centre (one
 bit per dimension) and the code's correction factor, its inner product with
@@ -39,7 +41,6 @@ class Settings:
     """``sample`` bounds the rows that centres are fitted on and ``max_cells`` the centres; every vector is indexed."""
 
     cosine: float = 0.95
-    probe: float = 3.0
     bound: float = 4.0
     sample: int = 16384
     max_cells: int = 1024
@@ -78,9 +79,9 @@ def _rotation(dim: int, seed: int) -> np.ndarray:
 
 
 def _route(centres: np.ndarray, settings: Settings):
-    """Members of all cells: (cell, vid, home, vector, code, factor, spread)."""
+    """Members of all cells: (cell, vid, n, home, own cell, cells it is in, vector, code, factor, spread)."""
     dim = centres.shape[1]
-    margin = settings.probe * np.sqrt(max(0.0, 2 - 2 * settings.cosine) / dim)
+    margin = np.sqrt(max(0.0, 2 - 2 * settings.cosine)) / 2 + 1e-6
     sq = (centres ** 2).sum(axis=1)
     apart = np.sqrt(np.maximum(sq[:, None] + sq[None] - 2 * centres @ centres.T, 1e-18))
     turn = _rotation(dim, settings.seed)
@@ -94,18 +95,20 @@ def _route(centres: np.ndarray, settings: Settings):
                 home = d2.argmin(axis=1)
                 gap = (d2 - d2[np.arange(len(x)), home][:, None]) / (2 * apart[home])
                 row, cell = np.nonzero(gap <= margin)
+                reach = np.split(cell.astype(np.int32), np.searchsorted(row, np.arange(1, len(x))))
                 rest = x[row] - centres[cell]
                 spread = np.linalg.norm(rest, axis=1)
                 turned = rest @ turn.T / np.maximum(spread, 1e-12)[:, None]
                 bits = turned > 0
                 factor = np.abs(turned).sum(axis=1) / np.sqrt(dim)
                 yield pd.DataFrame({"cell": cell.astype(np.int32), "vid": b["vid"].to_numpy()[row], "n": b["n"].to_numpy()[row],
-                                    "home": home[row] == cell, "v": list(x[row]), "code": list(map(bytes, np.packbits(bits, axis=1))),
+                                    "home": home[row] == cell, "base": home[row].astype(np.int32),
+                                    "reach": [reach[i] if home[i] == c else None for i, c in zip(row, cell)], "v": list(x[row]), "code": list(map(bytes, np.packbits(bits, axis=1))),
                                     "factor": factor, "spread": spread})
     return run
 
 
-MEMBER = "cell int, vid long, n long, home boolean, v array<double>, code binary, factor double, spread double"
+MEMBER = "cell int, vid long, n long, home boolean, base int, reach array<int>, v array<double>, code binary, factor double, spread double"
 
 
 def _task(centres: np.ndarray, settings: Settings):
@@ -126,7 +129,11 @@ def _task(centres: np.ndarray, settings: Settings):
         error = settings.bound * np.sqrt(np.maximum(1 - factor ** 2, 0)) / factor / np.sqrt(max(dim - 1, 1)) * spread
         base = y @ centre
         vid, other, n = a["vid"].to_numpy(), b["vid"].to_numpy(), b["n"].to_numpy()
-        links = np.zeros(len(a), np.int64)
+        links, guest_links = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        of_home, from_cell = a["n"].to_numpy(), b["base"].to_numpy()
+        meets = np.zeros((len(a), len(centres)), bool)
+        for i, cells in enumerate(a["reach"]):
+            meets[i, cells] = True
         pairs = []
         for i in range(0, len(a), 256):
             part = slice(i, i + 256)
@@ -140,6 +147,8 @@ def _task(centres: np.ndarray, settings: Settings):
                 links[i + rows] += hit @ n
                 p, q = np.nonzero(hit)
                 pairs.append((i + rows[p], q))
+                once = ~meets[i + rows[p], from_cell[q]]   # the guest does not meet this vector in its own cell
+                np.add.at(guest_links, q[once], of_home[i + rows[p[once]]])
         # smallest vector reachable over this task's links
         root_a, root_b = vid.copy(), other.copy()
         if pairs:
@@ -150,8 +159,8 @@ def _task(centres: np.ndarray, settings: Settings):
                 np.minimum.at(root_a, p, root_b[q])
                 if root_a.sum() + root_b.sum() == before:
                     break
-        moved = root_b < other
-        return pd.DataFrame({"vid": np.concatenate((vid, other[moved])), "links": np.concatenate((links, np.zeros(moved.sum(), np.int64))),
+        moved = (root_b < other) | (guest_links > 0)
+        return pd.DataFrame({"vid": np.concatenate((vid, other[moved])), "links": np.concatenate((links, guest_links[moved])),
                              "root": np.concatenate((root_a, root_b[moved]))})
     return run
 

@@ -226,6 +226,22 @@ def test_links_match_all_pairs(spark):
     assert sorted((r["id"], r["links"], r["component"]) for r in got if r["id"] >= 900) == [(i, 0, i) for i in range(900, 906)]
 
 
+@pytest.mark.parametrize("dim, rank", [(256, 4), (128, 16)])
+def test_links_of_low_rank_vectors(spark, dim, rank):
+    rng = np.random.default_rng(dim)
+    plane = np.linalg.qr(rng.standard_normal((dim, rank)))[0].T
+    base = rng.standard_normal((1200, rank))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = rng.standard_normal((1200, rank))
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = rng.uniform(0.951, 0.97, (1200, 1))
+    x = np.concatenate([base, cosine * base + np.sqrt(1 - cosine ** 2) * aside]) @ plane
+    got = embedding_dedup.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    hit = x @ x.T >= 0.95
+    assert sorted((r["id"], r["links"]) for r in got) == [(i, int(h.sum()) - 1) for i, h in enumerate(hit)]
+
+
 # -- chat
 
 def test_fold_and_round_trip(spark):
