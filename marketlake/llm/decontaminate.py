@@ -8,6 +8,10 @@ alignment (document position minus item position) each value of the item must
 map to one value of the document, so a question asked again with other
 numbers or names is caught, while chance meetings of a template are not.
 
+A capitalised word at the start of a sentence, and a word with capitals beyond
+its first letter (McDonald, USA), may be a name or not. Windows that hold such
+words come in two variants, all of them literal and all of them names.
+
 Before the join, documents drop windows whose hash is not set in a bitmap of
 the items' hashes. The bitmap has a fixed size (2^22 bits, 512 KB), whatever
 the number of items; it lets strays through, never drops a match.
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import stored
 
-LITERAL, NUMBER, UNIT, CAPITAL, NOTHING = 0, 1, 2, 3, 4
+LITERAL, NUMBER, UNIT, CAPITAL, NOTHING, MIXED = 0, 1, 2, 3, 4, 5
 NUMBER_RE = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:[a-z%°]{0,3})$")
 STRIP = "\"'`´“”„«»‘’()[]{}<>.,;:!?…-–—*#$%&|/\\_=+~^@"
 ENDS = re.compile(r"[.!?…:;]")
@@ -73,8 +77,8 @@ class _Tokens(dict):
         kind = NOTHING if not core else _WORD_KIND.get(low, LITERAL)
         if kind == LITERAL and NUMBER_RE.match(low):
             kind = NUMBER
-        elif kind == LITERAL and len(core) > 1 and core[0].isupper() and core[1:].islower():
-            kind = CAPITAL
+        elif kind == LITERAL and len(core) > 1 and core[0].isupper():
+            kind = CAPITAL if core[1:].islower() else MIXED
         self.code.append(xxhash.xxh64_intdigest(low, 1))
         self.kind.append(kind)
         self.ends.append(bool(ENDS.search(word[word.rfind(core) + len(core):] if core else word)))
@@ -82,12 +86,23 @@ class _Tokens(dict):
         return at
 
 
+def _hashes(code: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the windows of ``n`` codes that start at ``at``."""
+    mixed = code ^ (code >> np.uint64(29))
+    h = np.full(len(at), np.uint64(n), np.uint64)
+    for i in range(n):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + mixed[at + i]
+    h ^= h >> np.uint64(31)
+    return h * np.uint64(0xD6E8FEB86659FD93)
+
+
 def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length: int = 0, least: int = 5):
-    """Windows of a list of texts: (text index, first token, hash, length, tokens of the text, slots).
+    """Windows of a list of texts: (text index, first token, hash, length, hash of the variant with all names, slots).
 
     With ``own_length`` (items) each text has windows of min(own_length, its
     tokens); otherwise (documents) windows of every length in ``lengths``.
     ``slots`` is a function giving the placeholder values of chosen windows.
+    Each variant of a window is a window of its own.
     """
     split = [t.split() for t in texts]
     ids = np.fromiter((i for s in split for i in map(tokens.__getitem__, s)), np.int64)
@@ -100,11 +115,15 @@ def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length:
     start[1:] = ends[:-1] | (doc[1:] != doc[:-1])
     keep = kind != NOTHING
     kind, value, doc, start = kind[keep], value[keep], doc[keep], start[keep]
-    kind = np.where((kind == CAPITAL) & start, LITERAL, kind)
-    code = value.copy()
+    maybe = (kind == MIXED) | ((kind == CAPITAL) & start)
+    kind = np.where(maybe, CAPITAL, kind)
+    named = value.copy()
     for k, h in _PLACEHOLDER.items():
-        code[kind == k] = h
-    literal = np.concatenate(([0], np.cumsum(kind == LITERAL)))
+        named[kind == k] = h
+    code = np.where(maybe, value, named)
+    slot = np.stack([(kind != LITERAL) & ~maybe, kind != LITERAL])
+    filled = np.concatenate((np.zeros((2, 1), np.int64), np.cumsum(slot, axis=1)), axis=1)
+    unsure = np.concatenate(([0], np.cumsum(maybe)))
     size = np.bincount(doc, minlength=len(texts))
     first = np.concatenate(([0], np.cumsum(size)[:-1])) if len(texts) else np.zeros(0, np.int64)
     found = []
@@ -112,26 +131,24 @@ def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length:
         m = len(code) - n + 1
         if m <= 0:
             continue
-        h = np.full(m, np.uint64(n), np.uint64)
-        for i in range(n):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + (code[i:i + m] ^ (code[i:i + m] >> np.uint64(29)))
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        ok = (doc[:m] == doc[n - 1:]) & (2 * (literal[n:] - literal[:m]) >= n)
+        whole = doc[:m] == doc[n - 1:]
         if own_length:
-            ok &= np.minimum(size, own_length)[doc[:m]] == n
-        at = np.nonzero(ok)[0]
-        found.append((at, h[at], np.full(len(at), n)))
+            whole &= np.minimum(size, own_length)[doc[:m]] == n
+        for form, tokens_of in enumerate((code, named)):
+            ok = whole & (2 * (filled[form, n:] - filled[form, :m]) <= n)
+            if form:
+                ok &= unsure[n:] > unsure[:m]
+            at = np.nonzero(ok)[0]
+            found.append((at, _hashes(tokens_of, at, n), np.full(len(at), n), np.full(len(at), form), _hashes(named, at, n) if own_length else at))
     if not found:
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-    at, h, n = (np.concatenate(x) for x in zip(*found))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
+    at, h, n, form, general = (np.concatenate(x) for x in zip(*found))
     signed = value.view(np.int64)
-    slot = kind != LITERAL
 
     def slots(pick: np.ndarray) -> list[list[int]]:
-        return [signed[a:a + k][slot[a:a + k]].tolist() for a, k in zip(at[pick], n[pick])]
+        return [signed[a:a + k][slot[f, a:a + k]].tolist() for a, k, f in zip(at[pick], n[pick], form[pick])]
 
-    return doc[at], at - first[doc[at]], h, n, size, slots
+    return doc[at], at - first[doc[at]], h, n, general, slots
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -144,18 +161,18 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def item_windows(benchmark: DataFrame, settings: Settings, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, pos, h, n, vals): one row per item and distinct window. Null and short texts give none."""
+    """(item_id, h, pos, n, vals, g): one row per item and distinct window; variants of one window share ``g``. Null and short texts give none."""
     def run(batches):
         tokens = _Tokens()
         for ids, texts in _texts(batches):
-            doc, pos, h, n, _, slots = _windows(texts, tokens, list(range(settings.least_tokens, settings.window + 1)), settings.window)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(pos), pa.array(h.view(np.int64)), pa.array(n), pa.array(slots(np.arange(len(doc))), pa.list_(pa.int64()))],
-                                             names=["item_id", "pos", "h", "n", "vals"])
+            doc, pos, h, n, general, slots = _windows(texts, tokens, list(range(settings.least_tokens, settings.window + 1)), settings.window)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(pos), pa.array(h.view(np.int64)), pa.array(n), pa.array(slots(np.arange(len(doc))), pa.list_(pa.int64())),
+                                              pa.array(general.view(np.int64))], names=["item_id", "pos", "h", "n", "vals", "g"])
 
     rows = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).distinct()
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(run, f"item_id {kind}, pos long, h long, n long, vals array<long>")
-    return found.groupBy("item_id", "h").agg(F.min_by(F.struct("pos", "n", "vals"), "pos").alias("w")).select("item_id", "h", "w.*")
+    found = rows.mapInArrow(run, f"item_id {kind}, pos long, h long, n long, vals array<long>, g long")
+    return found.groupBy("item_id", "h").agg(F.min_by(F.struct("pos", "n", "vals", "g"), "pos").alias("w")).select("item_id", "h", "w.*")
 
 
 def _bitmap(h: DataFrame) -> np.ndarray:
@@ -195,12 +212,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     windows = rows.mapInArrow(run, "doc_id long, h long, at long, got array<long>")
     aligned = (windows.join(items, "h").groupBy("doc_id", "item_id", (F.col("at") - F.col("pos")).alias("shift"))
-               .agg(F.collect_set("h").alias("hs"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("vals", "got")))).alias("pairs")))
+               .agg(F.collect_set("g").alias("gs"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("vals", "got")))).alias("pairs")))
     consistent = aligned.filter("size(pairs) = size(array_distinct(transform(pairs, p -> p.vals)))")
     same = F.expr("forall(pairs, p -> p.vals = p.got)")
-    per_window = consistent.select("doc_id", "item_id", same.alias("same"), F.explode("hs").alias("h")).groupBy("doc_id", "item_id", "h").agg(F.max("same").alias("same"))
+    per_window = consistent.select("doc_id", "item_id", same.alias("same"), F.explode("gs").alias("g")).groupBy("doc_id", "item_id", "g").agg(F.max("same").alias("same"))
     pairs = per_window.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched_windows"), F.max("same").alias("same"))
-    totals = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
+    totals = items.groupBy("item_id").agg(F.count_distinct("g").alias("item_windows"))
     enough = F.least(F.lit(settings.min_windows), F.ceil(F.col("item_windows") / 2))
     return (pairs.join(totals, "item_id").filter(F.col("matched_windows") >= enough)
             .select("doc_id", "item_id", "item_windows", "matched_windows",

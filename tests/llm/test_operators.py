@@ -184,6 +184,23 @@ def test_templates_catch_new_numbers_but_not_inconsistent_ones(spark, odd, empty
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count()
 
 
+def kinds(spark, docs, items):
+    """{(document, item): kind} of texts numbered from 0."""
+    rows = docs_of(spark, [(i, t, "en", "s") for i, t in enumerate(docs)])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.matches(rows, bench).collect()}
+
+
+def test_names_at_sentence_starts_and_with_inner_capitals(spark):
+    items = ["Alice has 5 apples. Bob gives her 3. How many apples does Alice have?",
+             "How much will McDonald pay when O'Brien sells him 4 of the old red chairs for the garden"]
+    docs = ["Some say so. Carol has 7 apples. Dan gives her 2. How many apples does Carol have? Nobody knows.",
+            "Tell me how much will DeVito pay when MacLeod sells him 9 of the old red chairs for the garden",
+            "Tell me how much will Smith pay when JONES sells him 9 of the old red chairs for the garden",
+            "Carol has many apples. Dan gives her a pear. How many pears does Carol want?"]
+    assert kinds(spark, docs, items) == {(0, 0): "reparameterised", (1, 1): "reparameterised", (2, 1): "reparameterised"}
+
+
 # -- pages
 
 PAGE = ("<html><head><title>t</title><script>var a='<p>x</p>'</script></head><body><header>Top</header><nav><ul><li>Menu</li></ul></nav>"
