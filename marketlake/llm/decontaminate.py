@@ -6,7 +6,9 @@ item is a template window; documents that hold the same windows are found by a
 hash join. The values behind the placeholders travel along: along one
 alignment (document position minus item position) each value of the item must
 map to one value of the document, so a question asked again with other
-numbers or names is caught, while chance meetings of a template are not.
+numbers or names is caught, while chance meetings of a template are not. Where
+the values conflict, the largest set of windows that agree counts, and every
+window whose values are all equal.
 
 A capitalised word at the start of a sentence, and a word with capitals beyond
 its first letter (McDonald, USA), may be a name or not. Windows that hold such
@@ -19,6 +21,8 @@ the number of items; it lets strays through, never drops a match.
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import ddl, extended, stored
 
 LITERAL, NUMBER, UNIT, CAPITAL, NOTHING, MIXED = 0, 1, 2, 3, 4, 5
 NUMBER_RE = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:[a-z%°]{0,3})$")
@@ -37,6 +41,7 @@ STRIP = "\"'`´“”„«»‘’()[]{}<>.,;:!?…-–—*#$%&|/\\_=+~^@"
 ENDS = re.compile(r"[.!?…:;]")
 BITMAP_BITS = 22
 CACHE_WORDS, PIECE_CHARS = 200_000, 1_000_000
+CHOICES = 256
 
 # Number words and units that stand for a slot.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
@@ -151,6 +156,39 @@ def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length:
     return doc[at], at - first[doc[at]], h, n, general, slots
 
 
+def _agreeing(windows: list[dict]) -> list[int]:
+    """``g`` of the windows (g, vals, got) of one alignment that count: most that agree on one value for each, and those with equal values.
+
+    All choices for the values in conflict are tried while there are no more
+    than ``CHOICES``; beyond, the choice with most windows is fixed value by value.
+    """
+    equal = {w["g"] for w in windows if list(w["vals"]) == list(w["got"])}
+    maps, options = [], {}
+    for w in windows:
+        own: dict[int, set] = {}
+        for v, x in zip(w["vals"], w["got"]):
+            own.setdefault(v, set()).add(x)
+            options.setdefault(v, {}).setdefault(x, set()).add(w["g"])
+        if all(len(x) == 1 for x in own.values()):
+            maps.append((w["g"], {v: x.pop() for v, x in own.items()}))
+    torn = [v for v, x in options.items() if len(x) > 1]
+
+    def kept(choice: dict, among: list) -> list:
+        return [(g, m) for g, m in among if all(m.get(v, x) == x for v, x in choice.items())]
+
+    if math.prod(len(options[v]) for v in torn) <= CHOICES:
+        found = (kept(dict(zip(torn, c)), maps) for c in itertools.product(*(sorted(options[v]) for v in torn)))
+        best = max(({g for g, _ in x} | equal for x in found), key=len)
+    else:
+        while torn:
+            votes = {(v, x): len({g for g, m in maps if m.get(v) == x}) for v in torn for x in options[v]}
+            v, x = max(votes, key=lambda k: (votes[k], k))
+            maps = kept({v: x}, maps)
+            torn.remove(v)
+        best = {g for g, _ in maps} | equal
+    return sorted(best)
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
         texts = [t.as_py() or "" for t in b.column("t")]
@@ -212,10 +250,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     windows = rows.mapInArrow(run, "doc_id long, h long, at long, got array<long>")
     aligned = (windows.join(items, "h").groupBy("doc_id", "item_id", (F.col("at") - F.col("pos")).alias("shift"))
-               .agg(F.collect_set("g").alias("gs"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("vals", "got")))).alias("pairs")))
-    consistent = aligned.filter("size(pairs) = size(array_distinct(transform(pairs, p -> p.vals)))")
-    same = F.expr("forall(pairs, p -> p.vals = p.got)")
-    per_window = consistent.select("doc_id", "item_id", same.alias("same"), F.explode("gs").alias("g")).groupBy("doc_id", "item_id", "g").agg(F.max("same").alias("same"))
+               .agg(F.collect_set(F.struct("g", "vals", "got")).alias("ws")))
+    pairs = F.expr("array_distinct(flatten(transform(ws, w -> arrays_zip(w.vals, w.got))))")
+    aligned = aligned.withColumn("pairs", pairs).withColumn("same", F.expr("forall(pairs, p -> p.vals = p.got)"))
+    conflict = F.expr("size(pairs) > size(array_distinct(transform(pairs, p -> p.vals)))")
+
+    def settle(batches):
+        for b in batches:
+            kept = [_agreeing(ws) if ws else None for ws in b.column("torn").to_pylist()]
+            yield extended(b, ("torn",), kept=pa.array(kept, pa.list_(pa.int64())))
+
+    judged = aligned.select("doc_id", "item_id", "same", F.when(~conflict, F.col("ws.g")).alias("gs"), F.when(conflict, F.col("ws")).alias("torn"))
+    judged = judged.mapInArrow(settle, f"{ddl(judged, ('torn',))}kept array<long>")
+    per_window = judged.select("doc_id", "item_id", "same", F.explode(F.coalesce("gs", "kept")).alias("g")).groupBy("doc_id", "item_id", "g").agg(F.max("same").alias("same"))
     pairs = per_window.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched_windows"), F.max("same").alias("same"))
     totals = items.groupBy("item_id").agg(F.count_distinct("g").alias("item_windows"))
     enough = F.least(F.lit(settings.min_windows), F.ceil(F.col("item_windows") / 2))

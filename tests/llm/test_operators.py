@@ -201,6 +201,23 @@ def test_names_at_sentence_starts_and_with_inner_capitals(spark):
     assert kinds(spark, docs, items) == {(0, 0): "reparameterised", (1, 1): "reparameterised", (2, 1): "reparameterised"}
 
 
+def test_conflicting_slots_drop_only_their_windows(spark):
+    item = ("The old baker sells 48 fresh loaves every single morning before the church bell rings and the village children "
+            "run along the narrow lane to school while the miller brings 48 new sacks of flour")
+    fruit = ("Put 2 ripe apples from the green basket near the old kitchen door into the wooden bowl and then also "
+             "add about 2 yellow pears that the neighbour left for us")
+    docs = [item.replace("48 fresh", "51 fresh"), fruit.replace("2 ripe", "3 ripe").replace("2 yellow", "5 yellow"), item]
+    assert kinds(spark, docs, [item, fruit]) == {(0, 0): "reparameterised", (1, 1): "reparameterised", (2, 0): "verbatim"}
+
+
+def test_largest_agreeing_set_of_windows():
+    windows = [{"g": 1, "vals": [5, 7], "got": [8, 3]}, {"g": 2, "vals": [5], "got": [8]}, {"g": 3, "vals": [5], "got": [9]},
+               {"g": 4, "vals": [5, 5], "got": [8, 9]}, {"g": 5, "vals": [5], "got": [5]}, {"g": 6, "vals": [], "got": []}]
+    assert decontaminate._agreeing(windows) == [1, 2, 5, 6]
+    many = [{"g": 10 * v + k, "vals": [v], "got": [100 + min(k, 1)]} for v in range(12) for k in range(3)]
+    assert decontaminate._agreeing(many) == sorted(10 * v + k for v in range(12) for k in (1, 2))
+
+
 # -- pages
 
 PAGE = ("<html><head><title>t</title><script>var a='<p>x</p>'</script></head><body><header>Top</header><nav><ul><li>Menu</li></ul></nav>"
