@@ -14,6 +14,9 @@ A capitalised word at the start of a sentence, and a word with capitals beyond
 its first letter (McDonald, USA), may be a name or not. Windows that hold such
 words come in two variants, all of them literal and all of them names.
 
+Windows with fewer literal words than others, and items of a few tokens, are no
+templates; they are joined by their exact words and values.
+
 Before the join, documents drop windows whose hash is not set in a bitmap of
 the items' hashes. The bitmap has a fixed size (2^22 bits, 512 KB), whatever
 the number of items; it lets strays through, never drops a match.
@@ -42,6 +45,8 @@ ENDS = re.compile(r"[.!?…:;]")
 BITMAP_BITS = 22
 CACHE_WORDS, PIECE_CHARS = 200_000, 1_000_000
 CHOICES = 256
+#: The third form of a window, after the two variants of a template.
+EXACT, EXACT_SEED = 2, 1 << 32
 
 # Number words and units that stand for a slot.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
@@ -57,11 +62,13 @@ _PLACEHOLDER = {k: np.uint64(xxhash.xxh64_intdigest(name, 7)) for k, name in
 
 @dataclass(frozen=True)
 class Settings:
-    """``window`` template tokens; half of them at least must be literal words.
+    """``window`` template tokens; windows with fewer than half literal words are matched exactly, values included.
 
     A document is contaminated by an item when ``min_windows`` of its distinct
     windows (13 tokens in a row), or half of them if fewer, align consistently.
-    Items with fewer than ``least_tokens`` tokens identify nothing and match nothing.
+    Items with fewer than ``least_tokens`` tokens are matched exactly too, so one
+    of a word or two matches every document that holds them. Exact windows count
+    with the others, and never raise the number that the templates alone need.
     """
 
     window: int = 8
@@ -91,10 +98,10 @@ class _Tokens(dict):
         return at
 
 
-def _hashes(code: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+def _hashes(code: np.ndarray, at: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hashes of the windows of ``n`` codes that start at ``at``."""
     mixed = code ^ (code >> np.uint64(29))
-    h = np.full(len(at), np.uint64(n), np.uint64)
+    h = np.full(len(at), np.uint64(n + seed), np.uint64)
     for i in range(n):
         h = h * np.uint64(0x9E3779B97F4A7C15) + mixed[at + i]
     h ^= h >> np.uint64(31)
@@ -139,19 +146,23 @@ def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length:
         whole = doc[:m] == doc[n - 1:]
         if own_length:
             whole &= np.minimum(size, own_length)[doc[:m]] == n
-        for form, tokens_of in enumerate((code, named)):
-            ok = whole & (2 * (filled[form, n:] - filled[form, :m]) <= n)
-            if form:
+        for form, tokens_of in enumerate((code, named, value)):
+            ok = 2 * (filled[form % 2, n:] - filled[form % 2, :m]) <= n if n >= least else np.zeros(m, bool)
+            if form == EXACT:
+                ok = ~ok
+            elif form:
                 ok &= unsure[n:] > unsure[:m]
-            at = np.nonzero(ok)[0]
-            found.append((at, _hashes(tokens_of, at, n), np.full(len(at), n), np.full(len(at), form), _hashes(named, at, n) if own_length else at))
+            at = np.nonzero(whole & ok)[0]
+            h = _hashes(tokens_of, at, n, EXACT_SEED if form == EXACT else 0)
+            general = _hashes(named, at, n) if own_length and form != EXACT else h
+            found.append((at, h, np.full(len(at), n), np.full(len(at), form), (general & ~np.uint64(1)) | np.uint64(form == EXACT)))
     if not found:
         found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
     at, h, n, form, general = (np.concatenate(x) for x in zip(*found))
     signed = value.view(np.int64)
 
     def slots(pick: np.ndarray) -> list[list[int]]:
-        return [signed[a:a + k][slot[f, a:a + k]].tolist() for a, k, f in zip(at[pick], n[pick], form[pick])]
+        return [signed[a:a + k][slot[f, a:a + k]].tolist() if f != EXACT else [] for a, k, f in zip(at[pick], n[pick], form[pick])]
 
     return doc[at], at - first[doc[at]], h, n, general, slots
 
@@ -199,11 +210,11 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def item_windows(benchmark: DataFrame, settings: Settings, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, h, pos, n, vals, g): one row per item and distinct window; variants of one window share ``g``. Null and short texts give none."""
+    """(item_id, h, pos, n, vals, g): one row per item and distinct window; variants of one window share ``g``, odd for exact windows. Null and empty texts give none."""
     def run(batches):
         tokens = _Tokens()
         for ids, texts in _texts(batches):
-            doc, pos, h, n, general, slots = _windows(texts, tokens, list(range(settings.least_tokens, settings.window + 1)), settings.window)
+            doc, pos, h, n, general, slots = _windows(texts, tokens, list(range(1, settings.window + 1)), settings.window, settings.least_tokens)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(pos), pa.array(h.view(np.int64)), pa.array(n), pa.array(slots(np.arange(len(doc))), pa.list_(pa.int64())),
                                               pa.array(general.view(np.int64))], names=["item_id", "pos", "h", "n", "vals", "g"])
 
@@ -241,7 +252,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
         for ids, texts in _texts(batches):
             if len(tokens) > CACHE_WORDS:
                 tokens = _Tokens()
-            doc, pos, h, _, _, slots = _windows(texts, tokens, lengths)
+            doc, pos, h, _, _, slots = _windows(texts, tokens, lengths, least=settings.least_tokens)
             x = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
             hit = np.nonzero(bitmap[x >> 3] >> (x & 7).astype(np.uint8) & 1)[0]
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[hit])), pa.array(h[hit].view(np.int64)), pa.array(pos[hit]), pa.array(slots(hit), pa.list_(pa.int64()))],
@@ -263,10 +274,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     judged = aligned.select("doc_id", "item_id", "same", F.when(~conflict, F.col("ws.g")).alias("gs"), F.when(conflict, F.col("ws")).alias("torn"))
     judged = judged.mapInArrow(settle, f"{ddl(judged, ('torn',))}kept array<long>")
     per_window = judged.select("doc_id", "item_id", "same", F.explode(F.coalesce("gs", "kept")).alias("g")).groupBy("doc_id", "item_id", "g").agg(F.max("same").alias("same"))
-    pairs = per_window.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched_windows"), F.max("same").alias("same"))
-    totals = items.groupBy("item_id").agg(F.count_distinct("g").alias("item_windows"))
-    enough = F.least(F.lit(settings.min_windows), F.ceil(F.col("item_windows") / 2))
-    return (pairs.join(totals, "item_id").filter(F.col("matched_windows") >= enough)
+    template = F.col("g") % 2 == 0
+    pairs = per_window.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched_windows"), F.count_if(template).alias("matched_templates"), F.max("same").alias("same"))
+    totals = items.groupBy("item_id").agg(F.count_distinct("g").alias("item_windows"), F.count_distinct(F.when(template, F.col("g"))).alias("templates"))
+
+    def enough(matched: str, total: str):
+        return (F.col(total) > 0) & (F.col(matched) >= F.least(F.lit(settings.min_windows), F.ceil(F.col(total) / 2)))
+
+    return (pairs.join(totals, "item_id").filter(enough("matched_windows", "item_windows") | enough("matched_templates", "templates"))
             .select("doc_id", "item_id", "item_windows", "matched_windows",
                     (F.col("matched_windows") / F.col("item_windows")).alias("coverage"),
                     F.when(F.col("same"), "verbatim").otherwise("reparameterised").alias("kind")))

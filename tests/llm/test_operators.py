@@ -218,6 +218,13 @@ def test_largest_agreeing_set_of_windows():
     assert decontaminate._agreeing(many) == sorted(10 * v + k for v in range(12) for k in (1, 2))
 
 
+def test_numeric_and_short_items_match_verbatim(spark):
+    items = ["Calculate 12 + 45 - 3 * 7 / 2", "Why is grass green?", "3 4 5 6 7 8 9 10 11 12 13 14"]
+    docs = [f"Here it is: {items[0]} and so on", f"He asked: {items[1]} Nobody knew.", f"x {items[2]} y",
+            "Here it is: Calculate 13 + 45 - 3 * 7 / 2 and so on", "Why is snow green?", "3 4 5 6 8 8 9 10 11 13 13 14", ""]
+    assert kinds(spark, docs, items) == {(0, 0): "verbatim", (1, 1): "verbatim", (2, 2): "verbatim"}
+
+
 # -- pages
 
 PAGE = ("<html><head><title>t</title><script>var a='<p>x</p>'</script></head><body><header>Top</header><nav><ul><li>Menu</li></ul></nav>"
