@@ -5,10 +5,10 @@ they stand in. Per host, Spark aggregates each token's *occurrence vector*
 (how often it occurs in every page) to a signature; tokens with one signature
 form an *equivalence class*. Classes that are large (three tokens) and
 frequent (half the host's pages, three at least) are valid, and nest by their
-paths into the host's template. Among the template's elements that occur once
-a page, the deepest one whose slots hold nearly all text that is not
-navigation, advert, form, notice or comment is the article; its slots are
-extracted from each page. A host with too few pages to deduce a template uses
+paths into the host's template. Elements with text that is not navigation,
+advert, form, notice or comment, and not the same on the host's pages, are
+slots. Among the template's elements that occur once a page, the deepest one
+that contains all slots is the article; it is extracted from each page. A host with too few pages to deduce a template uses
 the classes of all hosts together.
 
 The vectors never leave the aggregation: a signature is a XOR of hashes of
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -48,7 +49,7 @@ LEFT_OUT_NAMES = set("ad ads adv advert adverts advertisement advertising adsens
 #: An opening element of the first kind ends open elements of the second.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEEPS_P = INLINE | VOID
-MIN_PAGES, MIN_TOKENS, MIN_SHARE = 3, 3, 0.8
+MIN_PAGES, MIN_TOKENS = 3, 3
 
 
 def _element(tag: str, attributes: str, inside_article: bool) -> tuple[str, bool]:
@@ -117,24 +118,21 @@ def walk(page: str) -> Iterator[tuple]:
 
 
 def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per page and template token: occurrences and characters of text inside."""
+    """One row per page and template token: occurrences and a hash of the text directly inside (null if none)."""
     for b in batches:
         rows = []
         for host, page, text in zip(b["host"], b["page"], b["html"]):
             n: dict[str, int] = {}
-            chars: dict[str, int] = {}
+            inside: dict[str, list[str]] = {}
             out: dict[str, bool] = {}
             for kind, path, value in walk(text):
                 if kind == "open":
                     n[path] = n.get(path, 0) + 1
                     out[path] = value
-                elif kind == "text":
-                    size = len(value.strip())
-                    while path and size:
-                        chars[path] = chars.get(path, 0) + size
-                        path = path.rpartition("/")[0]
-            rows += [(host, page, p, k, chars.get(p, 0), p.count("/"), out[p]) for p, k in n.items()]
-        yield pd.DataFrame(rows, columns=["host", "page", "path", "n", "chars", "depth", "out"]).astype({"host": object, "path": object})
+                elif kind == "text" and not value.isspace():
+                    inside.setdefault(path, []).append(" ".join(value.split()))
+            rows += [(host, page, p, k, xxhash.xxh32_intdigest("\n".join(inside[p])) if p in inside else None, p.count("/"), out[p]) for p, k in n.items()]
+        yield pd.DataFrame(rows, columns=["host", "page", "path", "n", "words", "depth", "out"]).astype({"host": object, "path": object, "words": "Int64"})
 
 
 def extract_blocks(page: str, article: str | None) -> list[str]:
@@ -157,14 +155,16 @@ def extract_blocks(page: str, article: str | None) -> list[str]:
 
 
 def _articles(tokens: DataFrame) -> DataFrame:
-    """(host, article) from tokens with support, most, signature, chars, depth, out per host."""
-    pages = F.max("support").over(W.partitionBy("host"))
+    """(host, article) from tokens with support, most, signature, depth, out, pages with text, least and largest text hash per host."""
+    many = F.greatest(F.lit(MIN_PAGES), F.col("pages") / 2)
+    tokens = tokens.withColumn("pages", F.max("support").over(W.partitionBy("host")))
     classes = tokens.groupBy("host", "sig", "support").agg(F.count(F.lit(1)).alias("size"))
-    valid = (tokens.join(classes, ["host", "sig", "support"]).withColumn("pages", pages)
-             .filter((F.col("size") >= MIN_TOKENS) & (F.col("support") >= F.greatest(F.lit(MIN_PAGES), F.col("pages") / 2))))
-    once = valid.filter("most = 1 AND NOT out").withColumn("all_chars", F.max("chars").over(W.partitionBy("host")))
-    return (once.filter(F.col("chars") >= MIN_SHARE * F.col("all_chars"))
-            .groupBy("host").agg(F.max_by("path", F.struct("depth", "chars", "path")).alias("article")))
+    valid = tokens.join(classes, ["host", "sig", "support"]).filter((F.col("size") >= MIN_TOKENS) & (F.col("support") >= many))
+    # all slots lie below an element when the first and the last of their paths do
+    path, varies = F.concat("path", F.lit("/")), (F.col("low") != F.col("high")) | (F.col("texts") < many)
+    slots = tokens.filter("texts > 0").groupBy("host").agg(*[F.coalesce(f(F.when(varies, path)), f(path)).alias(name) for f, name in ((F.min, "from"), (F.max, "to"))])
+    return (valid.filter("most = 1 AND NOT out").join(slots, "host").filter(F.col("from").startswith(path) & F.col("to").startswith(path))
+            .groupBy("host").agg(F.max_by("path", F.struct("depth", "path")).alias("article")))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", keep: tuple = ()) -> DataFrame:
@@ -177,13 +177,13 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit("")))
     rows = pages.select(*keep, F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     seen = rows.select("host", F.xxhash64("id", "url").alias("page"), "html")
-    counts = seen.mapInPandas(_tokens, "host string, page long, path string, n long, chars long, depth long, out boolean")
+    counts = seen.mapInPandas(_tokens, "host string, page long, path string, n long, words long, depth long, out boolean")
     tokens = stored(counts.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("support"), F.max("n").alias("most"), F.bit_xor(F.xxhash64("page", "n")).alias("sig"),
-        F.sum("chars").alias("chars"), F.max("depth").alias("depth"), F.max("out").alias("out")), "tokens")
+        F.count("words").alias("texts"), F.min("words").alias("low"), F.max("words").alias("high"), F.max("depth").alias("depth"), F.max("out").alias("out")), "tokens")
     everywhere = tokens.groupBy(F.lit("").alias("any"), "path").agg(
-        F.sum("support").alias("support"), F.max("most").alias("most"), F.bit_xor("sig").alias("sig"), F.sum("chars").alias("chars"),
-        F.max("depth").alias("depth"), F.max("out").alias("out")).withColumnRenamed("any", "host")
+        F.sum("support").alias("support"), F.max("most").alias("most"), F.bit_xor("sig").alias("sig"),
+        F.sum("texts").alias("texts"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("depth").alias("depth"), F.max("out").alias("out")).withColumnRenamed("any", "host")
     own = stored(_articles(tokens).select(F.col("host").alias("h"), "article"), "articles")
     shared = _articles(everywhere).first()
     discard(tokens)

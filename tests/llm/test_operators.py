@@ -241,6 +241,17 @@ def test_pages_of_a_host(spark):
     assert page_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_title_and_lead_outside_the_body_element_stay(spark):
+    lead = ("<html><body><nav>Menu</nav><div class=promoted-by>Made by X</div><article><h1>Head {n}</h1><div class=lead>Lead {n}</div><div class=body><p>"
+            + "long text {n} " * 60 + "</p></div></article></body></html>")
+    one = "<html><head></head><body><div class=top></div><div class=main-text><h1>Title {n}</h1><p>" + "one paragraph {n} " * 60 + "</p></div></body></html>"
+    rows = [(10 * k + n, f"http://h{k}.example/{n}", page.replace("{n}", str(n))) for k, page in enumerate((lead, one)) for n in range(5)]
+    got = {r["id"]: r["text"] for r in page_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(5):
+        assert got[n] == f"Head {n}\nLead {n}\n" + " ".join([f"long text {n}"] * 60)
+        assert got[10 + n] == f"Title {n}\n" + " ".join([f"one paragraph {n}"] * 60)
+
+
 def test_walk_decodes_and_closes():
     assert page_text.extract_blocks("<body><div><p>a<p>b</div>c&lt;d<!-- x --><br>e<hr>f", None) == ["a", "b", "c<d e", "f"]
     assert html.unescape("&amp;") == "&"
