@@ -266,7 +266,8 @@ def _label_piece(texts: list[str], words: _Words) -> list[tuple]:
     own = np.take_along_axis(s, best[doc][:, None], axis=1)[:, 0]
     single = np.ones(len(at), bool)
     for lang in range(len(m.languages)):
-        single &= _best_run(s[:, lang] - own, doc, starts) < m.penalty
+        # k runs then gain less than k * penalty / 2, which k - 1 switches cost at least when k > 1
+        single &= _best_run(s[:, lang] - own, doc, starts) < m.penalty / 2
     mixed = np.nonzero(~single)[0]
     paths = dict(zip(mixed, viterbi([s[starts[k]:starts[k] + counts[at[k]]] for k in mixed], m.penalty)))
     for k, i in enumerate(at):

@@ -134,6 +134,19 @@ def test_languages_spans_and_odd_rows(spark, odd, empty):
     assert langid.label(rows, langid.train(empty)).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_two_runs_beside_the_best_single_language():
+    class Words(dict):
+        model = langid.Model(["a", "b", "c"], None, None, 12.0)
+        scores = np.array([[-1.2, 0, -20], [-1.2, -20, 0]])
+        letters = np.array([2, 2])
+
+        def score(self):
+            pass
+
+    (lang, score, spans), = langid._label_piece([" ".join(["bx"] * 8 + ["cx"] * 8)], Words(bx=0, cx=1))
+    assert [x[2] for x in spans] == ["b", "c"] and lang == "b" and score == 0.5
+
+
 def test_held_out_rule(spark):
     got = spark.createDataFrame([(i,) for i in range(50)], "doc_id long").select("doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
