@@ -12,19 +12,19 @@ from pyspark.sql import functions as F
 from marketlake.llm import decontaminate, langid, mixing, sharding, simhash
 from marketlake.llm.common import free_name, stored, table
 
-#: Below this share of letters in its main language a text counts as no language.
-MIN_LANGUAGE_SCORE = 0.4
 #: What the sharding stage adds to a document.
 PLACE = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a main language; drops texts without letters and hopeless mixtures."""
+    """Drops texts without letters; mixtures of languages stay, and all rows where no language could be learned."""
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs
     whole = free_name(docs, "whole_row")
     row = docs.select("*", F.struct(*docs.columns).alias(whole))
     found = langid.label(row, model, keep=(whole,))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(f"{whole}.*")
+    return found.filter(F.col("lang_pred") != "und").select(f"{whole}.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,3 +60,13 @@ def test_pipeline_stages_take_effect(spark):
         by.setdefault(r["shard"], []).append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
     assert mixing.BUCKETS == 4096
+
+
+def test_language_stage_keeps_mixtures_and_rows_without_labels(spark):
+    texts = {"en": "the cat sat on the mat and the dog ran to the house", "ru": "кошка сидела на ковре и собака бежала домой",
+             "el": "η γάτα κάθισε στο χαλί και ο σκύλος έτρεξε"}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(list(texts.items()) * 20)] + [(100, " ".join(" ".join([t] * 8) for t in texts.values()), None), (101, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert kept == set(range(60)) | {100}
+    assert corpus_pipeline.language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "").count() == len(rows)
