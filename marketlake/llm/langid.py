@@ -11,7 +11,7 @@ language is written in. ``label`` scores every word of every text:
    neighbouring words of one label form a span.
 
 Most texts have one language. That is proved cheaply for a whole batch: if no
-run of words gains more than one penalty by leaving language ``a`` for any
+run of words gains half a penalty by leaving language ``a`` for any
 single other language, then staying in ``a`` is the optimal path. Only the
 other texts go through the Viterbi recursion, in fixed-size pieces of words
 processed side by side.
