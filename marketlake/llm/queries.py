@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, decontaminate, embedding_dedup, langid, mixing, page_text, sharding, simhash, suffix_dedup, toxicity
+from marketlake.llm import (chat, decontaminate, embedding_dedup, hard_negatives, langid, mixing, page_text, sharding, simhash, suffix_dedup,
+                            toxicity)
 from marketlake.llm.common import table
 
 
@@ -71,6 +72,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -82,7 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 #: DuckDB SQL where SQL can express the query.
-ORACLES: dict[str, str] = {"op7_chat": chat.OP7_SQL, "op10_mixing": mixing.OP10_SQL}
+ORACLES: dict[str, str] = {"op7_chat": chat.OP7_SQL, "op10_mixing": mixing.OP10_SQL, "op11_hard_negatives": hard_negatives.OP11_SQL}
