@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (chat, decontaminate, embedding_dedup, hard_negatives, langid, mixing, page_text, sharding, simhash, suffix_dedup,
-                            toxicity)
+from marketlake.llm import (chat, collocations, decontaminate, embedding_dedup, hard_negatives, langid, mixing, page_text, sharding, simhash,
+                            suffix_dedup, toxicity)
 from marketlake.llm.common import table
 
 
@@ -78,6 +78,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, label=label)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -90,7 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 
 #: DuckDB SQL where SQL can express the query.
-ORACLES: dict[str, str] = {"op7_chat": chat.OP7_SQL, "op10_mixing": mixing.OP10_SQL, "op11_hard_negatives": hard_negatives.OP11_SQL}
+ORACLES: dict[str, str] = {"op7_chat": chat.OP7_SQL, "op10_mixing": mixing.OP10_SQL, "op11_hard_negatives": hard_negatives.OP11_SQL,
+                           "op13_collocations": collocations.OP13_SQL}
