@@ -5,10 +5,11 @@ documents, at a lowered threshold. What is frequent there is proposed. The
 full pass counts, over all texts, every word and every longer phrase whose
 words without the last and without the first are both proposed: that is each
 proposed phrase and the whole negative border. A border phrase that turns out
-frequent is a failure of the sample: it is proposed too, and a further pass
-counts the phrases that this brings within the border. Passes go on until
-none fails; then every frequent phrase has been counted, because a phrase is
-never more frequent than its parts.
+frequent is a failure of the sample: it is proposed too, and an expansion pass
+counts the phrases that this brings within the border. That pass takes each
+phrase it counts for frequent, so it expands to the full length at once and
+the result is closed after it: every frequent phrase has been counted, because
+a phrase is never more frequent than its parts.
 
 Counting tasks know the proposals as a bit per hash value, in a bitmap sized
 by their number and bounded by ``max_bits``. A hash that two phrases share
@@ -36,7 +37,9 @@ from marketlake.llm.common import discard, id_text, in_sample, stored
 class Settings:
     """``share`` of the documents is the sample, in which phrases are proposed from ``slack`` times their expected count on.
 
-    Neither changes the result, only the number of passes; nor does ``max_bits``, the bound of the bitmap (32 MB).
+    Neither changes the result, only the work; nor do ``max_bits``, the bound of the bitmap (32 MB), and the
+    sizes: bytes of a ``block`` of text, ``pairs`` that a task gathers before it sends them, words of the corpus for which
+    there is a bucket of sums.
     """
 
     words: int = 5
@@ -45,7 +48,9 @@ class Settings:
     share: float = 0.125
     slack: float = 0.4
     max_bits: int = 1 << 28
-    block: int = 1 << 23
+    block: int = 1 << 22
+    pairs: int = 1 << 20
+    bucket_words: int = 1 << 21
 
 
 #: Line ends and `.,;:!?` part pieces, here all as full stops; tabs are spaces; A-Z become small.
@@ -136,89 +141,151 @@ class _Codes(dict):
         return code
 
 
-def _counted(block: bytes, codes: _Codes, level: int | None, new: np.ndarray | None, old: np.ndarray | None, words: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, occurrences) of a block: only ``level``, or all. Phrases whose parts are in ``new``, and not all in ``old``."""
+def _distinct(code: np.ndarray, h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place and the number of each phrase of ``k`` words at the places ``at``: grouped by hash, compared by words."""
+    _, shown, inverse, n = np.unique(h[at], return_index=True, return_inverse=True, return_counts=True)
+    first = at[shown]
+    of = first[inverse]
+    if all((code[at + i] == code[of + i]).all() for i in range(k)):
+        return first, n
+    words = np.stack([code[at + i] for i in range(k)], axis=1)
+    _, shown, n = np.unique(words, axis=0, return_index=True, return_counts=True)
+    return at[shown], n
+
+
+def _counted(block: bytes, codes: _Codes, level: int | None, new: np.ndarray | None, old: np.ndarray | None, words: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(phrases, hashes, occurrences) of a block: of one ``level``, or of all.
+
+    Phrases whose parts are all in ``new``. Where ``old`` is given, only those
+    that it did not bring within the border; these are themselves taken for
+    frequent, so that one pass reaches everything that follows from them.
+    """
     code = np.array(list(map(codes.__getitem__, tokens(block))), np.int64)
     is_word = code > 0
     vocabulary = pa.array(codes.words, pa.binary()).cast(pa.string())
+    hashes = np.array(codes.hashes, np.uint64)
     if old is None and level in (None, 1):
         n = np.bincount(code, minlength=1)
         n[0] = 0
         held = np.flatnonzero(n)
-        yield 1, vocabulary.take(pa.array(held)), n[held]
-        yield 0, pa.array([""]), np.array([is_word.sum()])
+        yield vocabulary.take(pa.array(held)), hashes[held], n[held]
+        yield pa.array([""]), np.zeros(1, np.uint64), np.array([is_word.sum()])
     if new is None:
         return
-    last = np.array(codes.hashes, np.uint64)[code]
-    h, name = last, code                       # hash and exact name of the phrase that starts at a place
+    last = h = hashes[code]
     wanted = is_word & has(new, h)
-    known = wanted & has(old, h) if old is not None else None
+    known = is_word & has(old, h) if old is not None else None
     for k in range(2, (level or words) + 1):
         if len(code) < k:
             return
-        wanted = wanted[:-1] & wanted[1:]
-        at = np.flatnonzero(wanted)
-        # names stay exact: a pair of (name of the first words, code of the last) gets a rank
-        name_at, shown, inverse, n = at, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        if len(at):
-            _, shown, inverse, n = np.unique(name[at] << 32 | code[at + k - 1], return_index=True, return_inverse=True, return_counts=True)
+        wanted, h = wanted[:-1] & wanted[1:], longer(h[:-1], last[k - 1:])
+        fresh = wanted
         if known is not None:
             known = known[:-1] & known[1:]
+            fresh = wanted & ~known
+        at = np.flatnonzero(fresh)
         if level in (None, k) and len(at):
-            first = at[shown]
-            if known is not None:
-                fresh = ~known[first]
-                first, n = first[fresh], n[fresh]
-            if len(first):
-                yield k, pc.binary_join_element_wise(*[vocabulary.take(pa.array(code[first + i])) for i in range(k)], " "), n
-        name = np.zeros(len(wanted), np.int64)
-        name[name_at] = inverse
-        h = longer(h[:-1], last[k - 1:])
+            first, n = _distinct(code, h, at, k)
+            yield pc.binary_join_element_wise(*[vocabulary.take(pa.array(code[first + i])) for i in range(k)], " "), h[first], n
         wanted = wanted & has(new, h)
         if known is not None:
-            known = known & wanted & has(old, h)
+            wanted, known = wanted | fresh, known & has(old, h)
+
 
+_PAIRS = pa.schema([("phrase", pa.string()), ("n", pa.int64())])
 
-def count(texts: DataFrame, s: Settings, level: int | None = None, new: np.ndarray | None = None, old: np.ndarray | None = None) -> DataFrame:
-    """(lang, k, phrase, n): occurrences in ``texts`` (lang, t); the empty phrase has all words of a language.
+
+def _dealt(lang: str, found: list[tuple[pa.Array, np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, lang, pairs): the phrases of a language with their occurrences, one row for each bucket of hashes."""
+    if not found:
+        return
+    rows = pa.table({"phrase": pa.chunked_array([x[0] for x in found]), "n": np.concatenate([x[2] for x in found]), "h": np.concatenate([x[1] for x in found])})
+    rows = rows.group_by("phrase").aggregate([("n", "sum"), ("h", "min")])
+    bucket = (rows["h_min"].to_numpy() >> np.uint64(20)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    rows = rows.select(["phrase", "n_sum"]).rename_columns(["phrase", "n"]).take(pa.array(order)).combine_chunks()
+    ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket))
+    start = 0
+    for end in ends:
+        part = pa.RecordBatch.from_arrays([_own(c.chunk(0).slice(start, end - start)) for c in rows.columns], schema=_PAIRS)
+        yield pa.RecordBatch.from_arrays([pa.array([int(bucket[start])], pa.int32()), pa.array([lang]), pa.array([part.serialize().to_pybytes()], pa.binary())],
+                                         names=["bucket", "lang", "pairs"])
+        start = end
+
+
+def _own(a: pa.Array) -> pa.Array:
+    """A slice without the rest of the array it was cut from."""
+    return pa.concat_arrays([a])
+
+
+def _merged(least: int) -> Callable:
+    """Sums of the pairs of one bucket, of phrases with ``least`` occurrences; the empty phrase always."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.RecordBatch]] = {}
+        for b in batches:
+            for lang, pairs in zip(b.column("lang").to_pylist(), b.column("pairs"), strict=True):
+                held.setdefault(lang, []).append(pa.ipc.read_record_batch(pairs.as_buffer(), _PAIRS))
+        while held:
+            lang, parts = held.popitem()
+            sums = pa.Table.from_batches(parts, _PAIRS).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+            sums = sums.filter(pc.or_(pc.greater_equal(sums["n"], least), pc.equal(sums["phrase"], "")))
+            k = pc.if_else(pc.equal(sums["phrase"], ""), 0, pc.add(pc.count_substring(sums["phrase"], " "), 1)).cast(pa.int32())
+            out = pa.table({"lang": pa.array([lang] * len(sums), pa.string()), "k": k, "phrase": sums["phrase"], "n": sums["n"]})
+            yield from out.to_batches(max_chunksize=16384)
+    return run
+
+
+def count(texts: DataFrame, s: Settings, least: int, buckets: int, level: int | None = None, new: np.ndarray | None = None,
+          old: np.ndarray | None = None) -> DataFrame:
+    """(lang, k, phrase, n): phrases that occur ``least`` times in ``texts`` (lang, t), stored; the empty phrase has all words of a language.
 
     ``new`` and ``old`` are bitmaps of proposals, now and at the pass before.
+    Tasks send their sums in ``buckets`` of hashes; a bucket is one task.
     """
     shared = texts.sparkSession.sparkContext.broadcast((new, old))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, old = shared.value
         codes: dict[str, _Codes] = {}
+        found: dict[str, list] = {}
+        rows = 0
 
-        def done(lang: str, held: list[bytes]) -> Iterator[pa.RecordBatch]:
+        def read(lang: str, held: list[bytes]) -> int:
+            n = 0
             for block in blocks(held, s.block):
-                own = codes.get(lang)
-                if own is None or len(own) > 400_000:
-                    codes.clear()
-                    own = codes[lang] = _Codes(lang)
-                for k, phrases, n in _counted(block, own, level, new, old, s.words):
-                    for i in range(0, len(n), 65536):
-                        part = phrases.slice(i, 65536)
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(np.full(len(part), k, np.int32)), part.cast(pa.string()),
-                                                          pa.array(n[i:i + 65536].astype(np.int64))], names=["lang", "k", "phrase", "n"])
+                if lang not in codes or len(codes[lang]) > 300_000:
+                    codes[lang] = _Codes(lang)
+                for part in _counted(block, codes[lang], level, new, old, s.words):
+                    found.setdefault(lang, []).append(part)
+                    n += len(part[0])
+            return n
 
         waiting: dict[str, list[bytes]] = {}
         size = 0
         for b in batches:
-            text = b.column("t").cast(pa.binary())
-            for lang, t in zip(b.column("lang").to_pylist(), text, strict=True):
+            for lang, t in zip(b.column("lang").to_pylist(), b.column("t").cast(pa.binary()), strict=True):
                 t = t.as_py()
                 waiting.setdefault(lang, []).append(t)
                 size += len(t)
                 if size >= s.block:
-                    for x, held in waiting.items():
-                        yield from done(x, held)
+                    rows += sum(read(x, held) for x, held in waiting.items())
                     waiting, size = {}, 0
+                    if sum(map(len, codes.values())) > 1_000_000:
+                        codes.clear()
+                    if rows >= s.pairs:
+                        while found:
+                            yield from _dealt(*found.popitem(), buckets)
+                        rows = 0
         for x, held in waiting.items():
-            yield from done(x, held)
+            read(x, held)
+        while found:
+            yield from _dealt(*found.popitem(), buckets)
 
-    found = texts.select("lang", "t").mapInArrow(run, "lang string, k int, phrase string, n long")
-    return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    parts = texts.select("lang", "t").mapInArrow(run, "bucket int, lang string, pairs binary")
+    # a bucket is a partition: its sums need no sorting and no other bucket's memory
+    sums = parts.repartitionById(buckets, F.col("bucket")).mapInArrow(_merged(least), "lang string, k int, phrase string, n long")
+    return stored(sums, "phrases")
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", settings: Settings = Settings()) -> DataFrame:
@@ -231,26 +298,23 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # the sample: level by level, at the lowered threshold
     sample = stored(rows.filter(in_sample(F.xxhash64("id", "t"), s.share)).select("lang", "t"), "sample")
     few = max(1, int(s.slack * s.share * s.least))
-    parts = [stored(count(sample, s, 1).filter((F.col("k") == 1) & (F.col("n") >= few)), "proposed")]
-    bits = _bits(parts[0].count(), s)
-    new = _bitmap(parts[0], bits)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = [count(sample, s, few, tasks, 1)]
+    in_sample_words = parts[0].agg(F.sum(F.when(F.col("k") == 0, F.col("n"))), F.count(F.lit(1))).first()
+    bits = _bits(in_sample_words[1], s)
+    buckets = max(tasks, int((in_sample_words[0] or 0) / s.share / s.bucket_words) + 1)
+    new = _bitmap(parts[0].filter("k = 1"), bits)
     for k in range(2, s.words + 1):
-        parts.append(stored(count(sample, s, k, new).filter(F.col("n") >= few), "proposed"))
+        parts.append(count(sample, s, few, max(tasks, int(buckets * s.share)), k, new))
         new |= _bitmap(parts[-1], bits)
     discard(sample, *parts)
 
-    # full passes: proposals and border first, then what failures add
-    passes, old = [], None
-    while True:
-        passes.append(stored(count(texts, s, None, new, old).filter((F.col("n") >= s.least) | (F.col("k") == 0)), "frequent"))
-        failed = _bitmap(passes[-1].filter(f"k BETWEEN 1 AND {s.words - 1}"), bits)
-        if not (failed & ~new).any():
-            break
-        old, new = new, new | failed
-    out = passes[0]
-    for p in passes[1:]:
-        out = out.unionByName(p)
-    return out
+    # the full pass: proposals and border; a further one for what failures bring within the border, and all that follows from that
+    found = count(texts, s, s.least, buckets, None, new)
+    failed = _bitmap(found.filter(f"k BETWEEN 1 AND {s.words - 1}"), bits)
+    if (failed & ~new).any():
+        found = found.unionByName(count(texts, s, s.least, buckets, None, new | failed, new))
+    return found
 
 
 def _bits(words: int, s: Settings) -> int:
