@@ -49,7 +49,7 @@ class Settings:
     slack: float = 0.4
     max_bits: int = 1 << 28
     block: int = 1 << 22
-    pairs: int = 1 << 20
+    pairs: int = 1 << 19
     bucket_words: int = 1 << 21
 
 
@@ -142,12 +142,16 @@ class _Codes(dict):
 
 
 def _distinct(code: np.ndarray, h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place and the number of each phrase of ``k`` words at the places ``at``: grouped by hash, compared by words."""
+    """A place and the number of each phrase of ``k`` words at the places ``at``: grouped by hash, compared by words.
+
+    In order of the first two words, which lets the phrases be packed small.
+    """
     _, shown, inverse, n = np.unique(h[at], return_index=True, return_inverse=True, return_counts=True)
     first = at[shown]
     of = first[inverse]
     if all((code[at + i] == code[of + i]).all() for i in range(k)):
-        return first, n
+        order = np.argsort(code[first] << 32 | code[first + 1])
+        return first[order], n[order]
     words = np.stack([code[at + i] for i in range(k)], axis=1)
     _, shown, n = np.unique(words, axis=0, return_index=True, return_counts=True)
     return at[shown], n
@@ -192,7 +196,20 @@ def _counted(block: bytes, codes: _Codes, level: int | None, new: np.ndarray | N
             wanted, known = wanted | fresh, known & has(old, h)
 
 
-_PAIRS = pa.schema([("phrase", pa.string()), ("n", pa.int64())])
+def _packed(phrases: pa.StringArray, n: np.ndarray) -> bytes:
+    """Phrases with their numbers, compressed: number of rows, lengths, numbers, letters."""
+    ends = np.frombuffer(phrases.buffers()[1], np.int32)[phrases.offset:phrases.offset + len(phrases) + 1]
+    letters = phrases.buffers()[2]
+    raw = np.int64(len(n)).tobytes() + np.diff(ends).tobytes() + n.astype(np.int64).tobytes() + (letters.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if letters else b"")
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> pa.Table:
+    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd")
+    rows = int.from_bytes(raw[:8].to_pybytes(), "little")
+    ends = np.concatenate(([0], np.cumsum(np.frombuffer(raw, np.int32, rows, 8)))).astype(np.int32)
+    phrases = pa.StringArray.from_buffers(rows, pa.py_buffer(ends), raw.slice(8 + 12 * rows))
+    return pa.table({"phrase": phrases, "n": np.frombuffer(raw, np.int64, rows, 8 + 4 * rows)})
 
 
 def _dealt(lang: str, found: list[tuple[pa.Array, np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -203,32 +220,26 @@ def _dealt(lang: str, found: list[tuple[pa.Array, np.ndarray, np.ndarray]], buck
     rows = rows.group_by("phrase").aggregate([("n", "sum"), ("h", "min")])
     bucket = (rows["h_min"].to_numpy() >> np.uint64(20)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    rows = rows.select(["phrase", "n_sum"]).rename_columns(["phrase", "n"]).take(pa.array(order)).combine_chunks()
+    bucket, n = bucket[order], rows["n_sum"].to_numpy()[order]
+    phrases = rows["phrase"].combine_chunks().take(pa.array(order))
     ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket))
     start = 0
     for end in ends:
-        part = pa.RecordBatch.from_arrays([_own(c.chunk(0).slice(start, end - start)) for c in rows.columns], schema=_PAIRS)
-        yield pa.RecordBatch.from_arrays([pa.array([int(bucket[start])], pa.int32()), pa.array([lang]), pa.array([part.serialize().to_pybytes()], pa.binary())],
-                                         names=["bucket", "lang", "pairs"])
+        pairs = _packed(phrases.slice(start, end - start), n[start:end])
+        yield pa.RecordBatch.from_arrays([pa.array([int(bucket[start])], pa.int32()), pa.array([lang]), pa.array([pairs], pa.binary())], names=["bucket", "lang", "pairs"])
         start = end
 
 
-def _own(a: pa.Array) -> pa.Array:
-    """A slice without the rest of the array it was cut from."""
-    return pa.concat_arrays([a])
-
-
 def _merged(least: int) -> Callable:
     """Sums of the pairs of one bucket, of phrases with ``least`` occurrences; the empty phrase always."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[pa.RecordBatch]] = {}
+        held: dict[str, list[pa.Table]] = {}
         for b in batches:
             for lang, pairs in zip(b.column("lang").to_pylist(), b.column("pairs"), strict=True):
-                held.setdefault(lang, []).append(pa.ipc.read_record_batch(pairs.as_buffer(), _PAIRS))
+                held.setdefault(lang, []).append(_unpacked(pairs.as_py()))
         while held:
             lang, parts = held.popitem()
-            sums = pa.Table.from_batches(parts, _PAIRS).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+            sums = pa.concat_tables(parts).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
             sums = sums.filter(pc.or_(pc.greater_equal(sums["n"], least), pc.equal(sums["phrase"], "")))
             k = pc.if_else(pc.equal(sums["phrase"], ""), 0, pc.add(pc.count_substring(sums["phrase"], " "), 1)).cast(pa.int32())
             out = pa.table({"lang": pa.array([lang] * len(sums), pa.string()), "k": k, "phrase": sums["phrase"], "n": sums["n"]})
@@ -254,7 +265,7 @@ def count(texts: DataFrame, s: Settings, least: int, buckets: int, level: int |
         def read(lang: str, held: list[bytes]) -> int:
             n = 0
             for block in blocks(held, s.block):
-                if lang not in codes or len(codes[lang]) > 300_000:
+                if lang not in codes or len(codes[lang]) > 200_000:
                     codes[lang] = _Codes(lang)
                 for part in _counted(block, codes[lang], level, new, old, s.words):
                     found.setdefault(lang, []).append(part)
@@ -271,7 +282,7 @@ def count(texts: DataFrame, s: Settings, least: int, buckets: int, level: int |
                 if size >= s.block:
                     rows += sum(read(x, held) for x, held in waiting.items())
                     waiting, size = {}, 0
-                    if sum(map(len, codes.values())) > 1_000_000:
+                    if sum(map(len, codes.values())) > 500_000:
                         codes.clear()
                     if rows >= s.pairs:
                         while found:
