@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (chat, collocations, decontaminate, embedding_dedup, hard_negatives, langid, mixing, page_text, sharding, simhash,
+from marketlake.llm import (chat, collocations, decontaminate, embedding_dedup, hard_negatives, langid, mixing, page_text, pii, sharding, simhash,
                             suffix_dedup, toxicity)
 from marketlake.llm.common import table
 
@@ -78,6 +78,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, label=label)
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.redactions(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_pii": op12_pii,
     "op13_collocations": op13_collocations,
 }
 
