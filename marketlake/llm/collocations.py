@@ -46,10 +46,10 @@ class Settings:
     least: int = 100
     first: int = 2000
     share: float = 0.125
-    slack: float = 0.4
+    slack: float = 0.6
     max_bits: int = 1 << 28
     block: int = 1 << 22
-    pairs: int = 1 << 19
+    pairs: int = 1 << 20
     bucket_words: int = 1 << 21
 
 
@@ -201,7 +201,7 @@ def _packed(phrases: pa.StringArray, n: np.ndarray) -> bytes:
     ends = np.frombuffer(phrases.buffers()[1], np.int32)[phrases.offset:phrases.offset + len(phrases) + 1]
     letters = phrases.buffers()[2]
     raw = np.int64(len(n)).tobytes() + np.diff(ends).tobytes() + n.astype(np.int64).tobytes() + (letters.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if letters else b"")
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
 
 
 def _unpacked(packed: bytes) -> pa.Table:
