@@ -65,8 +65,8 @@ def _mixed_encoding_folder(spark: SparkSession, sf_dir: str) -> str:
 
 def s2_encoding_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of every file, decoded by the first encoding that fits the file."""
-    encodings = ENC.file_encodings(spark, _mixed_encoding_folder(spark, sf_dir), recursive=True)
-    return ENC.decoded_records(spark, encodings, DOC_TEXT).select(*DOC_TEXT)
+    folder = ENC.read_folder(spark, _mixed_encoding_folder(spark, sf_dir), recursive=True)
+    return ENC.decoded_records(folder, DOC_TEXT).select(*DOC_TEXT)
 
 
 def s3_folder_convert(spark: SparkSession, sf_dir: str) -> DataFrame:

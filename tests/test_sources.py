@@ -2,10 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.session import scratch_path
 from marketlake.sources import encoding as ENC
+from marketlake.sources import records
 from marketlake.sources.catalog import list_views, preview, register_view, save_snapshot
 from marketlake.sources.csv import CORRUPT, read_csv
 from marketlake.sources.staging import backfill_lineage, stage
@@ -63,8 +65,8 @@ def test_folder_conversion_keys_files_by_path_and_respects_the_order(spark):
         f.write("k,t\n9,z\n")
 
     def texts(candidates):
-        found = ENC.file_encodings(spark, root, recursive=True, candidates=candidates)
-        return {(r["_file"].split("/")[-2], r["k"]): r["t"] for r in ENC.decoded_records(spark, found, ["k", "t"]).collect()}
+        found = ENC.read_folder(spark, root, recursive=True, candidates=candidates)
+        return {(r["_file"].split("/")[-2], r["k"]): r["t"] for r in ENC.decoded_records(found, ["k", "t"]).collect()}
     got = texts(("utf-8", "cp1252"))
     assert {k: v for k, v in got.items() if k[1] == "1"} == {(d, "1"): 'caf\u00e9, "x"\nS\u00e3o' for d in ("a%20b", "c", "d")}
     assert got[("d", "2")] == "\u201cq\u201d \u20ac" and len(got) == 4
@@ -78,3 +80,44 @@ def test_folder_conversion_keys_files_by_path_and_respects_the_order(spark):
         assert len(rows) == r["rows"] and {x["t"] for x in rows if x["k"] == "1"} == {'cafe, "x"\nSao'}
     only = {r["status"] for r in ENC.convert_folder(spark, root, scratch_path(spark, "conv"), ["k", "t"], recursive=True, candidates=("utf-8",)).collect()}
     assert only == {"converted", "failed"}
+
+
+def one_file(path, rows, end="\n"):
+    quoted = lambda x: '"' + x.replace('"', '""') + '"' if any(c in x for c in '",\r\n') or x == "" else x
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write("\ufeffk,t" + end + end + "".join(f"{k},{quoted(t) if t is not None else ''}{end}" for k, t in rows))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_one_file_of_quoted_line_ends_is_cut_in_parallel(spark, end):
+    root = scratch_path(spark, "records")
+    os.makedirs(root)
+    texts = ["plain", 'a "quoted" word', "two\nlines", "\n\n,\"\n", "", None, "tail\r\n", 'only ""quotes""', "x" * 700 + "\n" + "y" * 700, "\n" * 3000]
+    rows = [(str(i), texts[i * 7 % len(texts)]) for i in range(400)]
+    one_file(f"{root}/big.csv", rows, end)
+    one_file(f"{root}/small.csv", rows[:3], end)
+    sizes = {n: spark.conf.get(n) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for n in sizes:
+            spark.conf.set(n, "5000")
+        lines = records.scan_lines(spark, root)
+        found = save_snapshot(records.ranges(lines), scratch_path(spark, "ranges"))
+        n = found.filter("file LIKE '%big.csv'").count()
+        assert n == -(-os.path.getsize(f"{root}/big.csv") // 5000) and lines.rdd.getNumPartitions() >= n
+        assert found.filter("inside").count() > 3
+        got = records.parse(records.cut_records(lines, found), ["k", "t"]).collect()
+        with pytest.raises(Exception, match="does not name"):
+            records.parse(records.cut_records(lines, found), ["k", "other"]).collect()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        again = records.scan_lines(spark, root)
+        with pytest.raises(Exception, match="split differently"):
+            records.cut_records(again, found).collect()
+    finally:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+    want = read_csv(spark, root, ["k", "t"], multiline=True).drop("_file").collect()
+    written = [(k, t or None) for k, t in [*rows, *rows[:3]]]  # an empty field is NULL, quoted or not
+    assert sorted(map(tuple, got), key=repr) == sorted(written, key=repr)
+    # the whole-file reader puts a line feed for the line end it has detected, inside fields too
+    plain = lambda rows: sorted(((k, t and t.replace(end, "\n")) for k, t in rows), key=repr)
+    assert plain(got) == plain(want)
