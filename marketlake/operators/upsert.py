@@ -15,6 +15,8 @@ so the join cannot skew on a hot key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,38 +24,26 @@ from pyspark.sql import functions as F
 AUDIT = ("first_seen_at", "last_seen_at", "row_source_file", "staging_id")
 
 
-def scd1_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                policy: Mapping[str, str], compare: Sequence[str],
-                touch_first_seen: bool = True) -> DataFrame:
-    """Merge ``incoming`` into ``existing`` (same columns; extra existing-only
-    columns such as the surrogate key are kept, and NULL for new keys).
+def _matched(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(f"e_{k}").eqNullSafe(F.col(f"i_{k}")) for k in keys])
 
-    ``policy`` per non-key column: ``coalesce`` (incoming unless NULL),
-    ``overwrite`` (incoming even if NULL), ``keep`` (stored value). Audit
-    columns follow L6: first_seen = LEAST, last_seen = GREATEST, source file
-    and staging id overwritten. A matched row is updated only when some
-    ``compare`` column IS DISTINCT FROM the incoming value; otherwise it is
-    kept as stored (including its old last_seen_at).
-    """
+
+def _sides(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
     e = existing.select(*[F.col(c).alias(f"e_{c}") for c in existing.columns], F.lit(True).alias("_e"))
     i = incoming.select(*[F.col(c).alias(f"i_{c}") for c in incoming.columns], F.lit(True).alias("_i"))
-    cond = None
-    for k in keys:
-        c = F.col(f"e_{k}").eqNullSafe(F.col(f"i_{k}"))
-        cond = c if cond is None else cond & c
-    j = e.join(i, cond, "full_outer")
+    return e, i
+
 
+def _rules(columns: Sequence[str], incoming: Sequence[str], keys: Sequence[str], policy: Mapping[str, str], compare: Sequence[str],
+           touch_first_seen: bool) -> tuple[Column, Column, list[Column]]:
+    """Whether a joined row is an insert, whether it is an update, and the next value of every column."""
     in_e, in_i = F.col("_e").isNotNull(), F.col("_i").isNotNull()
-    changed = None
-    for c in compare:
-        d = ~F.col(f"e_{c}").eqNullSafe(F.col(f"i_{c}"))
-        changed = d if changed is None else changed | d
-    update = in_e & in_i & (changed if changed is not None else F.lit(False))
-    insert = in_i & ~in_e
+    differs = reduce(or_, [~F.col(f"e_{c}").eqNullSafe(F.col(f"i_{c}")) for c in compare], F.lit(False))
+    insert, update = in_i & ~in_e, in_e & in_i & differs
 
     def pick(col: str) -> Column:
         ev = F.col(f"e_{col}")
-        if col not in incoming.columns:
+        if col not in incoming:
             return F.when(insert, F.lit(None)).otherwise(ev)
         iv = F.col(f"i_{col}")
         if col in keys:
@@ -69,4 +59,46 @@ def scd1_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
             merged = {"coalesce": F.coalesce(iv, ev), "overwrite": iv, "keep": ev}[rule]
         return F.when(insert, iv).when(update, merged).otherwise(ev)
 
-    return j.select(*[pick(c).alias(c) for c in existing.columns])
+    return insert, update, [pick(c).alias(c) for c in columns]
+
+
+def scd1_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                policy: Mapping[str, str], compare: Sequence[str],
+                touch_first_seen: bool = True) -> DataFrame:
+    """Merge ``incoming`` into ``existing`` (same columns; extra existing-only
+    columns such as the surrogate key are kept, and NULL for new keys).
+
+    ``policy`` per non-key column: ``coalesce`` (incoming unless NULL),
+    ``overwrite`` (incoming even if NULL), ``keep`` (stored value). Audit
+    columns follow L6: first_seen = LEAST, last_seen = GREATEST, source file
+    and staging id overwritten. A matched row is updated only when some
+    ``compare`` column IS DISTINCT FROM the incoming value; otherwise it is
+    kept as stored (including its old last_seen_at).
+    """
+    e, i = _sides(existing, incoming)
+    _, _, after = _rules(existing.columns, incoming.columns, keys, policy, compare, touch_first_seen)
+    return e.join(i, _matched(keys), "full_outer").select(*after)
+
+
+def change_feed(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], policy: Mapping[str, str], compare: Sequence[str],
+                touch_first_seen: bool = True) -> DataFrame:
+    """What ``scd1_upsert`` does to each incoming row: (kind, before, after).
+
+    ``kind`` is ``insert``, ``update`` or ``unchanged``; ``before`` is the
+    stored row (NULL for inserts), ``after`` the next one. One row per
+    incoming row, so the feed is as large as the load, not as the table.
+    """
+    e, i = _sides(existing, incoming)
+    insert, update, after = _rules(existing.columns, incoming.columns, keys, policy, compare, touch_first_seen)
+    before = F.when(F.col("_e").isNotNull(), F.struct(*[F.col(f"e_{c}").alias(c) for c in existing.columns]))
+    kind = F.when(insert, "insert").when(update, "update").otherwise("unchanged")
+    return i.join(e, _matched(keys), "left").select(kind.alias("kind"), before.alias("before"), F.struct(*after).alias("after"))
+
+
+def apply_changes(existing: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The next version: stored rows that the feed does not change, and the feed's inserts and updates."""
+    new = feed.filter("kind <> 'unchanged'").select("after.*")
+    gone = new.select(*[F.col(k).alias(f"i_{k}") for k in keys])
+    e = existing.select(*[F.col(c).alias(f"e_{c}") for c in existing.columns])
+    kept = e.join(gone, _matched(keys), "left_anti").select(*[F.col(f"e_{c}").alias(c) for c in existing.columns])
+    return kept.unionByName(new)

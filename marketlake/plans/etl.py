@@ -15,6 +15,9 @@ first file of every table into empty tables, run 2 upserts the second.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +27,11 @@ from marketlake.operators.dedup import latest_per_key
 from marketlake.operators.keys import keyed_incoming, link_geo, resolve_fk
 from marketlake.operators.quality import require_key
 from marketlake.operators.upsert import scd1_upsert
+from marketlake.plans.model import data_state
 from marketlake.plans.staging import staging
-from marketlake.sources.catalog import materialize
+from marketlake.session import scratch_path
+from marketlake.sources.catalog import materialize, save_snapshot
+from marketlake.sources.snapshots import Snapshot, create
 
 PRODUCT_MEASURES = {
     "product_name_length": "name_length", "product_description_length": "description_length",
@@ -38,6 +44,8 @@ ORDER_TIMES = {
     "order_delivered_customer_date": "order_delivered_customer_t",
     "order_estimated_delivery_date": "order_estimated_delivery_t",
 }
+#: The given tables that staging is made of.
+SOURCES = ("part", "supplier", "nation", "orders", "lineitem")
 _LOAD = ["loaded_at", "loaded_file", "staging_id"]
 
 
@@ -180,7 +188,24 @@ def _keyed(incoming: DataFrame, existing: DataFrame | None, keys, sk: str, table
     return keyed_incoming(incoming, existing, keys, sk, lambda df: materialize(df, f"warehouse/{table}-incoming"))
 
 
-def load_dimension(table: str, stg: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Load:
+    """Deduplicated rows of one run, and how they are merged into the stored table."""
+
+    rows: DataFrame
+    keys: list[str]
+    policy: dict[str, str]
+    compare: list[str]
+    touch_first_seen: bool = True
+    order: Callable[[DataFrame], DataFrame] = lambda df: df  # the table's order of columns
+
+    def onto(self, existing: DataFrame | None) -> DataFrame:
+        """The next table as one frame."""
+        snap = self.rows if existing is None else scd1_upsert(existing, self.rows, self.keys, self.policy, self.compare, self.touch_first_seen)
+        return self.order(snap)
+
+
+def dimension_rows(table: str, stg: DataFrame, existing: DataFrame | None = None) -> Load:
     keys, attrs, sk, compare, touch_first = DIM_SPECS[table]
     if table == "geolocation":
         incoming = collapse_geo(stg)
@@ -191,12 +216,12 @@ def load_dimension(table: str, stg: DataFrame, existing: DataFrame | None = None
     incoming = incoming.select(*keys, *attrs_all, "first_seen_at", "last_seen_at", "row_source_file", "staging_id")
     if sk:
         incoming = _keyed(incoming, existing, keys, sk, table)
-    if existing is None:
-        snap = incoming
-    else:
-        snap = scd1_upsert(existing, incoming, keys, {a: "coalesce" for a in attrs},
-                           compare or [*attrs, "row_source_file"], touch_first_seen=touch_first)
-    return _order(snap, sk, keys, attrs_all)
+    return Load(incoming, keys, {a: "coalesce" for a in attrs}, compare or [*attrs, "row_source_file"], touch_first,
+                lambda df: _order(df, sk, keys, attrs_all))
+
+
+def load_dimension(table: str, stg: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return dimension_rows(table, stg, existing).onto(existing)
 
 
 ITEM_POLICY = {"product_id": "overwrite", "seller_id": "overwrite", "order_sk": "coalesce",
@@ -208,8 +233,7 @@ REVIEW_POLICY = {c: "coalesce" for c in ("review_score", "review_comment_title",
                                          "review_creation_date", "review_answer_timestamp", "order_sk")}
 
 
-def load_items(stg: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame,
-               existing: DataFrame | None = None) -> DataFrame:
+def item_rows(stg: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> Load:
     g = resolve_fk(collapse_items(stg), {
         "order_sk": (orders, "order_id", "order_id", "order_sk"),
         "product_sk": (products, "product_id", "product_id", "product_sk"),
@@ -217,9 +241,7 @@ def load_items(stg: DataFrame, orders: DataFrame, products: DataFrame, sellers:
     g = g.select("order_id", "order_item_id", "product_id", "seller_id", "order_sk", "product_sk", "seller_sk",
                  "shipping_limit_date", "price", "freight_value",
                  "first_seen_at", "last_seen_at", "row_source_file", "staging_id")
-    if existing is None:
-        return g
-    return scd1_upsert(existing, g, ["order_id", "order_item_id"], ITEM_POLICY, [*ITEM_POLICY, "row_source_file"])
+    return Load(g, ["order_id", "order_item_id"], ITEM_POLICY, [*ITEM_POLICY, "row_source_file"])
 
 
 def payment_rejects(stg: DataFrame) -> DataFrame:
@@ -228,35 +250,39 @@ def payment_rejects(stg: DataFrame) -> DataFrame:
     return s.filter(guarded_int("payment_sequential").isNull())
 
 
-def load_payments(stg: DataFrame, orders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def payment_rows(stg: DataFrame, orders: DataFrame) -> Load:
     g = collapse_payments(stg).filter(F.col("payment_sequential").isNotNull())
     g = resolve_fk(g, {"order_sk": (orders, "order_id", "order_id", "order_sk")})
     g = g.select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value",
                  "order_sk", "first_seen_at", "last_seen_at", "row_source_file", "staging_id")
-    if existing is None:
-        return g
-    return scd1_upsert(existing, g, ["order_id", "payment_sequential"], PAYMENT_POLICY,
-                       [*PAYMENT_POLICY, "row_source_file"])
+    return Load(g, ["order_id", "payment_sequential"], PAYMENT_POLICY, [*PAYMENT_POLICY, "row_source_file"])
 
 
-def load_reviews(stg: DataFrame, orders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def review_rows(stg: DataFrame, orders: DataFrame, existing: DataFrame | None = None) -> Load:
     d = dedup_reviews(stg)
     d = resolve_fk(d, {"order_sk": (orders, "order_id", "order_id", "order_sk")})
     d = _insert_shape(d, ["review_id", "order_id", "review_score", "review_comment_title",
                           "review_comment_message", "review_creation_date", "review_answer_timestamp",
                           "order_sk"])
     d = _keyed(d, existing, ["order_id", "review_id"], "review_sk", "reviews")
-    snap = d if existing is None else scd1_upsert(existing, d, ["order_id", "review_id"], REVIEW_POLICY,
-                                                  [*REVIEW_POLICY, "row_source_file"])
-    return snap.select("review_sk", *[c for c in snap.columns if c != "review_sk"])
+    return Load(d, ["order_id", "review_id"], REVIEW_POLICY, [*REVIEW_POLICY, "row_source_file"],
+                order=lambda df: df.select("review_sk", *[c for c in df.columns if c != "review_sk"]))
+
+
+def geo_link_feed(sellers: DataFrame, geo: DataFrame) -> DataFrame:
+    """L10 + L11 as changes: the sellers whose link to ``geo`` is not the stored one."""
+    now = link_geo(sellers.withColumn("_was", F.struct(*sellers.columns)), geo)
+    moved = ~F.col("geo_sk").eqNullSafe(F.col("_was.geo_sk"))
+    return now.filter(moved).select(F.lit("update").alias("kind"), F.col("_was").alias("before"), F.struct(*sellers.columns).alias("after"))
 
 
 class Warehouse:
     """The warehouse after ``runs`` ETL runs (run n loads staging load n).
 
-    Tables are built on first access and memoised, so a query that needs
-    one table only plans that table and what it depends on (a dimension
-    depends on its own previous run; facts also on the dimensions).
+    Tables are stored versions in buckets (``sources.snapshots``): a run
+    rewrites only the buckets that its rows change, and stores its change
+    feed. A version is built when it is first wanted, from its own previous
+    run; facts also need the dimensions.
     """
 
     DIMENSIONS = ("products", "sellers", "orders", "category", "geolocation")
@@ -265,39 +291,61 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, runs: int = 2):
         self.spark, self.sf_dir, self.runs = spark, sf_dir, runs
-        self._memo: dict[tuple[str, int], DataFrame] = {}
+        self.root = scratch_path(spark, "warehouse")
+        self._built: dict[tuple[str, int], list[Snapshot]] = {}
+        self._staging: dict[tuple[str, int], DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in Warehouse.TABLES:
             return self.table(name, self.runs)
         raise AttributeError(name)
 
-    def _staged(self, table: str, run: int) -> DataFrame:
-        return staging(self.spark, self.sf_dir, self._STAGING.get(table, table), loads=(run,))
+    def staged(self, table: str, run: int) -> DataFrame:
+        """One run's staging table, stored: staged text is digested once, whatever reads it."""
+        name = self._STAGING.get(table, table)
+        if (name, run) not in self._staging:
+            self._staging[name, run] = save_snapshot(staging(self.spark, self.sf_dir, name, loads=(run,)), f"{self.root}/staging/{name}-{run}")
+        return self._staging[name, run]
 
     def table(self, name: str, run: int) -> DataFrame:
-        key = (name, run)
-        if key not in self._memo:
-            # stored table between runs, as in the reference (cuts lineage)
-            self._memo[key] = materialize(self._build(name, run), f"warehouse/{name}-run{run}")
-        return self._memo[key]
-
-    def _build(self, name: str, run: int) -> DataFrame:
-        prev = self.table(name, run - 1) if run > 1 else None
-        stg = self._staged(name, run)
-        if name == "sellers":
-            dim = load_dimension("sellers", stg, prev)
-            return link_geo(dim, self.table("geolocation", run))
+        return self.versions(name, run)[-1].rows()
+
+    def feed(self, name: str, run: int) -> DataFrame:
+        """What run ``run`` did to each row it brought."""
+        return self.versions(name, run)[0].feed()
+
+    def versions(self, name: str, run: int) -> list[Snapshot]:
+        """The versions that a run makes: the load's, and for sellers the one with their links."""
+        if (name, run) not in self._built:
+            self._built[name, run] = self._build(name, run)
+        return self._built[name, run]
+
+    def _rows(self, name: str, run: int, stored: DataFrame | None) -> Load:
+        stg = self.staged(name, run)
         if name in Warehouse.DIMENSIONS:
-            return load_dimension(name, stg, prev)
+            return dimension_rows(name, stg, stored)
         orders = self.table("orders", run)
         if name == "items":
-            return load_items(stg, orders, self.table("products", run), self.table("sellers", run), prev)
-        if name == "payments":
-            return load_payments(stg, orders, prev)
-        return load_reviews(stg, orders, prev)
+            return item_rows(stg, orders, self.table("products", run), self.table("sellers", run))
+        return payment_rows(stg, orders) if name == "payments" else review_rows(stg, orders, stored)
+
+    def _build(self, name: str, run: int) -> list[Snapshot]:
+        before = self.versions(name, run - 1)[-1] if run > 1 else None
+        load = self._rows(name, run, before.rows() if before else None)
+        if before:
+            made = before.upsert(materialize(load.rows, f"warehouse/{name}-rows"), load.policy, load.compare, load.touch_first_seen)
+        else:
+            first = load.onto(None)
+            made = create(first.withColumn("geo_sk", F.lit(None).cast("long")) if name == "sellers" else first, f"{self.root}/{name}", load.keys)
+        return [made, made.apply(geo_link_feed(made.rows(), self.table("geolocation", run)))] if name == "sellers" else [made]
+
+
+_WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
-def warehouse(spark: SparkSession, sf_dir: str, runs: int = 2) -> Warehouse:
-    """Replay ``runs`` ETL runs over the staged loads (lazily, per table)."""
-    return Warehouse(spark, sf_dir, runs)
+def warehouse(spark: SparkSession, sf_dir: str, runs: int = 2, refresh: bool = False) -> Warehouse:
+    """``runs`` ETL runs over the staged loads (lazily, per table), kept per session and state of the data files."""
+    state = (*data_state(spark, sf_dir, SOURCES), runs)
+    if refresh or state not in _WAREHOUSES:
+        _WAREHOUSES[state] = Warehouse(spark, sf_dir, runs)
+    return _WAREHOUSES[state]

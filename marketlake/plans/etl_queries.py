@@ -236,6 +236,25 @@ def _wh_table(name, runs=2):
     return run
 
 
+def l5_change_feed_orders(spark, sf_dir):
+    """What the second load did to each order it brought, with status and last sight before and after."""
+    feed = etl.warehouse(spark, sf_dir, runs=2).feed("orders", 2)
+    return feed.select("after.order_sk", "after.order_id", "kind", F.col("before.order_status").alias("status_before"), F.col("after.order_status").alias("status_after"),
+                       F.col("before.last_seen_at").alias("seen_before"), F.col("after.last_seen_at").alias("seen_after"))
+
+
+def l5_change_feed_items(spark, sf_dir):
+    """The same for items, with the prices."""
+    feed = etl.warehouse(spark, sf_dir, runs=2).feed("items", 2)
+    return feed.select("after.order_id", "after.order_item_id", "kind", F.col("before.price").cast("double").alias("price_before"), F.col("after.price").cast("double").alias("price_after"))
+
+
+def l5_change_counts(spark, sf_dir):
+    """Inserted, updated and unchanged rows of the second load per table."""
+    wh = etl.warehouse(spark, sf_dir, runs=2)
+    return _per_table(etl.Warehouse.TABLES, lambda t: wh.feed(t, 2).groupBy("kind").agg(F.count(F.lit(1)).alias("rows")))
+
+
 def l7_surrogate_keys(spark, sf_dir):
     return etl.warehouse(spark, sf_dir, runs=2).products.select("product_sk", "product_id")
 
@@ -250,6 +269,9 @@ def l10_geo_link(spark, sf_dir):
 
 
 QUERIES = {
+    "l5_change_feed_orders": l5_change_feed_orders,
+    "l5_change_feed_items": l5_change_feed_items,
+    "l5_change_counts": l5_change_counts,
     "p1_transliterate": p1_transliterate,
     "p2_p11_clean_products": p2_p11_clean_products,
     "p3_p10_guarded_casts": p3_p10_guarded_casts,

@@ -151,9 +151,9 @@ def geo_lookup(nation: DataFrame, region: DataFrame) -> DataFrame:
 _STORED: dict[tuple, str] = {}
 
 
-def _state(spark: SparkSession, sf_dir: str) -> tuple:
-    """What names the stored model: the session, the folder, and the lineitem files as they are now (a listing, no read)."""
-    files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+def data_state(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
+    """What names stored results: the session, the folder, and the files of the tables as they are now (a listing, no read)."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables])
     now = files.agg(F.count(F.lit(1)), F.max("modificationTime"), F.sum("length")).first()
     return spark.sparkContext.applicationId, os.path.abspath(sf_dir), *now
 
@@ -177,7 +177,7 @@ def stored_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_model(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
     """The folder of the stored item fact, written if the data is new."""
-    key = _state(spark, sf_dir)
+    key = data_state(spark, sf_dir, ("lineitem",))
     if refresh or key not in _STORED:
         path = scratch_path(spark, "model/fact_order_items")
         items_fact(load(spark, sf_dir, "lineitem")).write.mode("overwrite").parquet(path)

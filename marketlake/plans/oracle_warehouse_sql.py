@@ -242,7 +242,28 @@ _KEYS = {"products": ["product_id", "product_sk"], "sellers": ["seller_id", "sel
 _LINKS = [("items", "order_sk", "orders"), ("items", "product_sk", "products"), ("items", "seller_sk", "sellers"),
           ("payments", "order_sk", "orders"), ("reviews", "order_sk", "orders"), ("sellers", "geo_sk", "geolocation")]
 
+def _feed(t: str) -> str:
+    """Each incoming row of the second load beside the stored row of its key."""
+    if t in _DIM_SPEC:
+        keys, filled, _, compared, _ = _DIM_SPEC[t]
+    else:
+        (keys, filled, _), compared = _FACT_SPEC[t], None
+    differs = " OR ".join(f"was.{c} IS DISTINCT FROM new.{c}" for c in compared or [*filled, "row_source_file"])
+    on = " AND ".join(f"was.{k} IS NOT DISTINCT FROM new.{k}" for k in keys)
+    now = " AND ".join(f"now.{k} IS NOT DISTINCT FROM new.{k}" for k in keys)
+    return (f"SELECT was, now, CASE WHEN was.is_stored IS NULL THEN 'insert' WHEN {differs} THEN 'update' ELSE 'unchanged' END AS kind "
+            f"FROM ({_incoming(t, 2)}) new LEFT JOIN (SELECT *, TRUE AS is_stored FROM wh_{t}_1) was ON {on} JOIN wh_{t}_2 now ON {now}")
+
+
 QUERIES = {
+    "l5_change_feed_orders": warehouse_sql(
+        "SELECT now.order_sk AS order_sk, now.order_id AS order_id, kind, was.order_status AS status_before, now.order_status AS status_after, "
+        f"was.last_seen_at AS seen_before, now.last_seen_at AS seen_after FROM ({_feed('orders')}) f"),
+    "l5_change_feed_items": warehouse_sql(
+        "SELECT now.order_id AS order_id, now.order_item_id AS order_item_id, kind, CAST(was.price AS DOUBLE) AS price_before, "
+        f"CAST(now.price AS DOUBLE) AS price_after FROM ({_feed('items')}) f"),
+    "l5_change_counts": warehouse_sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, kind, COUNT(*) AS rows FROM ({_feed(t)}) f GROUP BY kind" for t in ORDER)),
     "k10_warehouse_keys": warehouse_sql(" UNION ALL ".join(
         _k10(f"{t}({k})", k.split(", "), f"wh_{t}_2") for t, keys in _KEYS.items() for k in keys)),
     "k11_link_orphans": warehouse_sql(" UNION ALL ".join(
