@@ -60,20 +60,39 @@ def guarded_int(c: Column | str, lo: int | None = None, hi: int | None = None) -
     return F.when(c.rlike(INTEGER), v if lo is None and hi is None else F.when(inside, v))
 
 
+#: A zone offset after a time of day: Z, +02, +0530 or -03:30.
+OFFSET = r"\d:\d\d(?::\d\d(?:\.\d+)?)?\s*(?:(Z)|([+-])(\d\d):?(\d\d)?)$"
+
+
+def instant(c: Column | str, lenient: bool = False) -> Column:
+    """Timestamp text as UTC time: an offset in the text is taken off, text without one is UTC already.
+
+    Independent of the session's time zone; a plain ``timestamp_ntz`` cast
+    would ignore the offset.
+    """
+    c = _c(c)
+    group = lambda i: F.regexp_extract(c, OFFSET, i)
+    plain = F.regexp_replace(c, r"(\d:\d\d(?::\d\d(?:\.\d+)?)?)\s*(?:Z|[+-]\d\d:?(?:\d\d)?)$", "$1")
+    local = plain.try_cast(TS_TYPE) if lenient else plain.cast(TS_TYPE)
+    minutes = group(3).cast("int") * 60 + F.coalesce(F.nullif(group(4), F.lit("")).cast("int"), F.lit(0))
+    ahead = F.when(c.rlike(OFFSET) & (group(2) != ""), F.when(group(2) == "-", -minutes).otherwise(minutes)).otherwise(0)
+    return F.timestamp_add("MINUTE", -ahead, local)
+
+
 def strict_ts(c: Column | str) -> Column:
-    """Blank -> NULL, otherwise cast; malformed text raises (ANSI cast)."""
+    """Blank -> NULL, otherwise the UTC time; malformed text raises (ANSI cast)."""
     v = blank_to_null(c)
-    return F.when(v.isNotNull(), v.cast(TS_TYPE))
+    return F.when(v.isNotNull(), instant(v))
 
 
 def guarded_ts(c: Column | str, lenient: bool = False) -> Column:
-    """Cast text starting ``YYYY-MM-DD``, else NULL.
+    """The UTC time of text starting ``YYYY-MM-DD``, else NULL.
 
     A matching but impossible value (month 13) raises like the reference,
     unless ``lenient`` (then NULL).
     """
     c = _c(c)
-    return F.when(c.rlike(TS_PREFIX), c.try_cast(TS_TYPE) if lenient else c.cast(TS_TYPE))
+    return F.when(c.rlike(TS_PREFIX), instant(c, lenient))
 
 
 def is_float_text(c: Column | str) -> Column:

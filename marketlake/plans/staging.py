@@ -26,6 +26,11 @@ def _txt(c: Column) -> Column:
     return c.cast("string")
 
 
+def _zoned(text: Column, where: Column, offset: str) -> Column:
+    """Times that some rows bear with a zone offset."""
+    return F.when(where, F.concat(text, F.lit(offset))).otherwise(text)
+
+
 def _fmt(c: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss' text: a timestamp_ntz cast prints exactly that for
     whole-second values (all generated times are whole hours), without the
@@ -97,8 +102,8 @@ def orders_load(orders: DataFrame, load_no: int) -> DataFrame:
         "order_id", "customer_id",
         F.when(_changed(k, load_no), F.lit("delivered")).otherwise(F.col("order_status")).alias("order_status"),
         _fmt(F.col("order_purchase_t")).alias("order_purchase_timestamp"),
-        F.when(k % 97 == 0, F.lit("")).otherwise(_fmt(F.col("order_approved_t"))).alias("order_approved_at"),
-        _fmt(F.col("order_delivered_carrier_t")).alias("order_delivered_carrier_date"),
+        F.when(k % 97 == 0, F.lit("")).otherwise(_zoned(_fmt(F.col("order_approved_t")), k % 19 == 0, "+02")).alias("order_approved_at"),
+        _zoned(_fmt(F.col("order_delivered_carrier_t")), k % 23 == 0, " -03:30").alias("order_delivered_carrier_date"),
         F.when(k % 31 == 0, F.lit(" ")).otherwise(_fmt(F.col("order_delivered_customer_t")))
         .alias("order_delivered_customer_date"),
         _fmt(F.col("order_estimated_delivery_t")).alias("order_estimated_delivery_date"),
@@ -154,7 +159,7 @@ def items_load(lineitem: DataFrame, load_no: int) -> DataFrame:
         F.when(F.lit(load_no == 2) & (ok % 12 == 0), F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("p"), _txt(F.col("l_partkey")))).alias("product_id"),
         F.concat(F.lit("s"), _txt(F.col("l_suppkey"))).alias("seller_id"),
-        F.when(probe % 43 == 0, F.lit("n/a")).otherwise(_fmt(F.col("l_shipdate"))).alias("shipping_limit_date"),
+        F.when(probe % 43 == 0, F.lit("n/a")).otherwise(_zoned(_fmt(F.col("l_shipdate")), probe % 41 == 0, "+0530")).alias("shipping_limit_date"),
         F.when(probe % 47 == 0, F.lit("12.")).when(probe % 53 == 0, F.lit(" 12 "))
         .when(F.lit(load_no == 2), _txt(price + 1)).otherwise(_txt(price)).alias("price"),
         _txt(F.col("l_quantity").cast("decimal(10,2)")).alias("freight_value"),

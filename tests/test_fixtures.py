@@ -212,3 +212,20 @@ def test_grouped_quantiles_match_builtin(spark):
     got = {r["g"]: [r[f"q{i}"] for i in range(4)] for r in grouped_quantiles(df, "v", ["g"], probs).collect()}
     want = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", probs).alias("p")).collect()}
     assert {k: v for k, v in want.items() if v is not None} == {k: v for k, v in got.items() if v[0] is not None}
+
+
+def test_offsets_in_time_text_are_taken_to_utc(spark):
+    texts = {"2024-01-01 12:00:00": "2024-01-01 12:00:00", "2024-01-01 12:00:00+02": "2024-01-01 10:00:00", "2024-01-01 01:00:00 +0530": "2023-12-31 19:30:00",
+             "2024-01-01 23:59:59.5-03:30": "2024-01-02 03:29:59.500000", "2024-01-01 12:00Z": "2024-01-01 12:00:00", "2024-02-29": "2024-02-29 00:00:00", None: None, " ": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = {r["t"]: r["s"] and str(r["s"]) for r in df.select("t", P.strict_ts("t").alias("s")).collect()}
+            assert got == texts
+            assert {r["t"]: r["s"] and str(r["s"]) for r in df.select("t", P.guarded_ts("t").alias("s")).collect()} == texts
+        odd = spark.createDataFrame([("2024-13-01 10:00:00+02",), ("2024-01-01 10:00+2x",)], "t string")
+        assert [r["s"] for r in odd.select(P.guarded_ts("t", lenient=True).alias("s")).collect()] == [None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
