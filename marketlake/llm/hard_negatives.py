@@ -171,6 +171,8 @@ def _best_of_label(k: int) -> Callable:
             s[a, lo[a]:hi[a]][itself] = least
         for at, score in best(s, k, least):
             there = score > least
+            if not there.any():
+                continue
             a, r = anchors[there], rows.iloc[at[there]]
             yield pa.RecordBatch.from_pandas(pd.DataFrame({
                 "id": a["id"].to_numpy(), "row": a["row"].to_numpy(), "label": a["label"].to_numpy(), "planes": a["planes"].to_numpy(),
@@ -194,6 +196,8 @@ def _best_of_windows(s: Settings) -> Callable:
             inside = np.where(found[who] <= ceiling[:, None], found[who], found.dtype.type(least))
             for at, value in best(inside, s.negatives, least):
                 there = (value > least) & (value >= bottom) & (value <= top)
+                if not there.any():
+                    continue
                 a, r = anchors.iloc[who[there]], rows.iloc[at[there]]
                 yield pa.RecordBatch.from_pandas(pd.DataFrame({
                     "id": a["id"].to_numpy(), "row": a["row"].to_numpy(), "p": np.full(len(a), p, np.int32),
