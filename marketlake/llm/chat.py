@@ -96,9 +96,9 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum({len(START) + len(SEP) + len(END)} + length({_ESC.format(c='role')}) + length({_ESC.format(c='text')}))::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
 """
