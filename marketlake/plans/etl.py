@@ -147,10 +147,8 @@ def collapse_payments(stg: DataFrame) -> DataFrame:
 
 
 def review_key():
-    """L3 dedup key: review id, else order + creation text, else message digest."""
-    return F.coalesce(F.col("review_id"),
-                      F.concat(F.col("order_id"), F.lit("|"), F.coalesce(F.col("review_creation_date"), F.lit(""))),
-                      F.md5(F.coalesce(F.col("review_comment_message"), F.lit(""))))
+    """L3 dedup key of rows with an order: review id, else order + creation text."""
+    return F.coalesce(F.col("review_id"), F.concat(F.col("order_id"), F.lit("|"), F.coalesce(F.col("review_creation_date"), F.lit(""))))
 
 
 def dedup_reviews(stg: DataFrame) -> DataFrame:
