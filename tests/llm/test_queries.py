@@ -10,10 +10,10 @@ from marketlake.llm import mixing, simhash
 from tests.conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("name", ["op7_chat", "op10_mixing"])
+@pytest.mark.parametrize("name", ["op7_chat", "op10_mixing", "op11_hard_negatives", "op13_collocations"])
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = entry.queries()[name](spark, SF_SMALL)
     want = con.execute(entry.oracle_sql()[name])
