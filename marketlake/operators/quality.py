@@ -75,14 +75,6 @@ def require_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def rejects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """P12 complement: the rows ``require_key`` drops (for inspection)."""
-    cond = None
-    for c in cols:
-        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-    return df.filter(cond)
-
-
 def missing_pct(df: DataFrame, cols: Sequence[str], long: bool = False) -> DataFrame:
     """K4: ``ROUND(100 * share of NULL-or-blank, 3)`` per column, one row
     (``long``: one (column_name, pct_missing) row per column).

@@ -62,16 +62,6 @@ def tier_by_thresholds(value: Column, lo: Column, hi: Column, labels: Sequence[s
     return F.when(value > hi, labels[2]).when(low, labels[0]).otherwise(labels[1])
 
 
-def top_flags(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
-    """Top ``n`` keys by ``value`` DESC (NULLS FIRST, as PostgreSQL), key as tie-break.
-
-    Returns (key, ``_is_top``) for those n keys only; callers left-join it
-    broadcast (bounded by n) instead of a global ROW_NUMBER window.
-    """
-    top = df.orderBy(F.desc_nulls_first(value), F.asc_nulls_last(key)).limit(n)
-    return top.select(key, F.lit(True).alias("_is_top"))
-
-
 def top_n_flag(key: str, value: str, n: int) -> Column:
     """True for rows of the ``n`` best keys by ``value`` DESC (NULLS FIRST), key as tie-break.
 

@@ -135,7 +135,7 @@ def collapse_items(stg: DataFrame) -> DataFrame:
 
 
 def collapse_payments(stg: DataFrame) -> DataFrame:
-    """L2 for payments; a non-numeric sequence gives a NULL key (see rejects)."""
+    """L2 for payments; a non-numeric sequence gives a NULL key (see payment_rejects)."""
     s = stg.filter(F.col("order_id").isNotNull() & F.col("payment_sequential").isNotNull())
     s = s.select("order_id", guarded_int("payment_sequential").alias("payment_sequential"),
                  "payment_type", guarded_int("payment_installments").alias("payment_installments"),
