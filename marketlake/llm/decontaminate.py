@@ -24,8 +24,6 @@ the number of items; it lets strays through, never drops a match.
 
 from __future__ import annotations
 
-import itertools
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import ddl, extended, stored
+from marketlake.llm.common import ddl, extended, free_name, stored
 
 LITERAL, NUMBER, UNIT, CAPITAL, NOTHING, MIXED = 0, 1, 2, 3, 4, 5
 NUMBER_RE = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:[a-z%°]{0,3})$")
@@ -44,7 +42,6 @@ STRIP = "\"'`´“”„«»‘’()[]{}<>.,;:!?…-–—*#$%&|/\\_=+~^@"
 ENDS = re.compile(r"[.!?…:;]")
 BITMAP_BITS = 22
 CACHE_WORDS, PIECE_CHARS = 200_000, 1_000_000
-CHOICES = 256
 #: The third form of a window, after the two variants of a template.
 EXACT, EXACT_SEED = 2, 1 << 32
 
@@ -168,36 +165,64 @@ def _windows(texts: list[str], tokens: _Tokens, lengths: list[int], own_length:
 
 
 def _agreeing(windows: list[dict]) -> list[int]:
-    """``g`` of the windows (g, vals, got) of one alignment that count: most that agree on one value for each, and those with equal values.
-
-    All choices for the values in conflict are tried while there are no more
-    than ``CHOICES``; beyond, the choice with most windows is fixed value by value.
-    """
+    """``g`` of the windows (g, vals, got) of one alignment that count: most that agree on one value for each, and those with equal values."""
     equal = {w["g"] for w in windows if list(w["vals"]) == list(w["got"])}
-    maps, options = [], {}
+    maps = []
     for w in windows:
-        own: dict[int, set] = {}
-        for v, x in zip(w["vals"], w["got"]):
-            own.setdefault(v, set()).add(x)
-            options.setdefault(v, {}).setdefault(x, set()).add(w["g"])
-        if all(len(x) == 1 for x in own.values()):
-            maps.append((w["g"], {v: x.pop() for v, x in own.items()}))
-    torn = [v for v, x in options.items() if len(x) > 1]
-
-    def kept(choice: dict, among: list) -> list:
-        return [(g, m) for g, m in among if all(m.get(v, x) == x for v, x in choice.items())]
-
-    if math.prod(len(options[v]) for v in torn) <= CHOICES:
-        found = (kept(dict(zip(torn, c)), maps) for c in itertools.product(*(sorted(options[v]) for v in torn)))
-        best = max(({g for g, _ in x} | equal for x in found), key=len)
-    else:
-        while torn:
-            votes = {(v, x): len({g for g, m in maps if m.get(v) == x}) for v in torn for x in options[v]}
-            v, x = max(votes, key=lambda k: (votes[k], k))
-            maps = kept({v: x}, maps)
-            torn.remove(v)
-        best = {g for g, _ in maps} | equal
-    return sorted(best)
+        pairs = set(zip(w["vals"], w["got"]))
+        if w["g"] not in equal and len(pairs) == len({v for v, _ in pairs}):
+            maps.append((w["g"], dict(pairs)))
+    return sorted(equal | _largest(sorted(maps, key=repr)))
+
+
+def _largest(maps: list[tuple[int, dict]]) -> frozenset:
+    """The most names whose maps (name, value -> value) contradict each other nowhere, exactly.
+
+    Windows that share no contradicted value are settled apart. Otherwise the
+    value in most windows is tried with each of its partners; a window reaches
+    few values, so what is left soon falls apart, and is settled once.
+    """
+    done: dict[tuple, frozenset] = {}
+
+    def solve(left: tuple[int, ...]) -> frozenset:
+        if left not in done:
+            done[left] = best(left)
+        return done[left]
+
+    def best(left: tuple[int, ...]) -> frozenset:
+        partners: dict[int, dict[int, int]] = {}
+        for i in left:
+            for v, x in maps[i][1].items():
+                of = partners.setdefault(v, {})
+                of[x] = of.get(x, 0) + 1
+        torn = {v: of for v, of in partners.items() if len(of) > 1}
+        if not torn:
+            return frozenset(maps[i][0] for i in left)
+        pieces = _pieces(left, torn)
+        if len(pieces) > 1:
+            return frozenset().union(*map(solve, pieces))
+        v = max(torn, key=lambda v: (sum(torn[v].values()), v))
+        return max((solve(tuple(i for i in left if maps[i][1].get(v, x) == x)) for x in sorted(torn[v])), key=len)
+
+    def _pieces(left: tuple[int, ...], torn: dict) -> list[tuple[int, ...]]:
+        """Windows linked by contradicted values or by one name."""
+        root = {i: i for i in left}
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        seen: dict[tuple, int] = {}
+        for i in left:
+            for mark in [(0, maps[i][0]), *((1, v) for v in maps[i][1] if v in torn)]:
+                root[find(i)] = find(seen.setdefault(mark, i))
+        parts: dict[int, list[int]] = {}
+        for i in left:
+            parts.setdefault(find(i), []).append(i)
+        return [tuple(x) for x in parts.values()]
+
+    return solve(tuple(range(len(maps)))) if maps else frozenset()
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -241,7 +266,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
 
     ``kind`` is ``verbatim`` when some alignment has all values equal, else
     ``reparameterised``. Null or empty texts match nothing; rows that share an
-    id count as one document; no benchmark rows give an empty result.
+    id (of any type) count as one document; no benchmark rows give an empty result.
     """
     items = stored(item_windows(benchmark, settings, item_col, item_text_col), "items")
     lengths = sorted(r[0] for r in items.select("n").distinct().collect())
@@ -258,8 +283,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[hit])), pa.array(h[hit].view(np.int64)), pa.array(pos[hit]), pa.array(slots(hit), pa.list_(pa.int64()))],
                                              names=["doc_id", "h", "at", "got"])
 
-    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    windows = rows.mapInArrow(run, "doc_id long, h long, at long, got array<long>")
+    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    windows = rows.mapInArrow(run, f"doc_id {rows.schema['id'].dataType.simpleString()}, h long, at long, got array<long>")
     aligned = (windows.join(items, "h").groupBy("doc_id", "item_id", (F.col("at") - F.col("pos")).alias("shift"))
                .agg(F.collect_set(F.struct("g", "vals", "got")).alias("ws")))
     pairs = F.expr("array_distinct(flatten(transform(ws, w -> arrays_zip(w.vals, w.got))))")
@@ -287,7 +312,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
                     F.when(F.col("same"), "verbatim").otherwise("reparameterised").alias("kind")))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no item contaminates. Rows without an id cannot be named by a match and stay."""
-    bad = stored(matches(docs, benchmark, settings, id_col, text_col).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, docs[id_col].cast("long") == bad["doc_id"], "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text no item contaminates, judged by the text alone: ids may be null or repeat. Null texts stay."""
+    name = F.md5(F.col(text_col).cast("binary"))
+    bad = stored(matches(docs.select(name.alias("id"), F.col(text_col).alias("t")), benchmark, settings, "id", "t")
+                 .select(F.col("doc_id").alias(free_name(docs, "contaminated_text"))).distinct(), "contaminated")
+    return docs.join(bad, name == F.col(bad.columns[0]), "left_anti")
