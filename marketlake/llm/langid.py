@@ -35,7 +35,6 @@ from marketlake.llm.common import ddl, extended, in_sample
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (1, 2, 3, 4)
 BUCKET_BITS = 16
-MAX_LANGUAGES = 256
 #: Characters handled at a time, and words kept in a worker's score cache.
 PIECE_CHARS, CACHE_WORDS = 1_000_000, 200_000
 STEP = 128
@@ -56,7 +55,7 @@ _SCRIPT_OF = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
 
 @dataclass
 class Model:
-    """At most 2^16 x 256 log-probabilities: a proven size bound for the broadcast."""
+    """At most 2^16 x ``max_languages`` (256) log-probabilities: a proven size bound for the broadcast."""
 
     languages: list[str]
     logp: np.ndarray      # [order, bucket, language] flattened to [buckets, languages]
@@ -97,18 +96,18 @@ def _script(words: list[str]) -> np.ndarray:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
-          docs_per_language: int = 4000, penalty: float = 12.0, alpha: float = 0.5) -> Model:
+          docs_per_language: int = 4000, penalty: float = 12.0, alpha: float = 0.5, max_languages: int = 256) -> Model:
     """Fit on about ``docs_per_language`` labelled rows of each language (all, where there are fewer).
 
     The sample is chosen by the hash of the row's key, so it is the same in
     every run. Counting is distributed; what reaches the driver is one count
-    per (language, bucket) and per (language, script). More than 256
-    different labels are an error.
+    per (language, bucket) and per (language, script). Of more than
+    ``max_languages`` labels those with most rows are learned (then by name);
+    rows of the others teach nothing, and are labelled like any row.
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    by_rows = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = dict(by_rows.orderBy(F.desc("n"), "lang").limit(max_languages).collect())
     languages = sorted(sizes)
     size = 1 << BUCKET_BITS
     if not languages:
