@@ -4,6 +4,8 @@ import hashlib
 import html
 import re
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -147,6 +149,17 @@ def test_two_runs_beside_the_best_single_language():
     assert [x[2] for x in spans] == ["b", "c"] and lang == "b" and score == 0.5
 
 
+def test_labels_beyond_the_model_bound_are_labelled_by_the_others(spark):
+    rows = [(i, f"the dog and the cat {i}", "en", "s") for i in range(6)] + [(10 + i, f"der Hund und die Katze {i}", "de", "s") for i in range(4)]
+    rows += [(100 + i, f"word {i}", f"x{i}", "s") for i in range(300)]
+    docs = docs_of(spark, rows)
+    assert langid.train(docs, max_languages=2).languages == ["de", "en"]
+    model = langid.train(docs)
+    assert len(model.languages) == 256 and {"de", "en"} < set(model.languages)
+    got = langid.label(docs, langid.train(docs, max_languages=2)).collect()
+    assert len(got) == len(rows) and {r["lang_pred"] for r in got} == {"de", "en"}
+
+
 def test_held_out_rule(spark):
     got = spark.createDataFrame([(i,) for i in range(50)], "doc_id long").select("doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
@@ -177,6 +190,22 @@ def test_shards_match_prefix_sums(spark, empty):
     assert sharding.shard(empty, 24).count() == 0
 
 
+def test_shards_of_rows_without_and_with_repeated_ids_are_even(spark):
+    rng = np.random.default_rng(14)
+    rows = [(None if i % 5 < 2 else i, words(rng, int(rng.integers(1, 60))), "en", "s") for i in range(2000)]
+    rows += [(7, "the same row", "en", "s")] * 1500
+    got = sharding.shard(docs_of(spark, rows), 24).collect()
+    count = lambda x: sorted((str(i), z, n) for (i, z), n in Counter(x).items())
+    assert count((r["id"], r["size"]) for r in got) == count((i, len(t.encode()) + 8) for i, t, *_ in rows)
+    size, slots = Counter(), {}
+    for r in got:
+        size[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    mean = sum(size.values()) / 24
+    assert len(size) == 24 and max(abs(n - mean) for n in size.values()) < 0.05 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 # -- decontamination
 
 ITEM = "A train leaves Boston with 48 passengers and travels 120 miles to Albany before it stops for 30 minutes near the river bank"
@@ -231,6 +260,32 @@ def test_largest_agreeing_set_of_windows():
     assert decontaminate._agreeing(many) == sorted(10 * v + k for v in range(12) for k in (1, 2))
 
 
+def test_agreeing_windows_against_all_choices():
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        maps = [(int(rng.integers(0, 9)), {int(v): int(rng.integers(10, 13)) for v in rng.choice(5, size=int(rng.integers(0, 4)), replace=False)}) for _ in range(9)]
+        best = max(len({maps[i][0] for i in pick}) for n in range(10) for pick in combinations(range(9), n)
+                   if all(maps[a][1].get(v, x) == x for a in pick for b in pick for v, x in maps[b][1].items()))
+        got = decontaminate._largest(maps)
+        assert len(got) == best
+
+
+def test_long_chains_of_conflicts_are_settled_exactly():
+    # neighbours share a value and disagree on it: every other window can stay
+    chain = [{"g": i, "vals": [1000 + i, 1001 + i], "got": [2 * i, 2 * i + 1]} for i in range(301)]
+    assert len(decontaminate._agreeing(chain)) == 151
+
+
+def test_clean_judges_rows_by_text_whatever_their_ids(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = [(None, f"no id. {ITEM}.", "en", "s"), (5, f"Here: {ITEM}", "en", "s"), (5, "a clean text with the id of another", "en", "s"), (None, None, "en", "s"), (6, "", "en", "s")]
+    docs = docs_of(spark, rows).withColumn("contaminated_text", F.lit(1))
+    assert sorted((r["doc_id"], r["text"]) for r in decontaminate.clean(docs, bench).collect() if r["doc_id"]) == [(5, rows[2][1]), (6, "")]
+    assert decontaminate.clean(docs, bench).filter("doc_id IS NULL").collect()[0]["text"] is None
+    named = docs_of(spark, rows[1:2]).withColumn("doc_id", F.lit("doc-a"))
+    assert [r["doc_id"] for r in decontaminate.matches(named, bench).collect()] == ["doc-a"]
+
+
 def test_numeric_and_short_items_match_verbatim(spark):
     items = ["Calculate 12 + 45 - 3 * 7 / 2", "Why is grass green?", "3 4 5 6 7 8 9 10 11 12 13 14"]
     docs = [f"Here it is: {items[0]} and so on", f"He asked: {items[1]} Nobody knew.", f"x {items[2]} y",
