@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.parse import norm_key
+from marketlake.operators.skew import salted_join
 
 HEX_DIGITS = 3  # 4096 buckets
 
@@ -74,16 +75,20 @@ def keyed_incoming(incoming: DataFrame, existing: DataFrame | None, keys: Sequen
     return assign_sk(store(known), keys, sk, previous=existing)
 
 
-def resolve_fk(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str, str, str]]) -> DataFrame:
+def resolve_fk(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str, str, str]], spread: bool = False) -> DataFrame:
     """Natural key -> surrogate key via LEFT JOINs.
 
     ``links``: output sk column -> (dimension, fact natural-key column,
     dimension natural-key column, dimension sk column). Unmatched keys give
     NULL (reported by K8 / K9). Dimension keys are unique, so the joins do
     not multiply rows; AQE broadcasts a dimension when it is small enough.
+    ``spread`` salts the keys that many fact rows hold (``operators.skew``).
     """
     out = fact
     for sk, (dim, fact_col, dim_col, dim_sk) in links.items():
+        if spread:
+            out = salted_join(out, dim.select(F.col(dim_col).alias(fact_col), F.col(dim_sk).alias(sk)), [fact_col])
+            continue
         d = dim.select(F.col(dim_col).alias(f"_{sk}_nk"), F.col(dim_sk).alias(sk))
         out = out.join(d, out[fact_col] == d[f"_{sk}_nk"], "left").drop(f"_{sk}_nk")
     return out
