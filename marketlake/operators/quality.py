@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketlake.functions.exact import round_ratio
@@ -93,6 +93,13 @@ def missing_pct(df: DataFrame, cols: Sequence[str], long: bool = False) -> DataF
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, pct_missing)")
 
 
+def observed_missing(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """K4 without a scan of its own: ``df`` counting its rows (under ``""``) and missing text per column while it is written."""
+    seen = Observation()
+    blank = [F.count_if(F.col(c).isNull() | (F.trim(F.col(c)) == "")).alias(c) for c, kind in df.dtypes if kind == "string"]
+    return df.observe(seen, F.count(F.lit(1)).alias(""), *blank), seen
+
+
 def near_duplicates(df: DataFrame, col: str, limit: int | None = None) -> DataFrame:
     """K5: values that collapse under ``lower(trim(x))`` with their variants.
 

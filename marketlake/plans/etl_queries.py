@@ -15,10 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.functions.exact import round_ratio
 from marketlake.functions.parse import guarded_ts
 from marketlake.functions.text import transliterate
 from marketlake.operators import quality as Q
-from marketlake.plans import etl
+from marketlake.operators.keys import resolve_fk
+from marketlake.operators.segments import market_leaders
+from marketlake.plans import etl, reports
+from marketlake.plans.model import build_model
 from marketlake.plans.staging import staging
 from marketlake.sources.tables import load
 
@@ -115,6 +119,14 @@ def k4_missing_by_column(spark, sf_dir):
     return _per_table(PROFILED, lambda t: Q.missing_pct(_stg(spark, sf_dir, t), PROFILED[t], long=True))
 
 
+def k4_observed_at_load(spark, sf_dir):
+    """K4 of both loads from what was counted while staging was written."""
+    wh = etl.warehouse(spark, sf_dir, runs=2)
+    seen = [(t, c, sum(wh.missing(t, n)[c] for n in (1, 2)), sum(wh.missing(t, n)[""] for n in (1, 2))) for t, cols in PROFILED.items() for c in cols]
+    counts = spark.createDataFrame(seen, "table_name string, column_name string, missing long, total long")
+    return counts.select("table_name", "column_name", round_ratio(F.col("missing") * 100, F.col("total"), 3).alias("pct_missing"))
+
+
 def k6_shipping_range(spark, sf_dir):
     return Q.guarded_range(_stg(spark, sf_dir, "order_items"), ["shipping_limit_date"], guarded_ts)
 
@@ -264,6 +276,28 @@ def l8_fact_fk(spark, sf_dir):
         "order_id", "order_item_id", "order_sk", "product_sk", "seller_sk")
 
 
+def l8_skewed_fk(spark, sf_dir):
+    """L8 where one seller holds a third of the items (and some items have none): sold units and revenue per state."""
+    m = build_model(spark, sf_dir)
+    seller = F.when(F.col("order_sk") % 3 == 0, F.lit(1)).when(F.col("order_sk") % 7 != 0, F.col("seller_sk"))
+    items = m.fact_items.select("order_sk", "order_item_id", "price", seller.alias("seller_key"))
+    linked = resolve_fk(items, {"seller_state": (m.dim_sellers, "seller_key", "seller_sk", "seller_state")}, spread=True)
+    return as_output(linked.groupBy("seller_state").agg(F.count(F.lit(1)).alias("units"), F.count("seller_key").alias("linked"), F.sum("price").alias("revenue")))
+
+
+def _maintained(report):
+    """A report on the warehouse after two loads, from sums that followed the second load's feed."""
+    def run(spark, sf_dir):
+        return report(etl.warehouse(spark, sf_dir, runs=2).model(2))
+    run.__name__ = f"{report.__name__}_maintained"
+    return run
+
+
+def v2_maintained(spark, sf_dir):
+    """V2 on the warehouse after two loads, from the maintained orders of each seller."""
+    return market_leaders(etl.warehouse(spark, sf_dir, runs=2).view("seller_orders", 2).rows())
+
+
 def l10_geo_link(spark, sf_dir):
     return etl.warehouse(spark, sf_dir, runs=2).sellers.select("seller_sk", "seller_id", "seller_zip", "geo_sk")
 
@@ -304,5 +338,11 @@ QUERIES = {
        ("products", "sellers", "orders", "category", "geolocation", "items", "payments", "reviews")},
     "l7_surrogate_keys": l7_surrogate_keys,
     "l8_fact_fk": l8_fact_fk,
+    "l8_skewed_fk": l8_skewed_fk,
+    "k4_observed_at_load": k4_observed_at_load,
+    "v2_maintained": v2_maintained,
+    "v9_maintained": _maintained(reports.v9_category_performance),
+    "v10_maintained": _maintained(reports.v10_top_categories),
+    "v11_maintained": _maintained(reports.v11_price_tiers),
     "l10_geo_link": l10_geo_link,
 }

@@ -49,6 +49,7 @@ class StarModel:
     lookup_prod_cat: DataFrame
     lookup_geo: DataFrame
     leaders: DataFrame | None = None  # stored V2 result (3 rows), when the model is stored
+    sold: DataFrame | None = None  # (product_sk, price, units, revenue) sums that stand for the items, when they are maintained
 
 
 def orders_dim(orders: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from marketlake.plans.oracle_etl_sql import (CLEAN_ORDERS, CLEAN_PRODUCTS, MEASURES, ORDER_TIMES, REVIEW, _k10, blank, geo_grain, item_grain,
                                              last_reviews, named, payment_grain, staging_ctes)
-from marketlake.plans.oracle_sql import MODEL
+from marketlake.plans.oracle_sql import MODEL, V9_BODY, V10_BODY, V11_BODY, with_model
 
 AUDIT = ["first_seen_at", "last_seen_at", "row_source_file", "staging_id"]
 INSERT_AUDIT = ("loaded_at AS first_seen_at, loaded_at AS last_seen_at, "
@@ -205,7 +205,28 @@ def _feed(t: str) -> str:
             f"FROM ({_incoming(t, 2)}) new LEFT JOIN (SELECT *, TRUE AS is_stored FROM wh_{t}_1) was ON {on} JOIN wh_{t}_2 now ON {now}")
 
 
+# the items of the second version with their category, as the category reports read them
+SHELVED = """, wh_sold AS (
+    SELECT i.price, CAST(i.price * 100 AS BIGINT) AS cents, coalesce(c.prod_cat_eng, p.product_category, 'unknown') AS category
+    FROM wh_items_2 i LEFT JOIN wh_products_2 p ON p.product_sk = i.product_sk LEFT JOIN wh_category_2 c ON c.prod_cat = p.product_category)
+"""
+
+
+def _shelved(report: str) -> str:
+    return warehouse_sql(SHELVED + report.replace("sold JOIN shelf USING (p)", "wh_sold").replace("FROM sold", "FROM wh_sold").replace("foi_category", "wh_sold"))
+
+
 QUERIES = {
+    "v2_maintained": warehouse_sql(
+        "SELECT seller_sk, 'leader_0' || place AS leader_label FROM (SELECT seller_sk, row_number() OVER (ORDER BY count(DISTINCT order_sk) DESC, "
+        "seller_sk NULLS LAST) AS place FROM wh_items_2 GROUP BY seller_sk) WHERE place <= 3"),
+    "v9_maintained": _shelved(V9_BODY),
+    "v10_maintained": _shelved(V10_BODY),
+    "v11_maintained": _shelved(V11_BODY),
+    "l8_skewed_fk": with_model(
+        "SELECT seller_state, COUNT(*) AS units, COUNT(key) AS linked, CAST(SUM(price) AS DOUBLE) AS revenue FROM (SELECT price, "
+        "CASE WHEN order_sk % 3 = 0 THEN 1 WHEN order_sk % 7 <> 0 THEN seller_sk END AS key FROM fact_order_items) f "
+        "LEFT JOIN dim_sellers d ON d.seller_sk = f.key GROUP BY seller_state"),
     "l5_change_feed_orders": warehouse_sql(
         "SELECT now.order_sk AS order_sk, now.order_id AS order_id, kind, was.order_status AS status_before, now.order_status AS status_after, "
         f"was.last_seen_at AS seen_before, now.last_seen_at AS seen_after FROM ({_feed('orders')}) f"),

@@ -174,12 +174,19 @@ def v8_delay_rank(m: StarModel, late_counts: DataFrame | None = None) -> DataFra
         F.rank().over(w).cast("long").alias("delay_risk_rank"))
 
 
+def _sold(m: StarModel) -> DataFrame:
+    """(product_sk, price, units, revenue): the maintained sums, or a row per item."""
+    if m.sold is not None:
+        return m.sold
+    return m.fact_items.select("product_sk", "price", F.lit(1).cast("long").alias("units"), F.col("price").alias("revenue"))
+
+
 def v9_category_performance(m: StarModel) -> DataFrame:
-    items = m.fact_items.filter(F.col("price") > 0).select("product_sk", "price")
+    items = _sold(m).filter(F.col("price") > 0).select("product_sk", "price", "units")
     cat = category_name(items, m.dim_products, m.lookup_prod_cat)
     # One pass over the fact: value counts per (category, price) carry the revenue,
     # the units and the exact median (running count over the category's distinct prices).
-    vc = cat.groupBy(F.col("category").alias("product_category"), "price").agg(F.count(F.lit(1)).alias("_c"))
+    vc = cat.groupBy(F.col("category").alias("product_category"), "price").agg(F.sum("units").alias("_c"))
     g = quantiles_from_counts(vc, "price", "_c", ["product_category"], [0.5], ["median_price"],
                               carry={"_rev": F.col("price") * F.col("_c"), "total_units": F.col("_c")})
     # one row per category: the share-of-total window runs over the aggregated frame
@@ -190,9 +197,9 @@ def v9_category_performance(m: StarModel) -> DataFrame:
 
 
 def _category_metrics(m: StarModel) -> DataFrame:
-    cat = category_name(m.fact_items.select("product_sk", "price"), m.dim_products, m.lookup_prod_cat)
-    return cat.groupBy("category").agg(F.sum("price").alias("cat_revenue"),
-                                       F.count(F.lit(1)).alias("units_sold"))
+    cat = category_name(_sold(m).select("product_sk", "units", "revenue"), m.dim_products, m.lookup_prod_cat)
+    return cat.groupBy("category").agg(F.sum("revenue").alias("cat_revenue"),
+                                       F.sum("units").alias("units_sold"))
 
 
 def v10_top_categories(m: StarModel, top_n: int = 5) -> DataFrame:
@@ -212,8 +219,8 @@ def v10_top_categories(m: StarModel, top_n: int = 5) -> DataFrame:
 def v11_price_tiers(m: StarModel, top_n: int = 5, price_q=(0.33, 0.66)) -> DataFrame:
     # one scan of the fact: stored value counts per (category, price) give the global
     # thresholds, the tiers and the revenue
-    cat = category_name(m.fact_items.select("product_sk", "price"), m.dim_products, m.lookup_prod_cat)
-    vc = cat.groupBy("category", "price").agg(F.count(F.lit(1)).alias("_c"), F.sum("price").alias("_rev"))
+    cat = category_name(_sold(m), m.dim_products, m.lookup_prod_cat)
+    vc = cat.groupBy("category", "price").agg(F.sum("units").alias("_c"), F.sum("revenue").alias("_rev"))
     vc = ranged(vc, [], "price")
     thr = total_quantiles(vc, "price", "_c", list(price_q), ["price_p33", "price_p66"])
     tier = (F.when(F.col("price") <= F.col("price_p33"), PRICE_TIERS[0])
