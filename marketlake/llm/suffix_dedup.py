@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import discard, extended, shared_folder, stored
+from marketlake.operators.skew import counted_semi_join
 
 #: Bytes of a name used to choose anchors, suffixes an anchor is chosen from, bytes hashed at a time.
 GRAM, SPAN, PIECE = 32, 256, 1 << 20
@@ -236,9 +237,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = stored(rows.withColumn("rid", F.monotonically_increasing_id()), "texts")
     runs = stored(base.filter(F.octet_length("t") >= length).select("rid", "t")
                   .mapInArrow(_all_runs(length), "rid long, lo long, hi long, anchor long, rank long, r1 long, r2 long"), "runs")
-    again = runs.groupBy("rank").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("rank")
-    left = stored(runs.join(again, "rank", "left_semi"), "runs")
-    discard(runs)
+    again = stored(runs.groupBy("rank").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "again")
+    left = stored(counted_semi_join(runs, again, ["rank"], "c"), "runs")
+    discard(runs, again)
 
     # the texts that still have a run go through the next steps; they are parted from the others once
     touched = left.select("rid").distinct().withColumn("hit", F.lit(True))
@@ -249,17 +250,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hit_texts = texts.filter("hit").select("rid", "id", "t")
 
     classes = stored(left.groupBy("rank", "r1", "r2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "lo", "hi", "anchor")).alias("one")), "classes")
-    settled = left.join(classes.filter("n > 1").select("rank", "r1", "r2"), ["rank", "r1", "r2"], "left_semi").select("rid", "lo", "hi")
+    settled = counted_semi_join(left, classes.filter("n > 1"), ["rank", "r1", "r2"], "n").select("rid", "lo", "hi")
 
     unsettled = classes.groupBy("rank").agg(F.min("n").alias("least")).filter("least = 1").select("rank")
     runs_of = (classes.join(unsettled, "rank", "left_semi").select("one.*", "n")
                .groupBy("rid").agg(F.collect_list(F.struct("lo", "hi", "anchor", "n")).alias("parts")))
     blocks = stored(hit_texts.select("rid", "t").join(runs_of, "rid")
                     .mapInArrow(_blocks(length), "rid long, lo long, hi long, s1 long, s2 long, r1 long, r2 long, settled boolean"), "blocks")
-    shared = blocks.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("c"), F.min("settled").alias("done")).filter("c > 1 AND NOT done").select("s1", "s2")
-    left_blocks = stored(blocks.join(shared, ["s1", "s2"], "left_semi"), "blocks")
+    shared = blocks.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("c"), F.min("settled").alias("done")).filter("c > 1 AND NOT done")
+    shared = stored(shared.select("s1", "s2", "c"), "shared")
+    left_blocks = stored(counted_semi_join(blocks, shared, ["s1", "s2"], "c"), "blocks")
     block_classes = stored(left_blocks.groupBy("s1", "s2", "r1", "r2").agg(F.count(F.lit(1)).alias("n"), F.max("settled").alias("done"), F.min(F.struct("rid", "lo", "hi")).alias("one")), "block-classes")
-    alike = left_blocks.filter("NOT settled").join(block_classes.filter("n > 1 OR done").select("s1", "s2", "r1", "r2"), ["s1", "s2", "r1", "r2"], "left_semi").select("rid", "lo", "hi")
+    alike = counted_semi_join(left_blocks.filter("NOT settled"), block_classes.filter("n > 1 OR done"), ["s1", "s2", "r1", "r2"], "n").select("rid", "lo", "hi")
 
     open_ = (F.col("n") == 1) & ~F.col("done")
     mixed = block_classes.groupBy("s1", "s2").agg(F.max(open_).alias("any"), F.count(F.lit(1)).alias("c")).filter("any AND c > 1").select("s1", "s2")
@@ -270,7 +272,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     single = windows.filter("undecided").join(twice, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
 
     marks = stored(settled.union(alike).union(single).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("marks")), "marks")
-    discard(left, classes, blocks, left_blocks, block_classes, windows)
+    discard(left, classes, blocks, shared, left_blocks, block_classes, windows)
     kind = rows.schema["id"].dataType.simpleString()
     size = F.octet_length("t").cast("long").alias("n_bytes")
     spans = "array<struct<start:bigint,end:bigint>>"
