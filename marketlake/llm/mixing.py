@@ -4,12 +4,16 @@ Each row gets a random key, the MD5 of its id. Equal ranges of the key
 (``BUCKETS`` of them) split every source evenly, also one that holds most
 rows. Sizes are summed per (source, range); running sums over that small
 table say which ranges lie wholly inside a source's budget and which one the
-cut falls into. Only the rows of that one range per source are sorted for a
-row-level running sum.
+cut falls into. Inside that range the rows are counted per (key, id, size), and
+running sums over these counts find the group of equal rows that holds the cut.
+That group, be it a third of all rows (no id, one size), is parted by a stored
+random number in the same way: counts per range of it, then one range is numbered.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -60,10 +64,10 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
     misses its target by half a document at most. Null sources are a source
     of their own, null ids have one common key, rows of size 0 are taken when
     their place is. Rows equal in id and size may swap places, which changes
-    nothing that is returned about them.
+    nothing that is returned about them. No task holds all rows of an id.
     """
     key = F.md5(F.concat(id_text(F.col(id_col)), F.lit(":mix")).cast("binary"))
-    rows = docs.select(*keep, F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), key.alias("key"))
+    rows = docs.select(*keep, F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), key.alias("key"), F.rand().alias("spread"))
     rows = stored(rows, "mix").withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
     buckets = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("b")), "buckets")
     goal = stored(targets(buckets.groupBy("source").agg(F.sum("b").alias("source_size")), weights, cap), "targets")
@@ -80,13 +84,49 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
     at_cut = F.col("rest").__gt__(0) & F.coalesce(F.col("bucket") == F.col("cut_at"), F.lit(False))
     below = F.coalesce(F.col("bucket") < F.col("cut_at"), F.lit(True)) & (F.col("rest") > 0)
     plain = found.filter(~at_cut).withColumn("copies", F.col("epochs") + below.cast("long"))
-    run = F.sum("size").over(W.partitionBy("source", "bucket").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, W.currentRow))
-    middle = F.col("cut_from") + run - F.col("size") / 2
-    edge = found.filter(at_cut).withColumn("copies", F.col("epochs") + (middle <= F.col("rest")).cast("long"))
+    edge = _taken_at_cut(found.filter(at_cut)).withColumn("copies", F.col("epochs") + F.col("last").cast("long")).drop("last")
     out = plain.unionByName(edge)
     return out.select(*keep, "id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def _taken_at_cut(edge: DataFrame) -> DataFrame:
+    """``edge``, the rows of each source's cut range, with ``last``: whether the rest of the budget takes the row.
+
+    Middles of rows in order never decrease, so per source one group of equal
+    rows (``at``) holds the cut: groups before it are taken, groups after it
+    are not, and of its own rows the first ``n``.
+    """
+    place = F.struct("key", "id", "size")
+    groups = edge.groupBy("source", "key", "id", "size").agg(F.count(F.lit(1)).alias("rows"), F.first("cut_from").alias("cut_from"), F.first("rest").alias("rest"))
+    run = F.sum(F.col("size") * F.col("rows")).over(W.partitionBy("source").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, W.currentRow))
+    groups = groups.withColumn("from", F.col("cut_from") + run - F.col("size") * F.col("rows"))
+
+    def fits(n: Column) -> Column:
+        return F.col("from") + n * F.col("size") - F.col("size") / 2 <= F.col("rest")
+
+    about = F.floor((F.col("rest") - F.col("from")) / F.greatest(F.col("size"), F.lit(1)) + 0.5).cast("long")   # off by one at most, by rounding
+    n = F.when(fits(about + 1), about + 1).when(fits(about), about).otherwise(about - 1)
+    at = (groups.filter(~fits(F.col("rows"))).withColumn("n", F.when(F.col("size") > 0, F.greatest(n, F.lit(0))).otherwise(0))
+          .groupBy("source").agg(F.min(F.struct("key", "id", "size", "n")).alias("m"))
+          .select(F.col("source").alias("s"), F.struct("m.key", "m.id", "m.size").alias("at"), F.col("m.n").alias("n")))
+    at = stored(at, "cut_groups")
+    near = edge.join(at, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("part", F.floor(F.col("spread") * BUCKETS).cast("int"))
+    sure = near.filter(F.col("at").isNull() | (place < F.col("at")) | (place > F.col("at"))).withColumn("last", F.col("at").isNull() | (place < F.col("at")))
+    equal = near.filter((place >= F.col("at")) & (place <= F.col("at")))
+
+    parts = equal.groupBy("source", "part").agg(F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"))
+    before = F.sum("rows").over(W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("rows")
+    split = (parts.withColumn("before", before).filter(F.col("before") + F.col("rows") > F.col("n"))
+             .groupBy("source").agg(F.min(F.struct("part", "before")).alias("m"))
+             .select(F.col("source").alias("s"), F.col("m.part").alias("split"), F.col("m.before").alias("before")))
+    equal = equal.join(stored(split, "cut_parts"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    inside = equal.filter(F.col("part") == F.col("split"))
+    number = F.row_number().over(W.partitionBy("source", "part").orderBy("spread"))
+    inside = inside.withColumn("last", F.col("before") + number <= F.col("n"))
+    outside = equal.filter(F.col("split").isNull() | (F.col("part") != F.col("split"))).withColumn("last", F.coalesce(F.col("part") < F.col("split"), F.lit(True)))
+    return reduce(DataFrame.unionByName, (t.select(*edge.columns, "last") for t in (sure, inside, outside)))
+
+
 def mixed_rows(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", **settings) -> DataFrame:
     """The mix itself: the columns of ``docs``, each row as often as the mix takes it."""
     whole = free_name(docs, "mix_row")

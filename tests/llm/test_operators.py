@@ -465,3 +465,22 @@ def test_mix_comes_near_its_targets(spark, odd, empty):
     assert mixing.mixed_rows(docs, mixing.word_count()).columns == docs.columns
     assert mixing.mixed_rows(docs, mixing.word_count()).count() == sum(r["copies"] for r in rows)
     assert mixing.mix(odd, mixing.word_count()).count() == odd.count() and mixing.mix(empty, mixing.word_count()).count() == 0
+
+
+def test_rows_of_one_id_are_cut_by_size_and_count(spark, tmp_path):
+    """A source of rows without id, most of them equal: taken words meet the target, equal to a running sum over sorted rows."""
+    rng = np.random.default_rng(3)
+    rows = [(None, " ".join(["w"] * int(k)), None, "a") for k in [7] * 900 + rng.integers(0, 40, 300).tolist()]
+    rows += [(5, " ".join(["w"] * int(k)), None, "b") for k in [3] * 400 + [0] * 50] + [(i, "x y z", None, "c") for i in range(2000)]
+    got = mixing.mix(docs_of(spark, rows), mixing.word_count()).collect()
+    assert len(got) == len(rows)
+    for source in "abc":
+        mine = sorted((r for r in got if r["source"] == source), key=lambda r: (hashlib.md5(f"{'' if r['id'] is None else r['id']}:mix".encode()).hexdigest(), r["size"]))
+        total, goal = mine[0]["source_size"], mine[0]["target"]
+        epochs = int(goal // total)
+        run, want = 0, []
+        for r in mine:
+            run += r["size"]
+            want.append((r["id"], r["size"], epochs + (goal - epochs * total > 0 and run - r["size"] / 2 <= goal - epochs * total)))
+        assert sorted(want, key=str) == sorted(((r["id"], r["size"], r["copies"]) for r in mine), key=str)
+        assert abs(sum(r["taken"] for r in mine) - goal) <= 20
