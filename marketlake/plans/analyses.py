@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.text import percent_text
 from marketlake.operators import stats
 from marketlake.plans import reports as R
-from marketlake.plans.model import build_model
+from marketlake.plans.model import build_model, month_label, stored_items_by_month, stored_leaders
 
 # Parameters with values inside the test tables' date range (1995-01 .. 2001-08).
 BOX_QUARTER = "1998.Q2"
@@ -20,6 +20,31 @@ def _m(spark, sf_dir):
     return build_model(spark, sf_dir)
 
 
+def _growth_of_months(spark, sf_dir, *ranges: tuple) -> DataFrame:
+    """V13 from the items of some months only, right for the last months of each range.
+
+    A range is (first, last, rows): labels, ``last`` may be None (open). Growth
+    and T3M look at the rows before of the same segment, which need not be of
+    adjacent months, so each range begins at the month of the ``rows``-th row up to ``first`` of
+    the segment where that lies furthest back.
+    """
+    items, months = stored_items_by_month(spark, sf_dir)
+    back = F.row_number().over(Window.partitionBy("market_segment").orderBy(F.desc("purchase_month")))  # a row per segment and month
+    wanted = F.lit(False)
+    for first, last, rows in ranges:
+        known = months.filter(F.col("purchase_month") <= _index(first)).withColumn("back", back).filter(F.col("back") <= rows)
+        begin = known.agg(F.min("purchase_month")).first()[0]
+        month = F.col("purchase_month")
+        wanted = wanted | ((month >= (_index(first) if begin is None else begin)) & (F.lit(True) if last is None else month <= _index(last)))
+    items = items.filter(wanted).select("seller_sk", "price", month_label(F.col("purchase_month")).alias("monthly"))
+    return R.month_growth(items, stored_leaders(spark, sf_dir))
+
+
+def _index(month: str) -> int:
+    year, number = month.split("-")
+    return int(year) * 12 + int(number) - 1
+
+
 def a1_box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: order volume box statistics by quarter x performance tier."""
     return stats.box_stats(R.v1_seller_quarterly(_m(spark, sf_dir)), "order_volume",
@@ -28,7 +53,11 @@ def a1_box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a2_box_one_quarter(spark, sf_dir, quarter: str = BOX_QUARTER):
     """A2 + A3: box statistics of one quarter by tier, quarter split into year and number."""
-    v1 = R.v1_seller_quarterly(_m(spark, sf_dir)).filter(F.col("quarterly") == quarter)
+    year, number = quarter.split(".Q")
+    first = int(year) * 12 + 3 * (int(number) - 1)
+    items = stored_items_by_month(spark, sf_dir)[0].filter(F.col("purchase_month").between(first, first + 2))
+    volume = items.groupBy("seller_sk", F.lit(quarter).alias("quarterly")).agg(F.count_distinct("order_sk").alias("order_volume"))
+    v1 = R.volume_tiers(volume)
     parts = F.split(F.col("quarterly"), r"\.")
     v1 = v1.select(parts[0].cast("int").alias("year"), parts[1].alias("quarter"), "performance_tier",
                    "order_volume")
@@ -133,14 +162,14 @@ def a17_revenue_at_risk(spark, sf_dir):
 
 def a19_burn_in(spark, sf_dir, after: str = BURN_IN_AFTER):
     """A18 + A19: monthly revenue and T3M per segment after the burn-in month."""
-    v13 = R.v13_mom_growth(_m(spark, sf_dir))
+    v13 = _growth_of_months(spark, sf_dir, (after, None, 2))
     return stats.after(v13, "monthly", after).select("market_segment", "monthly", "this_month_revenue",
                                                      "t3m_revenue")
 
 
 def a20_pivot_start_end(spark, sf_dir, start: str = PIVOT_START, end: str = PIVOT_END):
     """T3M revenue at the start and end month per segment and its change."""
-    v13 = R.v13_mom_growth(_m(spark, sf_dir))
+    v13 = _growth_of_months(spark, sf_dir, (start, start, 3), (end, end, 3))
     return stats.pivot_start_end(v13, "market_segment", "monthly", "t3m_revenue", start, end)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators.dedup import collapse
-from marketlake.operators.segments import market_leaders
+from marketlake.operators.segments import market_leaders, segment_by_leader
 from marketlake.session import scratch_path
 from marketlake.sources.tables import load
 
@@ -149,6 +149,7 @@ def geo_lookup(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
+ITEMS_BY_MONTH = "order_sk long, seller_sk long, price decimal(12,2), purchase_month int"
 _STORED: dict[tuple, str] = {}
 
 
@@ -189,6 +190,38 @@ def _stored_model(spark: SparkSession, sf_dir: str, refresh: bool = False) -> st
     return _STORED[key]
 
 
+def month_index(c) -> F.Column:
+    """Months since year 0, the partition column of the items by month."""
+    return (F.year(c) * 12 + F.month(c) - 1).cast("int")
+
+
+def month_label(index: F.Column) -> F.Column:
+    """'yyyy-MM' of a ``month_index``."""
+    return F.format_string("%04d-%02d", F.floor(index / 12).cast("int"), index % 12 + 1)
+
+
+def stored_items_by_month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(items, months): the item fact in folders of its orders' purchase month, and the months that each market segment has.
+
+    Items are (seller_sk, order_sk, price, purchase_month); those whose order
+    is unknown or has no purchase time are in the folder of the null month.
+    A filter on ``purchase_month`` reads only the folders it names. Rows are
+    rebalanced by month, so a month with a large share is written by several
+    tasks. ``months`` has a row per segment and month.
+    """
+    key = ("by_month", *data_state(spark, sf_dir, ("lineitem", "orders")))
+    if key not in _STORED:
+        m = build_model(spark, sf_dir)
+        months = m.dim_orders.select("order_sk", month_index(F.col("order_purchase_t")).alias("purchase_month"))
+        items = m.fact_items.select("order_sk", "seller_sk", "price").join(months, "order_sk", "left")
+        path = scratch_path(spark, "model/items_by_month")
+        items.hint("rebalance", "purchase_month").write.mode("overwrite").partitionBy("purchase_month").parquet(path)
+        present = spark.read.schema(ITEMS_BY_MONTH).parquet(path).filter("purchase_month IS NOT NULL").select("seller_sk", "purchase_month").distinct()
+        segment_by_leader(present, m.leaders).select("market_segment", "purchase_month").distinct().write.mode("overwrite").parquet(path + "-months")
+        _STORED[key] = path
+    return spark.read.schema(ITEMS_BY_MONTH).parquet(_STORED[key]), spark.read.parquet(_STORED[key] + "-months")
+
+
 def build_model(spark: SparkSession, sf_dir: str, stored: bool = True) -> StarModel:
     """The star model; ``stored=False`` keeps the item fact as a lazy plan."""
     t = lambda name: load(spark, sf_dir, name)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from marketlake.plans.analyses import BOX_QUARTER, BURN_IN_AFTER, PIVOT_END, PIVOT_START
 from marketlake.plans.oracle_sql import with_views
 
+# Stated here too: a parameter that is wrong in the queries must not pass.
+BOX_QUARTER = "1998.Q2"
+BURN_IN_AFTER = "1995-03"
+PIVOT_START, PIVOT_END = "1995-04", "2001-07"
+
 
 def _box(src: str, by: list[str]) -> str:
     keys = ", ".join(by)

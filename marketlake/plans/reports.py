@@ -56,7 +56,11 @@ def seller_periodic_volume(m: StarModel) -> DataFrame:
 
 
 def v1_seller_quarterly(m: StarModel) -> DataFrame:
-    spv = seller_periodic_volume(m)
+    return volume_tiers(seller_periodic_volume(m))
+
+
+def volume_tiers(spv: DataFrame) -> DataFrame:
+    """V1 from (seller_sk, quarterly, order_volume)."""
     # One row per quarter: bounded by the calendar span, broadcast.
     thr = spv.groupBy(F.col("quarterly").alias("_q")).agg(
         F.percentile("order_volume", 0.25).alias("vol_p25"),
@@ -275,9 +279,12 @@ def v13_mom_growth(m: StarModel, leaders: DataFrame | None = None) -> DataFrame:
     leaders = _leaders(m, leaders)
     items = m.fact_items.select("order_sk", "seller_sk", "price").join(
         m.dim_orders.select("order_sk", "order_purchase_t"), "order_sk", "left")
-    seg = segment_by_leader(items, leaders).select(
-        "market_segment", F.date_format("order_purchase_t", "yyyy-MM").alias("monthly"),
-        "seller_sk", "price")
+    return month_growth(items.select("seller_sk", "price", F.date_format("order_purchase_t", "yyyy-MM").alias("monthly")), leaders)
+
+
+def month_growth(items: DataFrame, leaders: DataFrame) -> DataFrame:
+    """V13 from (seller_sk, price, monthly) per item."""
+    seg = segment_by_leader(items, leaders)
     g = seg.groupBy("market_segment", "monthly").agg(F.sum("price").alias("_rev"),
                                                      F.count_distinct("seller_sk").alias("_sellers"))
     this = F.when(F.col("market_segment") == "residual",
