@@ -8,8 +8,9 @@ P(grade >= k) = sigmoid(w . x - cut_k) with one weight vector for all ordered
 cuts; its expected severity is the sum of these over k.
 
 Features are words and their first four to seven letters (value: log(1 +
-occurrences)), chosen by a z-score of their log-odds. Weights come from damped
-gradient steps on a bounded sample.
+occurrences)), chosen by the signed root of their log-likelihood ratio, which
+holds for small classes too. Weights come from damped gradient steps on a
+bounded sample.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Settings:
     """``per_class`` bounds the training rows of a class, ``candidates`` the features that are counted in both
-    classes (the most frequent of those in ``min_documents`` toxic rows), ``features`` those that get a weight."""
+    classes (the most frequent of those in ``min_documents`` toxic rows, or an eighth of them, two at least, where
+    that is less), ``features`` those that get a weight."""
 
     per_class: int = 6000
     candidates: int = 1 << 16
@@ -87,7 +89,8 @@ def _counted(rows: DataFrame, only: set | None = None) -> DataFrame:
 
 def _wording(sample: DataFrame, s: Settings) -> pd.DataFrame:
     """(word, z) of the features; documents are counted in Spark, candidates first in the toxic class alone."""
-    in_toxic = _counted(sample.filter("toxic")).filter(F.col("n") >= F.when(F.col("part") == "", 0).otherwise(s.min_documents))
+    least = max(2, min(s.min_documents, sample.filter("toxic").count() // 8))
+    in_toxic = _counted(sample.filter("toxic")).filter(F.col("n") >= F.when(F.col("part") == "", 0).otherwise(least))
     bad = in_toxic.orderBy(F.col("n").desc(), "part").limit(s.candidates).toPandas()
     good = _counted(sample.filter("NOT toxic"), set(bad["part"])).toPandas()
     both = bad.merge(good, on="part", how="left", suffixes=("_bad", "_good")).fillna({"n_good": 0})
@@ -95,13 +98,20 @@ def _wording(sample: DataFrame, s: Settings) -> pd.DataFrame:
     if not len(total) or not total["n_good"].iloc[0]:
         return pd.DataFrame({"word": [], "z": []})
     both = both[both["part"] != ""]
-    x, y, n, m = both["n_bad"] + 0.5, both["n_good"] + 0.5, total["n_bad"].iloc[0] + 1.0, total["n_good"].iloc[0] + 1.0
-    z = (np.log(x / (n - x)) - np.log(y / (m - y))) / np.sqrt(1 / x + 1 / y)
+    z = evidence(both["n_bad"].to_numpy(float), both["n_good"].to_numpy(float), float(total["n_bad"].iloc[0]), float(total["n_good"].iloc[0]))
     out = pd.DataFrame({"word": both["part"], "z": z})
     out = out[out["z"].abs() >= s.min_z]
     return out.iloc[np.lexsort((out["word"], -out["z"].abs()))][:s.features].reset_index(drop=True)
 
 
+def evidence(bad: np.ndarray, good: np.ndarray, n_bad: float, n_good: float) -> np.ndarray:
+    """Signed root of the log-likelihood ratio that a feature's share differs between ``n_bad`` and ``n_good`` documents."""
+    both = (bad + good) / (n_bad + n_good)
+    part = [np.where(k > 0, k * np.log(np.where(k > 0, k, 1) / np.maximum(n * q, 1e-300)), 0.0)
+            for k, n, q in ((bad, n_bad, both), (good, n_good, both), (n_bad - bad, n_bad, 1 - both), (n_good - good, n_good, 1 - both))]
+    return np.sign(bad / n_bad - good / n_good) * np.sqrt(np.maximum(2 * sum(part), 0.0))
+
+
 def _features(wording: pd.DataFrame):
     index = {w: i for i, w in enumerate(wording["word"])}
     toxic_word = (wording["z"] > 0).to_numpy()
@@ -158,12 +168,13 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 
 def grade(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, severity, grade, toxic) per row: expected severity, most probable grade, whether a grade above 0 is more likely than not.
+    """(id, severity, grade, toxic, fitted) per row: expected severity, most probable grade, whether a grade above 0 is more likely
+    than not, and whether a model could be fitted (false: the labels told no wording apart, and severity 0 says nothing).
 
     Null and empty texts have no features, so the severity of a text without
     any known wording. Repeated rows stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.cuts))   # at most Settings.features weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, cuts = shared.value
@@ -173,7 +184,8 @@ def grade(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 score.append(sum(weights[w] * math.log1p(k) for w, k in parts(t).items() if w in weights))
             p = 1 / (1 + np.exp(np.clip(cuts - np.array(score, float).reshape(-1, 1), -40, 40)))
             edge = np.hstack([np.ones((len(p), 1)), p, np.zeros((len(p), 1))])
-            yield extended(b, ("t",), severity=pa.array(p.sum(axis=1)), grade=pa.array((edge[:, :-1] - edge[:, 1:]).argmax(axis=1).astype(np.int32)), toxic=pa.array(p[:, 0] >= 0.5))
+            yield extended(b, ("t",), severity=pa.array(p.sum(axis=1)), grade=pa.array((edge[:, :-1] - edge[:, 1:]).argmax(axis=1).astype(np.int32)), toxic=pa.array(p[:, 0] >= 0.5),
+                           fitted=pa.array([bool(weights)] * len(p), pa.bool_()))
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(run, f"{ddl(rows, ('t',))}severity double, grade int, toxic boolean")
+    return rows.mapInArrow(run, f"{ddl(rows, ('t',))}severity double, grade int, toxic boolean, fitted boolean")

@@ -484,3 +484,24 @@ def test_rows_of_one_id_are_cut_by_size_and_count(spark, tmp_path):
             want.append((r["id"], r["size"], epochs + (goal - epochs * total > 0 and run - r["size"] / 2 <= goal - epochs * total)))
         assert sorted(want, key=str) == sorted(((r["id"], r["size"], r["copies"]) for r in mine), key=str)
         assert abs(sum(r["taken"] for r in mine) - goal) <= 20
+
+
+# -- toxicity of small classes
+
+def test_evidence_is_the_root_of_the_likelihood_ratio():
+    bad, good = np.array([5.0, 0, 3, 11, 2]), np.array([0.0, 40, 60, 0, 38])
+    got = toxicity.evidence(bad, good, 11.0, 200.0)
+    for x, y, z in zip(bad, good, got):
+        cells = [(x, 11, x + y), (y, 200, x + y), (11 - x, 11, 211 - x - y), (200 - y, 200, 211 - x - y)]
+        g = 2 * sum(o * np.log(o / (n * total / 211)) for o, n, total in cells if o)
+        assert np.isclose(abs(z), np.sqrt(max(g, 0))) and (z > 0) == (x / 11 > y / 200)
+
+
+def test_few_toxic_documents_still_train_a_model(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, words(rng, 60) + (" gremlin vile" if i < 6 else ""), "en", "s") for i in range(90)]
+    docs, labels = docs_of(spark, rows), spark.createDataFrame([(i, 0, int(i < 6)) for i in range(90)], "doc_id long, quality int, toxic int")
+    got = toxicity.grade(docs, toxicity.train(docs, labels)).collect()
+    assert {r["id"] for r in got if r["toxic"]} == set(range(6)) and all(r["fitted"] for r in got)
+    untold = toxicity.grade(docs, toxicity.train(docs, labels.filter("toxic = 0"))).collect()
+    assert not any(r["fitted"] or r["toxic"] for r in untold) and len(untold) == 90
