@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import ddl, extended, in_sample
+from marketlake.llm.common import ddl, extended, give_back, in_sample
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (1, 2, 3, 4)
@@ -318,6 +318,10 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 got = _label_piece(texts[a:z], words)
                 yield extended(b.slice(a, z - a), ("t",), lang_pred=pa.array([x[0] for x in got], pa.string()), score=pa.array([x[1] for x in got], pa.float64()),
                                spans=pa.array([[{"start": p, "end": q, "lang": g} for p, q, g in x[2]] for x in got], spans))
+                del got
+            del b, texts
+        del words
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), *keep, F.col(text_col).alias("t"))
     return rows.mapInArrow(run, f"{ddl(rows, ('t',))}lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
