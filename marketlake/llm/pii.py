@@ -35,9 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the proposals that trees and thresholds are fitted on (three quarters and one quarter of them)."""
+    """Trees are fitted on three quarters of all proposals, thresholds on the other quarter."""
 
-    sample: int = 20_000
     trees: int = 12
     depth: int = 4
     precision: float = 0.95
@@ -208,28 +207,29 @@ def score(model: Model, x: Column) -> Column:
 def train(found: DataFrame, settings: Settings = Settings()) -> Model:
     """Trees and thresholds from ``spans``; without both positive and negative proposals the model adds nothing."""
     s = settings
-    total = found.agg(F.sum(F.size("proposals"))).first()[0] or 0
-    # the hash of row and place picks the sample, and the quarter that calibrates
+    names = [f"f_{n}" for n in FEATURES]
     every = found.select(F.xxhash64("id", F.size("proposals"), "base").alias("of"), F.explode("proposals").alias("x")).select("of", "x.*")
-    at = F.pmod(F.xxhash64("of", "start", "end", F.lit(s.seed)), F.lit(1 << 30))
-    picked = stored(every.filter(at < F.lit(min(1.0, s.sample / max(1, total)) * (1 << 30))).withColumn("part", F.pmod(F.xxhash64("of", "start", "end", F.lit("part")), F.lit(4)))
-                    .withColumn("label", F.col("held").cast("double")).coalesce(4), "proposals")
-    fit = picked.filter("part <> 0")
+    # the hash of row and place picks the quarter that calibrates; equal proposals are one row with their number, which the trees take as its weight
+    parted = every.withColumn("part", F.when(F.pmod(F.xxhash64("of", "start", "end", F.lit("part")), F.lit(4)) == 0, 0).otherwise(1))
+    counted = stored(parted.groupBy("part", "kind", "held", *names).agg(F.count(F.lit(1)).cast("double").alias("n")).withColumn("label", F.col("held").cast("double")), "proposals")
+    fit = counted.filter("part <> 0")
     if len(fit.select("held").distinct().collect()) < 2:
+        discard(counted)
         return Model()
-    vector = VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="features")
-    fitted: GBTClassificationModel = GBTClassifier(maxIter=s.trees, maxDepth=s.depth, seed=s.seed, maxMemoryInMB=64).fit(vector.transform(fit).select("features", "label"))
+    vector = VectorAssembler(inputCols=names, outputCol="features")
+    trees = GBTClassifier(maxIter=s.trees, maxDepth=s.depth, seed=s.seed, maxMemoryInMB=64, weightCol="n")
+    fitted: GBTClassificationModel = trees.fit(vector.transform(fit).select("features", "label", "n"))
     model = Model([(w, _node(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True)])
     row = F.struct(*[F.col(f"f_{n}") for n in FEATURES])
-    curve = (picked.filter("part = 0").withColumn("row", row).select("kind", score(model, F.col("row")).alias("p"), "label")
-             .groupBy("kind", "p").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect())
+    curve = (counted.filter("part = 0").withColumn("row", row).select("kind", score(model, F.col("row")).alias("p"), "label", "n")
+             .groupBy("kind", "p").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect())  # at most a row per kind and thousandth
     for kind in range(len(KINDS)):
         good = n = 0.0
         for r in sorted((r for r in curve if r["kind"] == kind), key=lambda r: -r["p"]):
             good, n = good + r["good"], n + r["n"]
             if good >= s.precision * n:
                 model.thresholds[kind] = r["p"]
-    discard(picked)
+    discard(counted)
     return model
 
 

@@ -75,3 +75,14 @@ def test_trees_add_what_looks_like_base_spans_and_leave_other_numbers(spark):
 def test_redacted_text(spark):
     rows = pii.redacted(frame(spark, [(1, "é: a@b.co, +49 30 1234567 or 10.0.0.1."), (2, None), (3, "plain")]), model=pii.Model()).collect()
     assert {r["id"]: r["text"] for r in rows} == {1: "é: [email], [phone] or [ip].", 2: "", 3: "plain"}
+
+
+def test_every_proposal_counts(spark):
+    """A kind that is rare among very many proposals gets its threshold: fitting and calibration leave no proposal out."""
+    from pyspark.sql import functions as F
+
+    ip = F.col("id") < 8
+    x = F.struct(F.when(ip, 1).otherwise(0).alias("kind"), F.lit(0).cast("long").alias("start"), F.lit(9).cast("long").alias("end"), (ip | (F.col("id") % 2 == 0)).alias("held"),
+                 *[(F.when(ip, 2.0).otherwise(1.0) if n == "kind" else F.when(ip, 9.0).otherwise((F.col("id") % 2).cast("double")) if n == "digits" else F.lit(0.0)).alias(f"f_{n}") for n in pii.FEATURES])
+    rows = spark.range(300_000).select("id", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>").alias("base"), F.array(x).alias("proposals"))
+    assert sorted(pii.train(rows, pii.Settings(trees=2, depth=2)).thresholds) == [0, 1]
