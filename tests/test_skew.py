@@ -56,3 +56,31 @@ def test_counted_semi_join(spark):
     counts = f.groupBy("k").count().filter("count > 1")
     assert rows(counted_semi_join(f, counts, ["k"], "count", share=20)) == rows(f.join(counts, "k", "left_semi"))
     assert counted_semi_join(f, counts.limit(0), ["k"], "count").count() == 0
+
+
+def test_even_pieces_follow_the_rows(spark):
+    """A piece holds no more rows as a table grows; v12 joins and counts its orders in such pieces."""
+    from marketlake.operators.skew import even_pieces
+
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert even_pieces(spark.range(10), per=100) == least
+    assert even_pieces(spark.range(100_001), per=1000) == 101
+
+
+def test_v12_joins_in_even_pieces(spark, monkeypatch):
+    from marketlake.plans import reports
+    from marketlake.plans.model import StarModel
+
+    items = spark.createDataFrame([(1, 1, "2.50"), (1, 2, "1.00"), (2, 1, "4.00"), (3, 1, "9.00"), (None, 1, "7.00")], "order_sk long, seller_sk long, price string")
+    orders = spark.sql("""SELECT * FROM VALUES (1L, '2024-01-01', '2024-01-03', '2024-01-05'), (1L, '2024-01-01', '2024-01-03', '2024-01-05'),
+        (2L, '2024-01-01', '2024-01-05', '2024-01-09'), (3L, NULL, '2024-01-05', '2024-01-09') AS t(order_sk, a, d, e)""").select(
+        "order_sk", *[F.col(c).cast("timestamp_ntz").alias(f"order_{n}_t") for c, n in (("a", "approved"), ("d", "delivered_customer"), ("e", "estimated_delivery"))])
+    sellers = spark.createDataFrame([(1, "X")], "seller_sk long, seller_state string")
+    m = StarModel(items.withColumn("price", F.col("price").cast("decimal(12,2)")), orders, sellers, None, None, None)
+    seen, counted = [], reports.quantiles_from_counts
+    monkeypatch.setattr(reports, "even_pieces", lambda rows: 13)
+    monkeypatch.setattr(reports, "quantiles_from_counts", lambda counts, *a, **k: seen.append(counts) or counted(counts, *a, **k))
+    out = [tuple(r) for r in reports.v12_state_reliability(m).collect()]
+    # order 1 comes twice: its items count twice, the order once; order 3 was never approved
+    assert [(r[0], r[1], r[2], r[3], float(r[5])) for r in out] == [("X", "1 - early", 9.0, 2, 2.0), ("unknown", "1 - early", 2.0, 1, 2.0)]
+    assert seen[0]._jdf.queryExecution().executedPlan().toString().count("13), REPARTITION_BY_NUM") >= 2
