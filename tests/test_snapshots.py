@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.operators.upsert import apply_changes, change_feed, scd1_upsert
 from marketlake.plans.etl import Warehouse, warehouse
 from marketlake.session import scratch_path
-from marketlake.sources.snapshots import create, open_version
+from marketlake.sources.snapshots import _meet, create, open_version
 from tests.conftest import SF_SMALL
 
 POLICY, COMPARE = {"a": "coalesce", "b": "overwrite"}, ["a", "b", "row_source_file"]
@@ -76,3 +76,27 @@ def test_stored_tables_are_their_feeds(spark, name):
     for made in wh.versions(name, 2):
         assert same(apply_changes(before.rows(), made.feed(), before.keys), made.rows())
         before = made
+
+
+def test_stored_and_incoming_rows_meet_in_one_shuffle(spark):
+    first = create(table(spark, 60), scratch_path(spark, "snap"), ["k"], buckets=4)
+    assert not os.path.exists(f"{first.root}/feed/version=1")  # the first feed is the rows
+    assert same(first.feed().filter("kind = 'insert' AND before IS NULL").select("after.*"), table(spark, 60))
+    load = spark.createDataFrame([("k1", None, 2, 0, 9, "f2", "s2"), ("k1", 5, 2, 0, 9, "f2", "s3"), (None, 1, 1, 2, 2, "f2", "s2"), (None, 2, 1, 2, 2, "f2", "s2")], SCHEMA)
+    met = _meet(first.rows(), load, first.keys, first.bucket())
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    second = first.upsert(load, POLICY, COMPARE)
+    third = second.upsert(load, POLICY, COMPARE)  # keys that repeat on both sides, null keys too
+    for before, after in ((first, second), (second, third)):
+        assert same(after.rows(), scd1_upsert(before.rows(), load, ["k"], POLICY, COMPARE))
+        assert same(after.feed(), change_feed(before.rows(), load, ["k"], POLICY, COMPARE))
+
+
+def test_staging_ids_are_stored_as_bytes_and_read_as_text(spark):
+    wh = warehouse(spark, SF_SMALL)
+    assert dict(wh.versions("items", 2)[-1].rows().dtypes)["staging_id"] == "binary"
+    staged = wh.staged("items", 1).unionByName(wh.staged("items", 2)).select("staging_id")
+    feed = wh.feed("items", 2)
+    for ids in (wh.items.select("staging_id"), feed.select("after.staging_id"), feed.filter("before IS NOT NULL").select("before.staging_id")):
+        assert ids.count() > 0 and ids.join(staged, "staging_id", "left_anti").count() == 0
+    assert feed.filter("kind = 'insert' AND before IS NOT NULL").count() == 0
