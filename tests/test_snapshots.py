@@ -5,10 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators.upsert import apply_changes, change_feed, scd1_upsert
+from marketlake.operators.upsert import apply_changes, change_feed, images, scd1_upsert
 from marketlake.plans.etl import Warehouse, warehouse
 from marketlake.session import scratch_path
-from marketlake.sources.snapshots import _meet, create, open_version
+from marketlake.sources.snapshots import _changes, _meet, create, open_version
 from tests.conftest import SF_SMALL
 
 POLICY, COMPARE = {"a": "coalesce", "b": "overwrite"}, ["a", "b", "row_source_file"]
@@ -100,3 +100,20 @@ def test_staging_ids_are_stored_as_bytes_and_read_as_text(spark):
     for ids in (wh.items.select("staging_id"), feed.select("after.staging_id"), feed.filter("before IS NOT NULL").select("before.staging_id")):
         assert ids.count() > 0 and ids.join(staged, "staging_id", "left_anti").count() == 0
     assert feed.filter("kind = 'insert' AND before IS NOT NULL").count() == 0
+
+
+def test_rows_and_feed_of_a_load_are_stored_once(spark):
+    first = create(table(spark, 4000), scratch_path(spark, "snap"), ["k"], buckets=20)
+    one = first.rows([7])
+    load = one.withColumns({"b": F.lit(2), "row_source_file": F.lit("f2")}).unionByName(first.rows([3]))
+    second = first.upsert(load, POLICY, COMPARE)
+    assert not os.path.exists(f"{first.root}/feed/version=2") and written(second) == {7} and second.same == (3,)
+    assert same(second.feed(), change_feed(first.rows(), load, ["k"], POLICY, COMPARE))
+    again = open_version(spark, first.root, 2)
+    assert again.same == (3,) and same(again.feed(), second.feed()) and same(again.rows(), second.rows())
+    third = second.upsert(load, POLICY, COMPARE)
+    assert written(third) == set() and set(third.same) == {3, 7} and {r["kind"] for r in third.feed().collect()} == {"unchanged"}
+    fourth = third.upsert(load.limit(0), POLICY, COMPARE)
+    assert fourth.same == () and fourth.feed().count() == 0 and same(fourth.rows(), second.rows())
+    done = _changes(_meet(first.rows(), load, first.keys, first.bucket(), 8).select("bucket", *images(first.schema.names, load.columns, first.keys, POLICY, COMPARE)))
+    assert done._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
