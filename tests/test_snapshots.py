@@ -5,10 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.operators.dedup import collapse_dealt
 from marketlake.operators.upsert import apply_changes, change_feed, images, scd1_upsert
-from marketlake.plans.etl import Warehouse, warehouse
+from marketlake.plans.etl import Warehouse, collapse_items, payment_rows, warehouse
 from marketlake.session import scratch_path
 from marketlake.sources.snapshots import _changes, _meet, create, open_version
+from marketlake.sources.staging import packed
 from tests.conftest import SF_SMALL
 
 POLICY, COMPARE = {"a": "coalesce", "b": "overwrite"}, ["a", "b", "row_source_file"]
@@ -117,3 +119,28 @@ def test_rows_and_feed_of_a_load_are_stored_once(spark):
     assert fourth.same == () and fourth.feed().count() == 0 and same(fourth.rows(), second.rows())
     done = _changes(_meet(first.rows(), load, first.keys, first.bucket(), 8).select("bucket", *images(first.schema.names, load.columns, first.keys, POLICY, COMPARE)))
     assert done._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_facts_move_once_to_their_buckets(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("o"), (F.col("id") % 500).cast("string"))).alias("k"),
+                                    (F.col("id") % 2).alias("line"), F.col("id").alias("v"), (-F.col("id")).alias("first"))
+    got = collapse_dealt(rows, ["k", "line"], ["k"], 5, ["first"])
+    assert same(got, rows.groupBy("k", "line").agg(F.max("v").alias("v"), F.min("first").alias("first")))
+    plain = collapse_dealt(rows.filter("k <> 'hot'").dropDuplicates(["k", "line"]), ["k", "line"], ["k"], 5, ["first"])
+    made = create(plain, scratch_path(spark, "snap"), ["k", "line"], 5, ["k"], dealt=True)
+    assert same(made.rows(), plain) and same(open_version(spark, made.root, 1).rows([2]), plain.filter(made.bucket() == 2))
+    assert all(len([f for f in os.listdir(f"{made.root}/data/version=1/bucket={b}") if f.startswith("part-")]) == 1 for b in made.held)
+    assert open_version(spark, made.root, 1).by == ("k",)
+
+
+def test_stored_items_are_linked_without_another_shuffle_of_items(spark):
+    wh = warehouse(spark, SF_SMALL)
+    no_broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = payment_rows(packed(wh.staged("payments", 1)), wh.table("orders", 1), 8).rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", no_broadcast)
+    assert plan.count("Exchange hashpartitioning") == 2  # payments and orders, each once
+    items = collapse_items(packed(wh.staged("items", 1))).select("order_id", "order_item_id", "product_id", "seller_id", "price", "staging_id")
+    assert same(wh.versions("items", 1)[-1].rows().select(*items.columns), items)
