@@ -5,9 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators.dedup import collapse_dealt
+from marketlake.operators.dedup import collapse_dealt, latest_dealt, latest_per_key
+from marketlake.operators.keys import assign_sk
 from marketlake.operators.upsert import apply_changes, change_feed, images, scd1_upsert
-from marketlake.plans.etl import Warehouse, collapse_items, payment_rows, warehouse
+from marketlake.plans.etl import Warehouse, collapse_items, first_dimension, load_dimension, payment_rows, warehouse
 from marketlake.session import scratch_path
 from marketlake.sources.snapshots import _changes, _meet, create, open_version
 from marketlake.sources.staging import packed
@@ -144,3 +145,34 @@ def test_stored_items_are_linked_without_another_shuffle_of_items(spark):
     assert plan.count("Exchange hashpartitioning") == 2  # payments and orders, each once
     items = collapse_items(packed(wh.staged("items", 1))).select("order_id", "order_item_id", "product_id", "seller_id", "price", "staging_id")
     assert same(wh.versions("items", 1)[-1].rows().select(*items.columns), items)
+
+
+def test_first_load_of_a_numbered_table_moves_its_rows_once(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k"),
+                                    (F.col("id") % 7).alias("loaded_at"), F.when(F.col("id") % 11 != 0, F.col("id")).alias("staging_id"), (F.col("id") % 5).alias("v"))
+    for given in (rows, rows.filter("k <> 'hot'"), rows.limit(0)):
+        numbers = assign_sk(given.select("k").distinct(), ["k"], "sk")
+        got = latest_dealt(given, ["k"], numbers, "sk", 5)
+        assert same(got, latest_per_key(given, ["k"]).join(numbers, "k"))
+        made = create(got, scratch_path(spark, "snap"), ["k"], 5, dealt=True)
+        assert same(made.rows(), got) and all(made.rows([b]).filter(made.bucket() != b).isEmpty() for b in made.held)
+    wh = warehouse(spark, SF_SMALL)
+    for name in ("products", "orders"):
+        stg = packed(wh.staged(name, 1))
+        assert same(wh.versions(name, 1)[0].rows(), load_dimension(name, stg))
+    plan = first_dimension("orders", packed(wh.staged("orders", 1)), 7).rows._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    rows_dealt = [line for line in dealt if "hashpartitioning(_bucket" not in line]  # the others number the keys
+    assert len(rows_dealt) == 1 and "REPARTITION_BY_NUM" in rows_dealt[0]
+
+
+def test_arrived_keys_stand_for_the_incoming_rows(spark):
+    first = create(table(spark, 400), scratch_path(spark, "snap"), ["k"], buckets=9)
+    load = first.rows([2]).withColumns({"b": F.lit(2), "row_source_file": F.lit("f2")}).unionByName(first.rows([5]))
+    keys = load.select("k").unionByName(load.select("k"))
+    second = first.upsert(load, POLICY, COMPARE, arrived=keys)
+    assert written(second) == {2} and second.same == (5,)
+    assert same(second.feed(), change_feed(first.rows(), load, ["k"], POLICY, COMPARE))
+    wh = warehouse(spark, SF_SMALL)
+    wh.versions("payments", 2)
+    assert not [f for f in os.listdir(os.path.dirname(wh.root) + "/warehouse") if f.startswith(("items-rows", "payments-rows", "orders-rows"))]
