@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -362,6 +363,40 @@ def test_links_of_low_rank_vectors(spark, dim, rank):
     assert sorted((r["id"], r["links"]) for r in got) == [(i, int(h.sum()) - 1) for i, h in enumerate(hit)]
 
 
+def test_vectors_travel_once_to_each_group_of_cells(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 24)).astype(np.float32)
+    x[1500:] = x[:1500] + rng.standard_normal((1500, 24)).astype(np.float32) * 0.05
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vid long, v array<float>").withColumn("n", F.lit(1).cast("long"))
+    sent = embedding_dedup._links_of_dimension(rows, embedding_dedup.Settings(block=500))
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    centres = embedding_dedup.fit_centres(u, 55, 6)
+    groups = embedding_dedup.group_cells(centres, np.full(55, 1 / 55), 1 / 6)
+    assert 6 <= groups.max() + 1 <= 12 and np.bincount(groups).max() <= 55 / 6
+    routed = list(embedding_dedup._route(centres, groups, embedding_dedup.Settings(), np.float32)(iter([rows.toPandas()])))
+    got = pd.concat(routed)
+    cells = np.unpackbits(np.stack([np.frombuffer(c, np.uint8) for c in got["cells"]]), axis=1)[:, :55]
+    assert not got.duplicated(["vid", "grp"]).any() and got["home"].sum() == 3000 and {len(v) for v in got["v"]} == {24 * 4}
+    per_vector = got.groupby("vid")["grp"].count()
+    assert per_vector.max() <= groups.max() + 1 and len(got) < cells[got["home"].to_numpy()].sum()  # a row per cell before
+    found = sent.groupBy("vid").agg(F.sum("links").alias("links")).collect()
+    assert sorted((r["vid"], r["links"]) for r in found) == [(i, int(h.sum()) - 1) for i, h in enumerate(u @ u.T >= 0.95)]
+
+
+def test_links_of_a_task_are_united_in_batches(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.standard_normal((3, 16)), 300, axis=0) + rng.standard_normal((900, 16)) * 0.01
+    chain = [(u, u + 1) for u in range(50)]
+    least = np.arange(60)
+    for at in range(49, -1, -1):   # the smallest comes last
+        embedding_dedup._unite(least, np.array([chain[at][0]]), np.array([chain[at][1]]))
+    assert least.tolist() == [0] * 51 + list(range(51, 60))
+    monkeypatch.setattr(embedding_dedup, "AT_ONCE", 512)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = sorted((r["id"], r["links"], r["component"]) for r in embedding_dedup.near_vectors(frame).collect())
+    assert got == [(i, 299, i // 300 * 300) for i in range(900)]
+
+
 # -- chat
 
 def test_fold_and_round_trip(spark):
