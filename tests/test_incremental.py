@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from marketlake.operators.incremental import delta, signed_rows
 from marketlake.plans.etl import warehouse
 from marketlake.session import scratch_path
 from marketlake.sources.snapshots import create
@@ -62,3 +63,13 @@ def test_missing_values_are_counted_as_staging_is_written(spark):
         seen, stored = wh.missing(name, 1), wh.staged(name, 1)
         blank = [F.count_if(F.col(c).isNull() | (F.trim(F.col(c)) == "")).alias(c) for c, kind in stored.dtypes if kind == "string"]
         assert seen == stored.agg(F.count(F.lit(1)).alias(""), *blank).first().asDict()
+
+
+def test_a_view_reads_the_columns_that_it_needs(spark):
+    snap = create(table(spark, [(1, "a", 1), (2, "b", 2)], 1), scratch_path(spark, "t"), ["k"])
+    following = snap.upsert(table(spark, [(1, "b", 7), (2, "b", 2), (3, None, 4)], 2), POLICY, COMPARE)
+    assert sorted((r["sign"], r["k"], r["g"], r["v"]) for r in signed_rows(following.feed()).collect()) == [(-1, 1, "a", 1), (1, 1, "b", 7), (1, 3, None, 4)]
+    for made in (snap, following):
+        plan = delta(made.feed(), ("g",), {"v": "v"})._jdf.queryExecution().executedPlan().toString()
+        read = "".join(line.split("ReadSchema:")[1] for line in plan.splitlines() if "ReadSchema:" in line)
+        assert "g:string" in read and "staging_id" not in read and "row_source_file" not in read

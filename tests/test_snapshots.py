@@ -3,13 +3,14 @@
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from marketlake.operators.dedup import collapse_dealt, latest_dealt, latest_per_key
 from marketlake.operators.keys import assign_sk
 from marketlake.operators.upsert import apply_changes, change_feed, images, scd1_upsert
 from marketlake.plans.etl import Warehouse, collapse_items, first_dimension, load_dimension, payment_rows, warehouse
-from marketlake.session import scratch_path
+from marketlake.session import LONGEST_COMPILED, scratch_path
 from marketlake.sources.snapshots import _changes, _meet, create, open_version
 from marketlake.sources.staging import packed
 from tests.conftest import SF_SMALL
@@ -176,3 +177,34 @@ def test_arrived_keys_stand_for_the_incoming_rows(spark):
     wh = warehouse(spark, SF_SMALL)
     wh.versions("payments", 2)
     assert not [f for f in os.listdir(os.path.dirname(wh.root) + "/warehouse") if f.startswith(("items-rows", "payments-rows", "orders-rows"))]
+
+
+def test_loads_have_no_code_too_long_to_be_compiled(spark, monkeypatch):
+    limit, seen, write = "spark.sql.codegen.hugeMethodLimit", [], DataFrameWriter.parquet
+    before = spark.conf.get(limit)
+
+    def parquet(self, path, *args, **kwargs):
+        if "manifest" not in path:
+            seen.append(int(spark.conf.get(limit)))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    first = create(table(spark, 400), scratch_path(spark, "snap"), ["k"])
+    second = first.upsert(table(spark, 600).withColumn("b", F.lit(2)), POLICY, COMPARE)
+    second.apply(second.feed().limit(0))
+    assert len(seen) >= 4 and set(seen) == {LONGEST_COMPILED} and spark.conf.get(limit) == before
+
+
+def test_unique_keys_meet_without_lists(spark):
+    first = create(table(spark, 400), scratch_path(spark, "snap"), ["k"], buckets=9)
+    load = table(spark, 600).filter("a % 3 = 0").withColumns({"b": F.lit(2), "row_source_file": F.lit("f2")})
+    met = _meet(first.rows(), load, first.keys, first.bucket(), 4, once=True)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Exchange hashpartitioning") == 1
+    lists = _meet(first.rows(), load, first.keys, first.bucket(), 4)
+    assert same(met, lists) and met.filter("_repeats").isEmpty()
+    twice = load.unionByName(load.filter("a < 30"))
+    assert _meet(first.rows(), twice, first.keys, first.bucket(), 4, once=True).filter("_repeats").count() == 10
+    second = first.upsert(twice, POLICY, COMPARE)
+    assert same(second.rows(), scd1_upsert(first.rows(), twice, ["k"], POLICY, COMPARE))
+    assert same(second.feed(), change_feed(first.rows(), twice, ["k"], POLICY, COMPARE))
