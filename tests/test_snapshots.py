@@ -1,6 +1,7 @@
 """Bucketed versions and change feeds: a load rewrites what it changes, and version n plus its feed is version n + 1."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from marketlake.operators.dedup import collapse_dealt, latest_dealt, latest_per_key
 from marketlake.operators.keys import assign_sk
 from marketlake.operators.upsert import apply_changes, change_feed, images, scd1_upsert
+from marketlake.plans import etl
 from marketlake.plans.etl import Warehouse, collapse_items, first_dimension, load_dimension, payment_rows, warehouse
-from marketlake.session import LONGEST_COMPILED, scratch_path
+from marketlake.session import LONGEST_COMPILED, release, scratch_path
 from marketlake.sources.snapshots import _changes, _meet, create, open_version
 from marketlake.sources.staging import packed
 from tests.conftest import SF_SMALL
@@ -208,3 +210,30 @@ def test_unique_keys_meet_without_lists(spark):
     second = first.upsert(twice, POLICY, COMPARE)
     assert same(second.rows(), scd1_upsert(first.rows(), twice, ["k"], POLICY, COMPARE))
     assert same(second.feed(), change_feed(first.rows(), twice, ["k"], POLICY, COMPARE))
+
+
+def test_shuffle_files_go_when_nothing_refers_to_them(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {x.rsplit("/", 1)[-1].split("_")[1] for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    before = shuffles()
+    moved = spark.range(1000).repartition(7, "id")
+    assert len(moved.collect()) == 1000
+    made = shuffles() - before
+    assert made
+    release(spark)
+    time.sleep(1)
+    assert made <= shuffles()  # still referred to
+    del moved
+    end = time.time() + 30
+    while shuffles() & made and time.time() < end:
+        release(spark)  # what Spark's listeners still hold goes with a later call, as with the warehouse's next table
+        time.sleep(0.5)
+    assert not shuffles() & made
+
+
+def test_the_warehouse_lets_go_after_each_table(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(etl, "release", calls.append)
+    wh = Warehouse(spark, SF_SMALL, runs=2)
+    wh.versions("category", 2)
+    assert calls == [spark, spark] and wh.versions("category", 2) and len(calls) == 2  # both runs, once
